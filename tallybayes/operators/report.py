@@ -34,7 +34,7 @@ def complete_records(records: DataFrame) -> DataFrame:
     """Fill ``total_time`` (train + predict) and ``size_label`` where missing."""
     cols = records.columns
     out = records
-    if "total_time" not in cols:
+    if "total_time" not in cols and {"train_time", "pred_time"} <= set(cols):
         out = out.withColumn("total_time", F.col("train_time") + F.col("pred_time"))
     if "size_label" not in cols:
         out = out.withColumn("size_label", size_label(F.col("scale")))
