@@ -55,8 +55,14 @@ def make_durable(df: DataFrame) -> DataFrame:
 
 
 def long_form(prepared: DataFrame, keep=()) -> DataFrame:
-    """Wide to long in one narrow Generate: one row per (row, feature)."""
-    return prepared.select(*keep, F.posexplode(FEATURES).alias(FEAT_IDX, VALUE))
+    """Wide to long in one narrow Generate: one row per (row, feature).
+
+    ``posexplode_outer`` on purpose: the plain generator makes Catalyst infer
+    a ``size(features) > 0`` filter, which re-evaluates every feature
+    expression a second time; feature arrays are never empty, so the rows
+    are the same.
+    """
+    return prepared.select(*keep, F.posexplode_outer(FEATURES).alias(FEAT_IDX, VALUE))
 
 
 def count_features(prepared: DataFrame, keys=(DATASET,)) -> DataFrame:

@@ -22,9 +22,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def word_flag(text: Column, word: str) -> Column:
-    """'y' when ``word`` occurs space-delimited in the lower-cased text, else 'n'."""
-    padded = F.lower(F.concat(F.lit(" "), text, F.lit(" ")))
+def padded_lower(text: Column) -> Column:
+    """Lower-cased text with one space added at both ends."""
+    return F.lower(F.concat(F.lit(" "), text, F.lit(" ")))
+
+
+def word_flag(padded: Column, word: str) -> Column:
+    """'y' when ``word`` occurs space-delimited in the padded text, else 'n'."""
     return F.when(padded.contains(f" {word} "), F.lit("y")).otherwise(F.lit("n"))
 
 
@@ -32,10 +36,13 @@ def documents_lang(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dataset
     """Documents labelled by language; features flag six marker words."""
     docs = read_table(spark, sf_dir, "documents")
     feats = [f"w_{w}" for w in LANG_WORDS]
-    df = docs.select(
+    # the padded text is projected once and referenced by every flag, so
+    # Catalyst keeps it as one expression instead of inlining it six times
+    padded = docs.select("doc_id", "lang", padded_lower(F.col("text")).alias("_padded"))
+    df = padded.select(
         "doc_id",
         "lang",
-        *[word_flag(F.col("text"), w).alias(f) for w, f in zip(LANG_WORDS, feats)],
+        *[word_flag(F.col("_padded"), w).alias(f) for w, f in zip(LANG_WORDS, feats)],
     )
     return df, DatasetSpec("documents_lang", tuple(feats), "lang", ("doc_id",))
 
