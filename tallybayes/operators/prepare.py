@@ -98,7 +98,8 @@ class BinEdges:
             idx = F.when(x.isNotNull(), F.lit(0))
         else:
             raw = F.floor((x - F.lit(lo)) / F.lit(width))
-            idx = F.least(F.greatest(raw, F.lit(0)), F.lit(self.bins - 1))
+            # greatest/least skip nulls, so keep a null input null explicitly
+            idx = F.when(x.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.lit(self.bins - 1)))
         return idx.cast("bigint").cast("string")
 
     def apply(self, df: DataFrame, cols=None) -> DataFrame:

@@ -292,9 +292,9 @@ def oracle_sql() -> dict[str, str]:
             "train AS (SELECT * FROM base WHERE bucket < 80), "
             "e AS (SELECT min(q) AS qlo, (max(q) - min(q)) / 3 AS qw, min(d) AS dlo, (max(d) - min(d)) / 3 AS dw FROM train), "
             "binned AS (SELECT label, "
-            "CAST(CAST(CASE WHEN qw = 0 THEN 0 ELSE least(greatest(floor((q - qlo) / qw), 0), 2) END AS BIGINT) AS VARCHAR) AS f0, "
-            "CAST(CAST(CASE WHEN dw = 0 THEN 0 ELSE least(greatest(floor((d - dlo) / dw), 0), 2) END AS BIGINT) AS VARCHAR) AS f1 "
-            "FROM train, e) "
+            "CAST(CAST(CASE WHEN q IS NULL THEN NULL WHEN qw = 0 THEN 0 ELSE least(greatest(floor((q - qlo) / qw), 0), 2) END AS BIGINT) AS VARCHAR) AS f0, "
+            "CAST(CAST(CASE WHEN d IS NULL THEN NULL WHEN dw = 0 THEN 0 ELSE least(greatest(floor((d - dlo) / dw), 0), 2) END AS BIGINT) AS VARCHAR) AS f1 "
+            "FROM train CROSS JOIN e) "
             "SELECT 0 AS feat_idx, f0 AS value, label, CAST(COUNT(*) AS BIGINT) AS n FROM binned GROUP BY f0, label "
             "UNION ALL SELECT 1, f1, label, CAST(COUNT(*) AS BIGINT) FROM binned GROUP BY f1, label"
         ),
