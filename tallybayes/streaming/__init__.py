@@ -1,0 +1,5 @@
+"""Streaming: scoring a stream with a batch-trained model."""
+
+from tallybayes.streaming.scoring import score_stream, write_predictions
+
+__all__ = ["score_stream", "write_predictions"]
