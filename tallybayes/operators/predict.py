@@ -1,13 +1,17 @@
 """Scoring: per-class log scores, argmax, prediction.
 
-Two physical strategies compute bit-identical scores (prior first, then the
+Two physical strategies compute the same scores (prior first, then the
 features in column order, added left to right):
 
 ``map`` (default when the model is small)
     The model folded into one row per model key (``NBModel.map_model``) is
     broadcast and joined to the test rows on the key; each row looks up its
-    values with map access and adds the class-aligned arrays. No shuffle of the
-    test data at all: the scan, the lookup and the argmax run in one stage.
+    values with map access and adds the per-class terms. No shuffle of the
+    test data: scan, lookup, sum and argmax run in one stage. When
+    ``features × classes`` is small the sum is unrolled into scalar
+    expressions (one per class), which keeps the projection inside whole-stage
+    codegen; otherwise it uses higher-order array functions, which Spark
+    evaluates interpreted (about 6x slower per row, measured).
 
 ``long`` (large vocabularies)
     Test rows go to long form, join the dense likelihood frame on
@@ -15,6 +19,7 @@ features in column order, added left to right):
     part of the model has to fit in one task; skewed values are split by AQE's
     skew-join handling.
 
+``map_arrays`` forces the array form of the map scorer (no unrolling).
 ``auto`` picks ``map`` when ``NBModel.stats()`` says the folded model is
 below ``max_map_bytes`` and no feature has more than ``max_map_values``
 values (map access is a linear key scan), else ``long``.
@@ -22,15 +27,18 @@ values (map access is a linear key scan), else ``long``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybayes.functions.exprs import UNKNOWN_LOG_PROB, argmax, fold_sum
 from tallybayes.operators.prepare import FEAT_IDX, FEATURES, LABEL, VALUE
-from tallybayes.operators.train import NBModel
+from tallybayes.operators.train import ModelStats, NBModel
 
 MAX_MAP_BYTES = 64 * 1024 * 1024
 MAX_MAP_VALUES = 256
+# largest features x classes for which the map scorer is unrolled into scalar
+# expressions (bigger expression trees exceed the code generator's limits)
+UNROLL_MAX_TERMS = 512
 
 CLASSES = "classes"
 SCORES = "scores"
@@ -47,9 +55,54 @@ def _unknown(n_classes):
     return F.array_repeat(F.lit(UNKNOWN_LOG_PROB), n_classes)
 
 
-def _map_scores(test: DataFrame, model: NBModel, ids, broadcast: bool) -> DataFrame:
-    mm = F.broadcast(model.map_model) if broadcast else model.map_model
-    joined = test.join(mm, model.keys, "left")
+def _unrollable(st: ModelStats) -> bool:
+    return 0 < st.max_features * max(st.max_classes, 1) <= UNROLL_MAX_TERMS
+
+
+def _with_map_model(test: DataFrame, model: NBModel, max_map_bytes: int) -> DataFrame:
+    # broadcast only when the size check passes; else AQE decides at runtime
+    mm = model.map_model
+    if model.stats().map_bytes <= max_map_bytes:
+        mm = F.broadcast(mm)
+    return test.join(mm, model.keys, "left")
+
+
+def _unrolled_class_scores(st: ModelStats) -> list[Column]:
+    """One scalar score expression per class slot 0..K-1 (null past a model's K).
+
+    Each feature's lookup ``lik[i][value]`` (else ``fallback[i]``) is written
+    once per class; Catalyst's subexpression elimination evaluates it once.
+    Rows with fewer features than the model skip the missing ones (``+ 0.0``
+    is exact); features beyond the model's count add ``ln(1e-10)`` each.
+    """
+    m, k = st.max_features, max(st.max_classes, 1)
+    size = F.size(FEATURES)
+    looks = [
+        F.coalesce(
+            F.try_element_at(F.try_element_at(F.col("lik"), F.lit(i)), F.get(F.col(FEATURES), i)),
+            F.try_element_at(F.col("fallback"), F.lit(i)),
+        )
+        for i in range(m)
+    ]
+    unknown = F.lit(UNKNOWN_LOG_PROB)
+    out = []
+    for c in range(k):
+        s = F.get(F.col("prior"), c)
+        for i in range(m):
+            s = s + F.when(size > i, F.coalesce(F.get(looks[i], c), unknown)).otherwise(F.lit(0.0))
+        s = s + F.when(size > m, (size - m).cast("double") * unknown).otherwise(F.lit(0.0))
+        out.append(s)
+    return out
+
+
+def _unrolled_argmax(scores: list[Column]) -> tuple[Column, Column]:
+    """Highest score, ties to the lowest class slot (classes are sorted)."""
+    cands = [F.struct(s.alias("s"), F.lit(-c).alias("neg_j")) for c, s in enumerate(scores)]
+    best = cands[0] if len(cands) == 1 else F.greatest(*cands)
+    return F.get(F.col(CLASSES), -best["neg_j"]), best["s"]
+
+
+def _map_scores(joined: DataFrame, keys, ids) -> DataFrame:
     parts = F.transform(
         FEATURES,
         lambda v, i: F.coalesce(
@@ -58,9 +111,7 @@ def _map_scores(test: DataFrame, model: NBModel, ids, broadcast: bool) -> DataFr
             _unknown(F.size(CLASSES)),
         ),
     )
-    return joined.select(
-        *model.keys, *ids, LABEL, CLASSES, fold_sum(F.col("prior"), parts).alias(SCORES)
-    )
+    return joined.select(*keys, *ids, LABEL, CLASSES, fold_sum(F.col("prior"), parts).alias(SCORES))
 
 
 def _long_scores(test: DataFrame, model: NBModel, ids) -> DataFrame:
@@ -81,6 +132,16 @@ def _long_scores(test: DataFrame, model: NBModel, ids) -> DataFrame:
     return scored.select(*keys, *ids, LABEL, CLASSES, fold_sum(F.col("prior"), parts).alias(SCORES))
 
 
+def _resolve(model: NBModel, ids, scorer: str, max_map_bytes: int, max_map_values: int) -> str:
+    if scorer == "auto":
+        scorer = choose_scorer(model, max_map_bytes, max_map_values)
+    if scorer not in ("map", "map_arrays", "long"):
+        raise ValueError(f"unknown scorer {scorer!r}")
+    if scorer == "long" and not ids:
+        raise ValueError("the long scorer needs row ids")
+    return scorer
+
+
 def score_arrays(
     test: DataFrame,
     model: NBModel,
@@ -91,29 +152,55 @@ def score_arrays(
 ) -> DataFrame:
     """(keys, ids, label, classes, scores): all class scores of each test row."""
     ids = list(ids)
-    if scorer == "auto":
-        scorer = choose_scorer(model, max_map_bytes, max_map_values)
-    if scorer == "map":
-        # broadcast only when the size check passes; else let AQE decide
-        small = model.stats().map_bytes <= max_map_bytes
-        return _map_scores(test, model, ids, broadcast=small)
-    if scorer == "long":
-        if not ids:
-            raise ValueError("the long scorer needs row ids")
+    if _resolve(model, ids, scorer, max_map_bytes, max_map_values) == "long":
         return _long_scores(test, model, ids)
-    raise ValueError(f"unknown scorer {scorer!r}")
+    return _map_scores(_with_map_model(test, model, max_map_bytes), model.keys, ids)
 
 
-def predict(test: DataFrame, model: NBModel, ids=(), scorer: str = "auto", **kw) -> DataFrame:
+def predict(
+    test: DataFrame,
+    model: NBModel,
+    ids=(),
+    scorer: str = "auto",
+    max_map_bytes: int = MAX_MAP_BYTES,
+    max_map_values: int = MAX_MAP_VALUES,
+) -> DataFrame:
     """(keys, ids, label, prediction, score); rows without a model keep a null prediction."""
-    scored = score_arrays(test, model, ids, scorer, **kw)
-    pred, best = argmax(F.col(CLASSES), F.col(SCORES))
-    return scored.select(*model.keys, *ids, LABEL, pred.alias("prediction"), best.alias("score"))
+    ids = list(ids)
+    kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
+    st = model.stats()
+    if kind == "map" and _unrollable(st):
+        joined = _with_map_model(test, model, max_map_bytes)
+        pred, best = _unrolled_argmax(_unrolled_class_scores(st))
+    else:
+        joined = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values)
+        pred, best = argmax(F.col(CLASSES), F.col(SCORES))
+    return joined.select(*model.keys, *ids, LABEL, pred.alias("prediction"), best.alias("score"))
 
 
-def class_scores(test: DataFrame, model: NBModel, ids=(), scorer: str = "auto", **kw) -> DataFrame:
+def class_scores(
+    test: DataFrame,
+    model: NBModel,
+    ids=(),
+    scorer: str = "auto",
+    max_map_bytes: int = MAX_MAP_BYTES,
+    max_map_values: int = MAX_MAP_VALUES,
+) -> DataFrame:
     """(keys, ids, label, class, score): one row per test row and class."""
-    scored = score_arrays(test, model, ids, scorer, **kw)
+    ids = list(ids)
+    kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
+    st = model.stats()
+    if kind == "map" and _unrollable(st):
+        joined = _with_map_model(test, model, max_map_bytes)
+        pairs = F.array(
+            *[
+                F.struct(F.get(F.col(CLASSES), c).alias("class"), s.alias("score"))
+                for c, s in enumerate(_unrolled_class_scores(st))
+            ]
+        )
+        out = joined.select(*model.keys, *ids, LABEL, F.inline(pairs))
+        return out.filter(F.col("class").isNotNull())
+    scored = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values)
     pairs = F.transform(
         CLASSES, lambda c, j: F.struct(c.alias("class"), F.get(F.col(SCORES), j).alias("score"))
     )

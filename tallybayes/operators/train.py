@@ -84,6 +84,8 @@ class ModelStats:
     max_values: int
     n_entries: int
     dense_cells: int
+    min_features: int = 0
+    max_features: int = 0
 
     @property
     def map_bytes(self) -> int:
@@ -268,6 +270,7 @@ class NBModel:
                 F.sum("n_values").alias("ne"),
                 F.sum(F.col("n_values") * F.col("n_classes")).alias("cells"),
                 F.max("n_classes").alias("k"),
+                F.count(F.lit(1)).alias("m"),
             )
             row = per.agg(
                 F.count(F.lit(1)).alias("models"),
@@ -275,6 +278,8 @@ class NBModel:
                 F.max("mv").alias("mv"),
                 F.sum("ne").alias("ne"),
                 F.sum("cells").alias("cells"),
+                F.min("m").alias("min_m"),
+                F.max("m").alias("max_m"),
             ).first()
             self.__dict__["_stats"] = ModelStats(
                 int(row["models"] or 0),
@@ -282,6 +287,8 @@ class NBModel:
                 int(row["mv"] or 0),
                 int(row["ne"] or 0),
                 int(row["cells"] or 0),
+                int(row["min_m"] or 0),
+                int(row["max_m"] or 0),
             )
         return self.__dict__["_stats"]
 

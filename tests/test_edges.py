@@ -17,7 +17,7 @@ def frame(spark, rows, ddl=DDL):
     return spark.createDataFrame(rows, ddl)
 
 
-@pytest.mark.parametrize("scorer", ["map", "long"])
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_tie_goes_to_lowest_label_and_unseen_uses_fallback(spark, scorer):
     m = train(prepare(frame(spark, [(1, "z", "u"), (2, "a", "u")]), SPEC))
     test = prepare(frame(spark, [(10, "a", "u"), (11, "z", "new")]), SPEC)
@@ -28,7 +28,7 @@ def test_tie_goes_to_lowest_label_and_unseen_uses_fallback(spark, scorer):
     assert out[11].score == pytest.approx(math.log(0.25), abs=1e-12)
 
 
-@pytest.mark.parametrize("scorer", ["map", "long"])
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_underscore_labels_and_values_do_not_collide(spark, scorer):
     rows = [(1, "very_good", "a_b"), (2, "very_good", "a_b"), (3, "good", "a"), (4, "bad", "b_c")]
     m = train(prepare(frame(spark, rows), SPEC))
@@ -41,7 +41,7 @@ def test_underscore_labels_and_values_do_not_collide(spark, scorer):
     assert {r.id: r.prediction for r in pred.collect()} == {1: "very_good", 2: "very_good", 3: "good", 4: "bad"}
 
 
-@pytest.mark.parametrize("scorer", ["map", "long"])
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_null_feature_is_its_own_category(spark, scorer):
     rows = [(1, "x", None), (2, "x", None), (3, "y", "v"), (4, "y", "v")]
     m = train(prepare(frame(spark, rows), SPEC))
@@ -63,7 +63,7 @@ def test_empty_test_set_accuracy_is_zero(spark):
     assert (r.n_test, r.n_correct, r.accuracy) == (0, 0, 0.0)
 
 
-@pytest.mark.parametrize("scorer", ["map", "long"])
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_empty_training_keeps_rows_with_null_prediction(spark, scorer):
     m = train(prepare(frame(spark, []), SPEC))
     test = prepare(frame(spark, [(1, "a", "u"), (2, "b", "v")]), SPEC)
@@ -84,7 +84,7 @@ def test_unknown_feature_index_uses_tiny_probability(spark):
     m = train(prepare(frame(spark, [(1, "a", "u")]), SPEC))
     wide = DatasetSpec("edge", ("f0", "f1"), "label", ("id",))
     test = prepare(spark.createDataFrame([(2, "a", "u", "w")], "id int, label string, f0 string, f1 string"), wide)
-    for scorer in ("map", "long"):
+    for scorer in ("map", "map_arrays", "long"):
         s = {r["class"]: r.score for r in class_scores(test, m, ["id"], scorer=scorer).collect()}
         # prior ln((1+1)/(1+1)) = 0; f0 seen ln(2/2) = 0; f1 unknown
         assert s["a"] == pytest.approx(UNKNOWN_LOG_PROB, abs=1e-12)
@@ -99,4 +99,8 @@ def test_map_and_long_scorers_agree_bit_for_bit(spark):
     m = train(tr)
     a = {tuple(r[:3]): r.score for r in class_scores(te, m, spec.ids, scorer="map").select("o_orderkey", "label", "class", "score").collect()}
     b = {tuple(r[:3]): r.score for r in class_scores(te, m, spec.ids, scorer="long").select("o_orderkey", "label", "class", "score").collect()}
-    assert a == b and len(a) > 0
+    c = {tuple(r[:3]): r.score for r in class_scores(te, m, spec.ids, scorer="map_arrays").select("o_orderkey", "label", "class", "score").collect()}
+    assert a == b == c and len(a) > 0
+    pa = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="map").collect())
+    pb = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="map_arrays").collect())
+    assert pa == pb

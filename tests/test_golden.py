@@ -55,7 +55,7 @@ def test_car_constant_features_have_zero_log_likelihood(car):
     assert all(r.log_lik <= 0.0 for r in m.likelihood.collect())
 
 
-@pytest.mark.parametrize("scorer", ["map", "long"])
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_car_scores_and_predictions(car, scorer):
     p, m = car
     got = {}
@@ -80,7 +80,7 @@ def test_mushroom_model(mushroom):
     assert vf == [2, 2, 4, 2, 4, 1, 2, 2, 2, 2, 2, 1, 1, 1, 1, 1, 1, 1, 2, 2, 3, 3]
 
 
-@pytest.mark.parametrize("scorer", ["map", "long"])
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_mushroom_scores(mushroom, scorer):
     p, m = mushroom
     got = {}

@@ -48,7 +48,7 @@ def brute_force(train_rows, test_rows):
 
 @settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(train_rows=st.lists(row, min_size=0, max_size=25), test_rows=st.lists(row, min_size=1, max_size=10))
-@pytest.mark.parametrize("scorer", ["map", "long"])
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_matches_brute_force(spark, scorer, train_rows, test_rows):
     tr = spark.createDataFrame([(i, *r) for i, r in enumerate(train_rows)], DDL)
     te_rows = [(1000 + i, *r) for i, r in enumerate(test_rows)]
