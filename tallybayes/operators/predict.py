@@ -60,11 +60,9 @@ def _unrollable(st: ModelStats) -> bool:
 
 
 def _with_map_model(test: DataFrame, model: NBModel, max_map_bytes: int) -> DataFrame:
-    # broadcast only when the size check passes; else AQE decides at runtime
-    mm = model.map_model
-    if model.stats().map_bytes <= max_map_bytes:
-        mm = F.broadcast(mm)
-    return test.join(mm, model.keys, "left")
+    # callers reach this only after _resolve checked the folded size
+    assert model.stats().map_bytes <= max_map_bytes
+    return test.join(F.broadcast(model.map_model), model.keys, "left")
 
 
 def _unrolled_class_scores(st: ModelStats) -> list[Column]:
@@ -137,6 +135,12 @@ def _resolve(model: NBModel, ids, scorer: str, max_map_bytes: int, max_map_value
         scorer = choose_scorer(model, max_map_bytes, max_map_values)
     if scorer not in ("map", "map_arrays", "long"):
         raise ValueError(f"unknown scorer {scorer!r}")
+    if scorer != "long" and model.stats().map_bytes > max_map_bytes:
+        # the folded model is joined on a key every test row shares: without a
+        # broadcast that join would put all rows in one task, so never do it
+        if not ids:
+            raise ValueError("model too large to broadcast; the long scorer needs row ids")
+        scorer = "long"
     if scorer == "long" and not ids:
         raise ValueError("the long scorer needs row ids")
     return scorer

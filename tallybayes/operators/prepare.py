@@ -70,6 +70,18 @@ def random_split(
     return train, test
 
 
+def ensure_partitions(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Repartition only when the input has fewer splits than ``min_partitions``.
+
+    Small or unsplittable inputs (one gzip file, an inline table) otherwise
+    leave most cores idle; larger inputs keep their scan splits and AQE sizes
+    the shuffles. Counting splits plans the scan but runs no job.
+    """
+    if df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(min_partitions)
+    return df
+
+
 def replicate(df: DataFrame, factor: int | Column, copy_col: str = COPY) -> DataFrame:
     """Every row ``factor`` times, numbered 1..factor in ``copy_col``.
 

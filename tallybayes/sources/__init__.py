@@ -15,9 +15,11 @@ from tallybayes.sources.fixed import (
 )
 from tallybayes.sources.spec import DatasetSpec
 from tallybayes.sources.tables import (
+    DATASETS,
     documents_lang,
     events_set,
     lineitem_part,
+    load_dataset,
     orders_set,
     read_table,
 )
@@ -26,6 +28,7 @@ __all__ = [
     "CAR_COLUMNS",
     "CAR_ROWS",
     "CAR_SPEC",
+    "DATASETS",
     "DatasetSpec",
     "MUSHROOM_COLUMNS",
     "MUSHROOM_ROWS",
@@ -35,6 +38,7 @@ __all__ = [
     "events_set",
     "inline_table",
     "lineitem_part",
+    "load_dataset",
     "mushroom_table",
     "orders_set",
     "read_csv_table",

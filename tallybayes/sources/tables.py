@@ -100,3 +100,20 @@ def events_set(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec
         F.hour("ts").cast("string").alias("hour"),
     )
     return df, DatasetSpec("events", ("props", "user", "hour"), "event_type", ("event_id",))
+
+
+# name -> builder(spark, sf_dir) -> (DataFrame, DatasetSpec)
+DATASETS = {
+    "documents_lang": documents_lang,
+    "orders": orders_set,
+    "lineitem": lineitem_part,
+    "events": events_set,
+}
+
+
+def load_dataset(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DatasetSpec]:
+    """Build a registered labelled dataset by name."""
+    try:
+        return DATASETS[name](spark, sf_dir)
+    except KeyError:
+        raise KeyError(f"unknown dataset {name!r}; known: {sorted(DATASETS)}") from None

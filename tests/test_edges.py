@@ -104,3 +104,13 @@ def test_map_and_long_scorers_agree_bit_for_bit(spark):
     pa = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="map").collect())
     pb = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="map_arrays").collect())
     assert pa == pb
+
+
+def test_oversized_model_never_joins_without_broadcast(spark):
+    m = train(prepare(frame(spark, [(1, "a", "u"), (2, "b", "v")]), SPEC))
+    test = prepare(frame(spark, [(3, "a", "u")]), SPEC)
+    # a 1-byte bound forces the long scorer even when "map" is asked for
+    out = predict(test, m, ["id"], scorer="map", max_map_bytes=1).collect()
+    assert [(r.id, r.prediction) for r in out] == [(3, "a")]
+    with pytest.raises(ValueError):
+        predict(test, m, [], scorer="map", max_map_bytes=1)

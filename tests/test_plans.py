@@ -85,3 +85,14 @@ def test_long_scorer_plan_has_no_python(spark):
             assert "BuildRight" in ln
     up = ancestors(text, r"FileScan parquet .*lineitem")
     assert any(a.startswith("SortMergeJoin") or a.startswith("BroadcastHashJoin") for a in up)
+
+
+def test_unrolled_map_scorer_stays_in_whole_stage_codegen(spark):
+    df, spec = lineitem_part(spark, SF)
+    tr, te = split_prepared(df, spec)
+    pred = predict(te, train(tr), spec.ids, scorer="map")
+    pred.collect()  # with AQE, codegen stage markers appear in the final plan
+    text = plan_text(pred).split("== Initial Plan ==")[0]
+    proj = [ln for ln in text.splitlines() if "Project" in ln and "greatest" in ln]
+    assert proj and all(re.search(r"\*\(\d+\) Project", ln) for ln in proj), proj
+    assert "lambdafunction" not in text.split("BroadcastExchange")[0]

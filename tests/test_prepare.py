@@ -72,3 +72,20 @@ def test_equal_width_bins(spark):
     assert [r.x for r in edges.apply(other).collect()] == ["0", "2"]
     const = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     assert [r.x for r in fit_bins(const, ["x"]).apply(const).collect()] == ["0", "0"]
+
+
+def test_ensure_partitions_only_grows(spark):
+    from tallybayes import ensure_partitions
+
+    one = spark.range(10).coalesce(1)
+    assert ensure_partitions(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert ensure_partitions(many, 4) is many
+
+
+def test_dataset_registry(spark):
+    from tallybayes.sources import DATASETS, load_dataset
+
+    for name in DATASETS:
+        df, spec = load_dataset(spark, SF, name)
+        assert set(spec.columns) <= set(df.columns)
