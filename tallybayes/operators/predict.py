@@ -36,12 +36,17 @@ from tallybayes.operators.train import ModelStats, NBModel
 
 MAX_MAP_BYTES = 64 * 1024 * 1024
 MAX_MAP_VALUES = 256
-# largest features x classes for which the map scorer is unrolled into scalar
+# dense likelihood frames up to this size are broadcast by the long scorer
+MAX_DENSE_BROADCAST_BYTES = 256 * 1024 * 1024
+# the per-model header (classes, priors, fallbacks) is always broadcast
+MAX_HEADER_BYTES = 256 * 1024 * 1024
+# largest features x classes for which the sum is unrolled into scalar
 # expressions (bigger expression trees exceed the code generator's limits)
 UNROLL_MAX_TERMS = 512
 
 CLASSES = "classes"
 SCORES = "scores"
+PARTS = "_parts"
 
 
 def choose_scorer(model: NBModel, max_map_bytes: int = MAX_MAP_BYTES, max_map_values: int = MAX_MAP_VALUES) -> str:
@@ -65,31 +70,45 @@ def _with_map_model(test: DataFrame, model: NBModel, max_map_bytes: int) -> Data
     return test.join(F.broadcast(model.map_model), model.keys, "left")
 
 
-def _unrolled_class_scores(st: ModelStats) -> list[Column]:
+def _map_lookup(i: int) -> Column:
+    """lik[i][value_i], else fallback[i] (map scorer)."""
+    return F.coalesce(
+        F.try_element_at(F.try_element_at(F.col("lik"), F.lit(i)), F.get(F.col(FEATURES), i)),
+        F.try_element_at(F.col("fallback"), F.lit(i)),
+    )
+
+
+def _long_lookup(i: int) -> Column:
+    """The joined likelihood of part i, else fallback[i] (long scorer)."""
+    return F.coalesce(
+        F.get(F.col(PARTS), i)["c"],
+        F.try_element_at(F.col("fallback"), F.lit(i)),
+    )
+
+
+def _unrolled_class_scores(st: ModelStats, lookup, size: Column) -> list[Column]:
     """One scalar score expression per class slot 0..K-1 (null past a model's K).
 
-    Each feature's lookup ``lik[i][value]`` (else ``fallback[i]``) is written
-    once per class; Catalyst's subexpression elimination evaluates it once.
-    Rows with fewer features than the model skip the missing ones (``+ 0.0``
-    is exact); features beyond the model's count add ``ln(1e-10)`` each.
+    ``look_i`` (``lookup(i)``, null when the row has no feature i) is written
+    once per class, always as the first argument of ``coalesce``: an
+    always-evaluated position, so Catalyst's subexpression elimination
+    computes each lookup once per row (inside a ``when`` branch it would not,
+    and every lookup would run K times; measured 4x slower). ``pad_i`` is
+    ``ln(1e-10)`` for a feature the model does not know and ``0.0`` for a
+    feature the row does not have (``+ 0.0`` is exact); features beyond the
+    model's count add ``ln(1e-10)`` each.
     """
     m, k = st.max_features, max(st.max_classes, 1)
-    size = F.size(FEATURES)
-    looks = [
-        F.coalesce(
-            F.try_element_at(F.try_element_at(F.col("lik"), F.lit(i)), F.get(F.col(FEATURES), i)),
-            F.try_element_at(F.col("fallback"), F.lit(i)),
-        )
-        for i in range(m)
-    ]
     unknown = F.lit(UNKNOWN_LOG_PROB)
+    looks = [F.when(size > i, lookup(i)) for i in range(m)]
+    pads = [F.when(size > i, unknown).otherwise(F.lit(0.0)) for i in range(m)]
+    extra = F.when(size > m, (size - m).cast("double") * unknown).otherwise(F.lit(0.0))
     out = []
     for c in range(k):
         s = F.get(F.col("prior"), c)
         for i in range(m):
-            s = s + F.when(size > i, F.coalesce(F.get(looks[i], c), unknown)).otherwise(F.lit(0.0))
-        s = s + F.when(size > m, (size - m).cast("double") * unknown).otherwise(F.lit(0.0))
-        out.append(s)
+            s = s + F.coalesce(F.get(looks[i], c), pads[i])
+        out.append(s + extra)
     return out
 
 
@@ -100,8 +119,13 @@ def _unrolled_argmax(scores: list[Column]) -> tuple[Column, Column]:
     return F.get(F.col(CLASSES), -best["neg_j"]), best["s"]
 
 
-def _map_scores(joined: DataFrame, keys, ids) -> DataFrame:
-    parts = F.transform(
+def _array_scores(parts: Column) -> Column:
+    """prior + parts folded left to right (higher-order functions)."""
+    return fold_sum(F.col("prior"), parts)
+
+
+def _map_parts() -> Column:
+    return F.transform(
         FEATURES,
         lambda v, i: F.coalesce(
             F.try_element_at(F.try_element_at(F.col("lik"), i), v),
@@ -109,25 +133,45 @@ def _map_scores(joined: DataFrame, keys, ids) -> DataFrame:
             _unknown(F.size(CLASSES)),
         ),
     )
-    return joined.select(*keys, *ids, LABEL, CLASSES, fold_sum(F.col("prior"), parts).alias(SCORES))
 
 
-def _long_scores(test: DataFrame, model: NBModel, ids) -> DataFrame:
-    keys = model.keys
-    long = test.select(*keys, *ids, LABEL, F.posexplode_outer(FEATURES).alias(FEAT_IDX, VALUE))
-    sizes = model.header.select(*keys, F.size(CLASSES).alias("_k"))
-    joined = (
-        long.join(model.dense_likelihood, [*keys, FEAT_IDX, VALUE], "left")
-        .join(model.fallback_arrays, [*keys, FEAT_IDX], "left")
-        .join(sizes, keys, "left")
+def _long_parts() -> Column:
+    return F.transform(
+        PARTS,
+        lambda p: F.coalesce(
+            p["c"], F.try_element_at(F.col("fallback"), p["i"]), _unknown(F.size(CLASSES))
+        ),
     )
-    part = F.coalesce(F.col("log_liks"), F.col("log_fallbacks"), _unknown(F.col("_k")))
+
+
+def _long_grouped(test: DataFrame, model: NBModel, ids) -> DataFrame:
+    """(keys, ids, label, _parts, classes, prior, fallback): one row per test row.
+
+    ``_parts`` is the row's (feat_idx, likelihood array) list sorted by
+    feature; a value the model has not seen has a null array.
+    """
+    keys, st = model.keys, model.stats()
+    if st.header_bytes > MAX_HEADER_BYTES:
+        raise ValueError(
+            f"{st.max_classes} classes x {st.max_features} features is too large to score "
+            "(every row is scored against every class)"
+        )
+    dense = model.dense_likelihood
+    src = test
+    if st.dense_bytes <= MAX_DENSE_BROADCAST_BYTES:
+        # size-proven: broadcast the dense model and hash-partition the compact
+        # test rows by id once; explode, lookup and regrouping then reuse that
+        # partitioning, so no exploded row is ever shuffled. (Partitioning by
+        # the ids alone: a constant model key would be re-aliased downstream
+        # and hide that the grouping is already clustered.)
+        dense = F.broadcast(dense)
+        src = test.repartition(*ids)
+    long = src.select(*keys, *ids, LABEL, F.posexplode_outer(FEATURES).alias(FEAT_IDX, VALUE))
+    joined = long.join(dense, [*keys, FEAT_IDX, VALUE], "left")
     grouped = joined.groupBy(*keys, *ids, LABEL).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(FEAT_IDX).alias("i"), part.alias("c")))).alias("_parts")
+        F.array_sort(F.collect_list(F.struct(F.col(FEAT_IDX).alias("i"), F.col("log_liks").alias("c")))).alias(PARTS)
     )
-    scored = grouped.join(model.header.select(*keys, CLASSES, "prior"), keys, "left")
-    parts = F.transform("_parts", lambda p: p["c"])
-    return scored.select(*keys, *ids, LABEL, CLASSES, fold_sum(F.col("prior"), parts).alias(SCORES))
+    return grouped.join(F.broadcast(model.score_header), keys, "left")
 
 
 def _resolve(model: NBModel, ids, scorer: str, max_map_bytes: int, max_map_values: int) -> str:
@@ -157,8 +201,22 @@ def score_arrays(
     """(keys, ids, label, classes, scores): all class scores of each test row."""
     ids = list(ids)
     if _resolve(model, ids, scorer, max_map_bytes, max_map_values) == "long":
-        return _long_scores(test, model, ids)
-    return _map_scores(_with_map_model(test, model, max_map_bytes), model.keys, ids)
+        g = _long_grouped(test, model, ids)
+        return g.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(_long_parts()).alias(SCORES))
+    j = _with_map_model(test, model, max_map_bytes)
+    return j.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(_map_parts()).alias(SCORES))
+
+
+def _unrolled_source(test, model, ids, kind, max_map_bytes):
+    """(frame, per-class score expressions) when the sum can be unrolled, else None."""
+    st = model.stats()
+    if kind == "map_arrays" or not _unrollable(st):
+        return None
+    if kind == "map":
+        return _with_map_model(test, model, max_map_bytes), _unrolled_class_scores(
+            st, _map_lookup, F.size(FEATURES)
+        )
+    return _long_grouped(test, model, ids), _unrolled_class_scores(st, _long_lookup, F.size(PARTS))
 
 
 def predict(
@@ -172,10 +230,10 @@ def predict(
     """(keys, ids, label, prediction, score); rows without a model keep a null prediction."""
     ids = list(ids)
     kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
-    st = model.stats()
-    if kind == "map" and _unrollable(st):
-        joined = _with_map_model(test, model, max_map_bytes)
-        pred, best = _unrolled_argmax(_unrolled_class_scores(st))
+    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes)
+    if unrolled is not None:
+        joined, scores = unrolled
+        pred, best = _unrolled_argmax(scores)
     else:
         joined = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values)
         pred, best = argmax(F.col(CLASSES), F.col(SCORES))
@@ -193,14 +251,11 @@ def class_scores(
     """(keys, ids, label, class, score): one row per test row and class."""
     ids = list(ids)
     kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
-    st = model.stats()
-    if kind == "map" and _unrollable(st):
-        joined = _with_map_model(test, model, max_map_bytes)
+    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes)
+    if unrolled is not None:
+        joined, scores = unrolled
         pairs = F.array(
-            *[
-                F.struct(F.get(F.col(CLASSES), c).alias("class"), s.alias("score"))
-                for c, s in enumerate(_unrolled_class_scores(st))
-            ]
+            *[F.struct(F.get(F.col(CLASSES), c).alias("class"), s.alias("score")) for c, s in enumerate(scores)]
         )
         out = joined.select(*model.keys, *ids, LABEL, F.inline(pairs))
         return out.filter(F.col("class").isNotNull())

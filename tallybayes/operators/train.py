@@ -87,10 +87,20 @@ class ModelStats:
     min_features: int = 0
     max_features: int = 0
 
+    @property
+    def header_bytes(self) -> int:
+        """Rough size of the per-model header: classes, priors, fallback arrays."""
+        return self.n_models * self.max_classes * (80 + 8 * self.max_features)
+
+    @property
+    def dense_bytes(self) -> int:
+        """Rough size of the dense likelihood frame (one K-array per value)."""
+        return 8 * self.dense_cells + 64 * self.n_entries
+
     @property
     def map_bytes(self) -> int:
         """Rough size of the folded one-row-per-model form."""
-        return 8 * self.dense_cells + 64 * self.n_entries + 64 * self.max_classes * self.n_models
+        return self.dense_bytes + self.header_bytes
 
 
 class NBModel:
@@ -215,24 +225,32 @@ class NBModel:
             *self.keys, FEAT_IDX, VALUE, liks.alias("log_liks")
         )
 
+    @cached_property
+    def score_header(self) -> DataFrame:
+        """One row per model: sorted classes, priors and ``fallback`` map.
+
+        ``fallback``: map<feat_idx, array<double>> aligned with ``classes``.
+        Size bounded by ``stats().header_bytes``.
+        """
+        fb = self.fallback_arrays.groupBy(*self.keys).agg(
+            F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "log_fallbacks"))).alias("fallback")
+        )
+        return self.header.select(*self.keys, "classes", "prior").join(fb, self.keys, "left")
+
     @cached_property
     def map_model(self) -> DataFrame:
-        """One row per model: classes, prior, fallback and likelihood maps.
+        """``score_header`` plus ``lik``: map<feat_idx, map<value, array<double>>>.
 
-        ``lik``: map<feat_idx, map<value, array<double>>>; ``fallback``:
-        map<feat_idx, array<double>>; arrays aligned with ``classes``. Its size
-        is bounded by ``stats().map_bytes``, which the scorer checks first.
+        Its size is bounded by ``stats().map_bytes``, which the scorer checks
+        before building or broadcasting it.
         """
-        per_feat = (
+        lik = (
             self.dense_likelihood.groupBy(*self.keys, FEAT_IDX)
             .agg(F.map_from_entries(F.collect_list(F.struct(VALUE, "log_liks"))).alias("_lik"))
-            .join(self.fallback_arrays, [*self.keys, FEAT_IDX])
-        )
-        folded = per_feat.groupBy(*self.keys).agg(
-            F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "_lik"))).alias("lik"),
-            F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "log_fallbacks"))).alias("fallback"),
+            .groupBy(*self.keys)
+            .agg(F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "_lik"))).alias("lik"))
         )
-        return folded.join(self.header.select(*self.keys, "classes", "prior"), self.keys)
+        return self.score_header.join(lik, self.keys, "left")
 
     @cached_property
     def table(self) -> DataFrame:

@@ -114,3 +114,22 @@ def test_oversized_model_never_joins_without_broadcast(spark):
     assert [(r.id, r.prediction) for r in out] == [(3, "a")]
     with pytest.raises(ValueError):
         predict(test, m, [], scorer="map", max_map_bytes=1)
+
+
+def test_long_scorer_without_broadcast_matches(spark, monkeypatch):
+    import importlib
+
+    from tallybayes.plans.catalog import split_prepared
+    from tallybayes.sources import events_set
+
+    P = importlib.import_module("tallybayes.operators.predict")
+    df, spec = events_set(spark, "/root/testdata/sf0.001")
+    tr, te = split_prepared(df, spec)
+    m = train(tr)
+    want = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="map").collect())
+    monkeypatch.setattr(P, "MAX_DENSE_BROADCAST_BYTES", 0)
+    got = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="long").collect())
+    assert got == want and len(got) > 0
+    monkeypatch.setattr(P, "UNROLL_MAX_TERMS", 0)
+    got2 = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="long").collect())
+    assert got2 == want
