@@ -34,6 +34,7 @@ from tallybayes.sources.delimited import read_csv_table, read_text_table
 from tallybayes.sources.spec import DatasetSpec
 from tallybayes.sources.tables import (
     documents_lang,
+    documents_quality,
     events_set,
     lineitem_part,
     orders_set,
@@ -101,6 +102,25 @@ def nb_events_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy_of(*events_set(spark, sf_dir))
 
 
+def _quality_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec]:
+    """Document quality from language, source and a length bin fitted on training rows."""
+    df, spec = documents_quality(spark, sf_dir)
+    tr, te = hash_split(df, spec.ids)
+    edges = fit_bins(tr, ["n_chars"], bins=3)
+    model = train(prepare(edges.apply(tr), spec))
+    return predict(prepare(edges.apply(te), spec), model, spec.ids), spec
+
+
+def nb_quality_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred, spec = _quality_scored(spark, sf_dir)
+    return pred.select(*spec.ids, LABEL, "prediction", r9("score"))
+
+
+def nb_quality_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred, _ = _quality_scored(spark, sf_dir)
+    return accuracy(pred).select("n_test", "n_correct", r9("accuracy"))
+
+
 # -- data preparation ---------------------------------------------------------
 def class_distribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
@@ -251,10 +271,9 @@ def accuracy_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- scans of delimited files written from the tables --------------------------
 def _scratch(spark: SparkSession) -> str:
-    base = checkpoint_dir(spark)
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for scan round trips")
-    return f"{base.rstrip('/')}/scan-{uuid.uuid4().hex}"
+    """A fresh folder on shared storage: the checkpoint folder, else the warehouse."""
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/tallybayes-scan-{uuid.uuid4().hex}"
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,6 +342,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_lineitem_accuracy": nb_lineitem_accuracy,
     "nb_events_accuracy": nb_events_accuracy,
     "predict_long": predict_long,
+    "nb_quality_predict": nb_quality_predict,
+    "nb_quality_accuracy": nb_quality_accuracy,
     "class_distribution": class_distribution_q,
     "label_feature_project": label_feature_project,
     "wide_to_long": wide_to_long,

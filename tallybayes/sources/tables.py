@@ -102,12 +102,25 @@ def events_set(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec
     return df, DatasetSpec("events", ("props", "user", "hour"), "event_type", ("event_id",))
 
 
+def documents_quality(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec]:
+    """Labelled documents (inner join with ``labels``); label is the quality flag.
+
+    ``n_chars`` is numeric: bin it (``fit_bins`` on the training rows) before
+    training.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    df = docs.join(labels, "doc_id")
+    return df, DatasetSpec("documents_quality", ("lang", "source", "n_chars"), "quality", ("doc_id",))
+
+
 # name -> builder(spark, sf_dir) -> (DataFrame, DatasetSpec)
 DATASETS = {
     "documents_lang": documents_lang,
     "orders": orders_set,
     "lineitem": lineitem_part,
     "events": events_set,
+    "documents_quality": documents_quality,
 }
 
 
