@@ -32,6 +32,10 @@ from tallybayes.functions.exprs import log_fallback, log_likelihood, log_prior
 from tallybayes.operators.prepare import DATASET, FEAT_IDX, FEATURES, LABEL, VALUE
 
 N = "n"
+# per-model dimension frames (classes, vocabulary, headers) are broadcast into
+# joins with the larger count-derived frames when their size, known from
+# stats(), is below this bound; beyond it the join is left to AQE (skew split)
+MAX_DIM_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -114,6 +118,19 @@ class NBModel:
         self.counts = counts
         self.keys = list(keys)
 
+    def _dim(self, df: DataFrame, rows_per_model: int, row_bytes: int) -> DataFrame:
+        """Broadcast a per-model dimension frame whose size ``stats()`` bounds.
+
+        These frames are joined on the model key (plus class or feature),
+        which has few distinct values: without a broadcast each model's rows
+        would meet in one task. AQE itself declines to broadcast such a side
+        (all of it lands in one shuffle partition), so the hint is explicit.
+        """
+        st = self.stats()
+        if st.n_models * max(rows_per_model, 1) * row_bytes <= MAX_DIM_BROADCAST_BYTES:
+            return F.broadcast(df)
+        return df
+
     # -- relational parts --------------------------------------------------
     @cached_property
     def classes(self) -> DataFrame:
@@ -134,7 +151,7 @@ class NBModel:
     @cached_property
     def prior(self) -> DataFrame:
         """(keys, label, n_c, log_prior)."""
-        return self.classes.join(self.totals, self.keys).select(
+        return self.classes.join(self._dim(self.totals, 1, 64), self.keys).select(
             *self.keys,
             LABEL,
             "n_c",
@@ -151,9 +168,10 @@ class NBModel:
     @cached_property
     def likelihood(self) -> DataFrame:
         """(keys, feat_idx, value, label, n, log_lik) for every stored count."""
+        st = self.stats()
         return (
-            self.counts.join(self.classes, [*self.keys, LABEL])
-            .join(self.vocabulary, [*self.keys, FEAT_IDX])
+            self.counts.join(self._dim(self.classes, st.max_classes, 64), [*self.keys, LABEL])
+            .join(self._dim(self.vocabulary, st.max_features, 48), [*self.keys, FEAT_IDX])
             .select(
                 *self.keys,
                 FEAT_IDX,
@@ -183,7 +201,8 @@ class NBModel:
     @cached_property
     def _feature_header(self) -> DataFrame:
         """(keys, feat_idx, n_values, classes, class_counts, log_fallbacks)."""
-        return self.vocabulary.join(self.header.drop("prior"), self.keys).withColumn(
+        hdr = self._dim(self.header.drop("prior"), 1, 64 + 48 * self.stats().max_classes)
+        return self.vocabulary.join(hdr, self.keys).withColumn(
             "log_fallbacks",
             F.transform("class_counts", lambda n_c: log_fallback(n_c, F.col("n_values"))),
         )
@@ -212,7 +231,12 @@ class NBModel:
         by_class = self.counts.groupBy(*self.keys, FEAT_IDX, VALUE).agg(
             F.map_from_entries(F.collect_list(F.struct(LABEL, N))).alias("_by_class")
         )
-        fh = self._feature_header.select(*self.keys, FEAT_IDX, "n_values", "classes", "class_counts")
+        st = self.stats()
+        fh = self._dim(
+            self._feature_header.select(*self.keys, FEAT_IDX, "n_values", "classes", "class_counts"),
+            st.max_features,
+            64 + 48 * st.max_classes,
+        )
         liks = F.transform(
             "classes",
             lambda c, j: log_likelihood(
@@ -235,6 +259,8 @@ class NBModel:
         fb = self.fallback_arrays.groupBy(*self.keys).agg(
             F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "log_fallbacks"))).alias("fallback")
         )
+        st = self.stats()
+        fb = self._dim(fb, 1, 64 + st.max_features * (16 + 8 * st.max_classes))
         return self.header.select(*self.keys, "classes", "prior").join(fb, self.keys, "left")
 
     @cached_property
@@ -250,6 +276,8 @@ class NBModel:
             .groupBy(*self.keys)
             .agg(F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "_lik"))).alias("lik"))
         )
+        st = self.stats()
+        lik = self._dim(lik, 1, st.map_bytes // max(st.n_models, 1))
         return self.score_header.join(lik, self.keys, "left")
 
     @cached_property
@@ -281,21 +309,25 @@ class NBModel:
 
     # -- driver-side scalars --------------------------------------------------
     def stats(self) -> ModelStats:
-        """Model size figures: one tiny aggregate over the vocabulary frame."""
+        """Model size figures, returned to the driver as a handful of scalars.
+
+        Per-model aggregates of the vocabulary and of the class totals (one
+        row per model each) are joined 1:1, so nothing here is skewed or
+        broadcast; every broadcast decision elsewhere is based on these.
+        """
         if "_stats" not in self.__dict__:
-            per = self.vocabulary.join(self.totals, self.keys).groupBy(*self.keys).agg(
+            per_vocab = self.vocabulary.groupBy(*self.keys).agg(
                 F.max("n_values").alias("mv"),
                 F.sum("n_values").alias("ne"),
-                F.sum(F.col("n_values") * F.col("n_classes")).alias("cells"),
-                F.max("n_classes").alias("k"),
                 F.count(F.lit(1)).alias("m"),
             )
+            per = per_vocab.join(self.totals, self.keys)
             row = per.agg(
                 F.count(F.lit(1)).alias("models"),
-                F.max("k").alias("k"),
+                F.max("n_classes").alias("k"),
                 F.max("mv").alias("mv"),
                 F.sum("ne").alias("ne"),
-                F.sum("cells").alias("cells"),
+                F.sum(F.col("ne") * F.col("n_classes")).alias("cells"),
                 F.min("m").alias("min_m"),
                 F.max("m").alias("max_m"),
             ).first()
