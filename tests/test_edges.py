@@ -133,3 +133,21 @@ def test_long_scorer_without_broadcast_matches(spark, monkeypatch):
     monkeypatch.setattr(P, "UNROLL_MAX_TERMS", 0)
     got2 = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="long").collect())
     assert got2 == want
+
+
+def test_dimension_frames_without_broadcast_give_same_model(spark, monkeypatch):
+    import importlib
+
+    from tallybayes.plans.catalog import split_prepared
+    from tallybayes.sources import orders_set
+
+    T = importlib.import_module("tallybayes.operators.train")
+    df, spec = orders_set(spark, "/root/testdata/sf0.001")
+    tr, te = split_prepared(df, spec)
+    m = train(tr)
+    want_lik = sorted(tuple(r) for r in m.likelihood.collect())
+    want = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="long").collect())
+    monkeypatch.setattr(T, "MAX_DIM_BROADCAST_BYTES", 0)
+    m2 = T.NBModel(m.counts, m.keys)
+    assert sorted(tuple(r) for r in m2.likelihood.collect()) == want_lik
+    assert sorted(tuple(r) for r in predict(te, m2, spec.ids, scorer="long").collect()) == want

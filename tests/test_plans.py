@@ -96,3 +96,18 @@ def test_unrolled_map_scorer_stays_in_whole_stage_codegen(spark):
     proj = [ln for ln in text.splitlines() if "Project" in ln and "greatest" in ln]
     assert proj and all(re.search(r"\*\(\d+\) Project", ln) for ln in proj), proj
     assert "lambdafunction" not in text.split("BroadcastExchange")[0]
+
+
+def test_no_sort_merge_join_on_the_model_key_alone(spark):
+    df, spec = lineitem_part(spark, SF)
+    tr, te = split_prepared(df, spec)
+    model = train(tr)
+    for scorer in ("map", "long"):
+        pred = predict(te, model, spec.ids, scorer=scorer)
+        pred.collect()
+        text = plan_text(pred).split("== Initial Plan ==")[0]
+        for ln in text.splitlines():
+            m = re.search(r"SortMergeJoin \[([^\]]*)\]", ln)
+            if m:
+                keys = [k.split("#")[0] for k in m.group(1).split(", ")]
+                assert keys != ["dataset"] and keys != ["dataset", "label"], ln
