@@ -35,8 +35,12 @@ def as_category(c: Column) -> Column:
 
 
 def split_key(*cols: str | Column) -> Column:
-    """String key of one or more id columns ('|'-joined when several)."""
-    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    """String key of one or more id columns ('|'-joined when several).
+
+    A null id part counts as the empty string, so a row with a null id still
+    lands in exactly one side of the split instead of vanishing from both.
+    """
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols]
     if len(parts) == 1:
         return parts[0]
     return F.concat_ws("|", *parts)

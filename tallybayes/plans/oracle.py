@@ -16,10 +16,8 @@ R = 9  # rounding digits, as in the Spark queries
 
 
 def bucket(*cols: str) -> str:
-    if len(cols) == 1:
-        key = f"CAST({cols[0]} AS VARCHAR)"
-    else:
-        key = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    parts = [f"COALESCE(CAST({c} AS VARCHAR), '')" for c in cols]
+    key = parts[0] if len(parts) == 1 else "concat_ws('|', " + ", ".join(parts) + ")"
     return f"(CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 100)"
 
 

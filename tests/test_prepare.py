@@ -89,3 +89,11 @@ def test_dataset_registry(spark):
     for name in DATASETS:
         df, spec = load_dataset(spark, SF, name)
         assert set(spec.columns) <= set(df.columns)
+
+
+def test_hash_split_keeps_rows_with_null_ids(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "k int, x string")
+    tr, te = hash_split(df, ["k"])
+    assert tr.count() + te.count() == 3
+    tr2, te2 = hash_split(df, ["k", "x"])
+    assert tr2.count() + te2.count() == 3
