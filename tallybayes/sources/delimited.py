@@ -43,8 +43,12 @@ def read_csv_table(spark: SparkSession, path: str, columns, sep: str = ",") -> D
 
 
 def read_text_fields(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """One row per line: the line stripped of outer whitespace, split on ``sep``."""
-    line = F.regexp_replace(F.col("value"), r"^\s+|\s+$", "")
+    """One row per line: the line stripped of outer whitespace, split on ``sep``.
+
+    Whitespace is Unicode-aware (``(?U)``), so e.g. a no-break space at a line
+    end is stripped too.
+    """
+    line = F.regexp_replace(F.col("value"), r"(?U)^\s+|\s+$", "")
     return spark.read.text(path).select(F.split(line, re.escape(sep), -1).alias(FIELDS))
 
 

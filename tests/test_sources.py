@@ -91,3 +91,9 @@ def test_mushroom_label_first_layout(spark, scratch):
     assert m.counts.count() == 60
     out = predict(p, m, ["row_id"]).collect()
     assert all(r.prediction == r.label for r in out)
+
+
+def test_text_strip_is_unicode_aware(spark, scratch):
+    path = write_lines(scratch, [" x,y,c1　", "\tx,y,c2 "])
+    rows = sorted(tuple(r) for r in read_text_table(spark, path, COLS).collect())
+    assert rows == [("x", "y", "c1"), ("x", "y", "c2")]
