@@ -69,14 +69,17 @@ def long_form(prepared: DataFrame, keep=()) -> DataFrame:
     return prepared.select(*keep, F.posexplode_outer(FEATURES).alias(FEAT_IDX, VALUE))
 
 
-def count_features(prepared: DataFrame, keys=(DATASET,)) -> DataFrame:
-    """(keys, feat_idx, value, label, n): the sufficient statistics."""
+def count_features(prepared: DataFrame, keys=(DATASET,), weight: str | None = None) -> DataFrame:
+    """(keys, feat_idx, value, label, n): the sufficient statistics.
+
+    With ``weight`` each row counts that many times (a multiplicity column):
+    the counts equal those of the rows replicated ``weight`` times, without
+    materialising the copies.
+    """
     rows = prepared.filter(F.col(LABEL).isNotNull())
-    return (
-        long_form(rows, keep=(*keys, LABEL))
-        .groupBy(*keys, FEAT_IDX, VALUE, LABEL)
-        .agg(F.count(F.lit(1)).alias(N))
-    )
+    keep = (*keys, LABEL) if weight is None else (*keys, LABEL, weight)
+    n = F.count(F.lit(1)) if weight is None else F.sum(F.col(weight).cast("bigint"))
+    return long_form(rows, keep=keep).groupBy(*keys, FEAT_IDX, VALUE, LABEL).agg(n.alias(N))
 
 
 @dataclass(frozen=True)
@@ -352,9 +355,13 @@ class NBModel:
         return cls(spark.read.parquet(path), keys)
 
 
-def train(prepared: DataFrame, keys=(DATASET,), durable: bool = True) -> NBModel:
-    """Fit a model per key from canonical rows; rows with a null label are ignored."""
-    counts = count_features(prepared, keys)
+def train(prepared: DataFrame, keys=(DATASET,), durable: bool = True, weight: str | None = None) -> NBModel:
+    """Fit a model per key from canonical rows; rows with a null label are ignored.
+
+    ``weight`` names an optional integer multiplicity column (see
+    ``count_features``).
+    """
+    counts = count_features(prepared, keys, weight)
     if durable:
         counts = make_durable(counts)
     return NBModel(counts, keys)

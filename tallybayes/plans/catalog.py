@@ -299,6 +299,14 @@ def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- experiment sweep: one model per (dataset, scale) in one job ---------------
 def experiment_predictions(spark: SparkSession, sf_dir: str, scales=EXPERIMENT_SCALES) -> tuple[NBModel, DataFrame]:
+    """Models for every dataset and replication scale, trained and applied in one job.
+
+    Training rows replicated ``scale`` times are counted through a
+    multiplicity column (``weight = scale``): the counts are exactly those of
+    the replicated rows, but the data is read and exploded once, not
+    ``sum(scales)`` times. Test rows are the base test split, scored once per
+    scale's model.
+    """
     parts = []
     for df, spec in (orders_set(spark, sf_dir), events_set(spark, sf_dir)):
         (rid,) = spec.ids
@@ -309,9 +317,9 @@ def experiment_predictions(spark: SparkSession, sf_dir: str, scales=EXPERIMENT_S
     train_rows = parts[0][0].unionByName(parts[1][0])
     test_rows = parts[0][1].unionByName(parts[1][1])
     scale_col = F.explode(F.array(*[F.lit(int(s)) for s in scales]))
-    train_rows = replicate(train_rows.withColumn("scale", scale_col), F.col("scale")).drop("copy")
+    train_rows = train_rows.withColumn("scale", scale_col)
     test_rows = test_rows.withColumn("scale", scale_col)
-    model = train(train_rows, keys=(DATASET, "scale"))
+    model = train(train_rows, keys=(DATASET, "scale"), weight="scale")
     return model, predict(test_rows, model, ["row_id"])
 
 

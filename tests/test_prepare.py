@@ -97,3 +97,11 @@ def test_hash_split_keeps_rows_with_null_ids(spark):
     assert tr.count() + te.count() == 3
     tr2, te2 = hash_split(df, ["k", "x"])
     assert tr2.count() + te2.count() == 3
+
+
+def test_weighted_counts_equal_replicated_counts(spark):
+    df, spec = orders_set(spark, SF)
+    p = prepare(df, spec)
+    rep = sorted(tuple(r) for r in train(replicate(p, 3).drop("copy")).likelihood.collect())
+    wtd = sorted(tuple(r) for r in train(p.withColumn("w", F.lit(3)), weight="w").likelihood.collect())
+    assert rep == wtd
