@@ -144,7 +144,7 @@ def _long_parts() -> Column:
     )
 
 
-def _long_grouped(test: DataFrame, model: NBModel, ids) -> DataFrame:
+def _long_grouped(test: DataFrame, model: NBModel, ids, max_dense_bytes: int | None = None) -> DataFrame:
     """(keys, ids, label, _parts, classes, prior, fallback): one row per test row.
 
     ``_parts`` is the row's (feat_idx, likelihood array) list sorted by
@@ -158,7 +158,8 @@ def _long_grouped(test: DataFrame, model: NBModel, ids) -> DataFrame:
         )
     dense = model.dense_likelihood
     src = test
-    if st.dense_bytes <= MAX_DENSE_BROADCAST_BYTES:
+    limit = MAX_DENSE_BROADCAST_BYTES if max_dense_bytes is None else max_dense_bytes
+    if st.dense_bytes <= limit:
         # size-proven: broadcast the dense model and hash-partition the compact
         # test rows by id once; explode, lookup and regrouping then reuse that
         # partitioning, so no exploded row is ever shuffled. (Partitioning by
@@ -197,17 +198,18 @@ def score_arrays(
     scorer: str = "auto",
     max_map_bytes: int = MAX_MAP_BYTES,
     max_map_values: int = MAX_MAP_VALUES,
+    max_dense_bytes: int | None = None,
 ) -> DataFrame:
     """(keys, ids, label, classes, scores): all class scores of each test row."""
     ids = list(ids)
     if _resolve(model, ids, scorer, max_map_bytes, max_map_values) == "long":
-        g = _long_grouped(test, model, ids)
+        g = _long_grouped(test, model, ids, max_dense_bytes)
         return g.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(_long_parts()).alias(SCORES))
     j = _with_map_model(test, model, max_map_bytes)
     return j.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(_map_parts()).alias(SCORES))
 
 
-def _unrolled_source(test, model, ids, kind, max_map_bytes):
+def _unrolled_source(test, model, ids, kind, max_map_bytes, max_dense_bytes=None):
     """(frame, per-class score expressions) when the sum can be unrolled, else None."""
     st = model.stats()
     if kind == "map_arrays" or not _unrollable(st):
@@ -216,7 +218,7 @@ def _unrolled_source(test, model, ids, kind, max_map_bytes):
         return _with_map_model(test, model, max_map_bytes), _unrolled_class_scores(
             st, _map_lookup, F.size(FEATURES)
         )
-    return _long_grouped(test, model, ids), _unrolled_class_scores(st, _long_lookup, F.size(PARTS))
+    return _long_grouped(test, model, ids, max_dense_bytes), _unrolled_class_scores(st, _long_lookup, F.size(PARTS))
 
 
 def predict(
@@ -226,16 +228,21 @@ def predict(
     scorer: str = "auto",
     max_map_bytes: int = MAX_MAP_BYTES,
     max_map_values: int = MAX_MAP_VALUES,
+    max_dense_bytes: int | None = None,
 ) -> DataFrame:
-    """(keys, ids, label, prediction, score); rows without a model keep a null prediction."""
+    """(keys, ids, label, prediction, score); rows without a model keep a null prediction.
+
+    ``max_dense_bytes`` overrides the long scorer's broadcast bound for the
+    dense likelihood frame (0 forces the shuffle-join tier).
+    """
     ids = list(ids)
     kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
-    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes)
+    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_dense_bytes)
     if unrolled is not None:
         joined, scores = unrolled
         pred, best = _unrolled_argmax(scores)
     else:
-        joined = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values)
+        joined = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes)
         pred, best = argmax(F.col(CLASSES), F.col(SCORES))
     return joined.select(*model.keys, *ids, LABEL, pred.alias("prediction"), best.alias("score"))
 
@@ -247,11 +254,12 @@ def class_scores(
     scorer: str = "auto",
     max_map_bytes: int = MAX_MAP_BYTES,
     max_map_values: int = MAX_MAP_VALUES,
+    max_dense_bytes: int | None = None,
 ) -> DataFrame:
     """(keys, ids, label, class, score): one row per test row and class."""
     ids = list(ids)
     kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
-    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes)
+    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_dense_bytes)
     if unrolled is not None:
         joined, scores = unrolled
         pairs = F.array(
@@ -259,7 +267,7 @@ def class_scores(
         )
         out = joined.select(*model.keys, *ids, LABEL, F.inline(pairs))
         return out.filter(F.col("class").isNotNull())
-    scored = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values)
+    scored = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes)
     pairs = F.transform(
         CLASSES, lambda c, j: F.struct(c.alias("class"), F.get(F.col(SCORES), j).alias("score"))
     )

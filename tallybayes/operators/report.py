@@ -57,36 +57,43 @@ def pivot_table(
     )
 
 
-def speedups(records: DataFrame, value: str = "total_time") -> DataFrame:
+# API name -> (baseline implementation, optimised implementation)
+DEFAULT_APIS = (("RDD", RDD_BASELINE, RDD_OPTIMISED), ("DF", DF_BASELINE, DF_OPTIMISED))
+
+
+def speedups(records: DataFrame, value: str = "total_time", apis=DEFAULT_APIS) -> DataFrame:
     """Per dataset and size: base/optimised ratio per API and the faster API.
 
-    Only sizes where all four implementations have a record are reported.
+    ``apis`` is two ``(name, baseline impl, optimised impl)`` triples; the
+    first API wins only when its best time is strictly smaller. Only sizes
+    where all four implementations have a record are reported.
     """
     rec = complete_records(records)
+    (a, a_base, a_opt), (b, b_base, b_opt) = apis
 
     def cell(impl: str) -> Column:
         return F.max(F.when(F.col("impl") == impl, F.col(value)))
 
     wide = rec.groupBy("dataset", "size_label").agg(
-        cell(RDD_BASELINE).alias("rdd_base"),
-        cell(RDD_OPTIMISED).alias("rdd_opt"),
-        cell(DF_BASELINE).alias("df_base"),
-        cell(DF_OPTIMISED).alias("df_opt"),
+        cell(a_base).alias("a_base"),
+        cell(a_opt).alias("a_opt"),
+        cell(b_base).alias("b_base"),
+        cell(b_opt).alias("b_opt"),
     )
     complete = wide.filter(
-        F.col("rdd_base").isNotNull()
-        & F.col("rdd_opt").isNotNull()
-        & F.col("df_base").isNotNull()
-        & F.col("df_opt").isNotNull()
+        F.col("a_base").isNotNull()
+        & F.col("a_opt").isNotNull()
+        & F.col("b_base").isNotNull()
+        & F.col("b_opt").isNotNull()
     )
-    best_rdd = F.least("rdd_base", "rdd_opt")
-    best_df = F.least("df_base", "df_opt")
+    best_a = F.least("a_base", "a_opt")
+    best_b = F.least("b_base", "b_opt")
     return complete.select(
         "dataset",
         "size_label",
-        (F.col("rdd_base") / F.col("rdd_opt")).alias("rdd_speedup"),
-        (F.col("df_base") / F.col("df_opt")).alias("df_speedup"),
-        F.when(best_rdd < best_df, F.lit("RDD")).otherwise(F.lit("DF")).alias("winner"),
+        (F.col("a_base") / F.col("a_opt")).alias(f"{a.lower()}_speedup"),
+        (F.col("b_base") / F.col("b_opt")).alias(f"{b.lower()}_speedup"),
+        F.when(best_a < best_b, F.lit(a)).otherwise(F.lit(b)).alias("winner"),
     )
 
 

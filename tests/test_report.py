@@ -78,3 +78,9 @@ def test_mean_by_and_accuracy_listing(records):
     assert means[DF_OPTIMISED] == pytest.approx((1.5 + 10.5) / 2)
     lst = accuracy_listing(records).collect()
     assert len(lst) == records.count() and lst[0].dataset == "car"
+
+
+def test_speedups_with_custom_implementation_pairs(spark):
+    rows = [("d", i, 1, 1, t, 0.0, 1.0) for i, t in [("A0", 4.0), ("A1", 2.0), ("B0", 3.0), ("B1", 1.0)]]
+    out = speedups(spark.createDataFrame(rows, DDL), apis=(("A", "A0", "A1"), ("B", "B0", "B1"))).first()
+    assert (out.a_speedup, out.b_speedup, out.winner) == (2.0, 3.0, "B")
