@@ -13,6 +13,7 @@ from tallybayes.sources.fixed import (
     mushroom_table,
     string_schema,
 )
+from tallybayes.sources.loaders import load_car, load_labelled, load_mushroom
 from tallybayes.sources.spec import DatasetSpec
 from tallybayes.sources.tables import (
     DATASETS,
@@ -38,7 +39,10 @@ __all__ = [
     "events_set",
     "inline_table",
     "lineitem_part",
+    "load_car",
     "load_dataset",
+    "load_labelled",
+    "load_mushroom",
     "mushroom_table",
     "orders_set",
     "read_csv_table",

@@ -97,3 +97,22 @@ def test_text_strip_is_unicode_aware(spark, scratch):
     path = write_lines(scratch, [" x,y,c1　", "\tx,y,c2 "])
     rows = sorted(tuple(r) for r in read_text_table(spark, path, COLS).collect())
     assert rows == [("x", "y", "c1"), ("x", "y", "c2")]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "text"])
+def test_loaders_read_split_train_and_predict(spark, scratch, fmt):
+    from tallybayes import accuracy
+    from tallybayes.sources import load_car, load_mushroom
+
+    rows = [",".join(r) for r in CAR_ROWS] * 40
+    path = write_lines(scratch, rows)
+    tr, te, spec = load_car(spark, path, fmt=fmt)
+    assert tr.count() + te.count() == 200
+    model = train(prepare(tr, spec))
+    acc = accuracy(predict(prepare(te, spec), model, ["row_id"])).first()
+    assert acc.n_test == te.count() and 0.0 <= acc.accuracy <= 1.0
+    htr, hte, _ = load_car(spark, path, fmt=fmt, split="hash")
+    assert htr.count() + hte.count() == 200
+    # no path: the inline rows
+    itr, ite, mspec = load_mushroom(spark)
+    assert itr.count() + ite.count() == 5 and mspec.label == "label"
