@@ -14,10 +14,14 @@ features in column order, added left to right):
     evaluates interpreted (about 6x slower per row, measured).
 
 ``long`` (large vocabularies)
-    Test rows go to long form, join the dense likelihood frame on
-    (key, feature, value) and are regrouped by row id. Two shuffles, but no
-    part of the model has to fit in one task; skewed values are split by AQE's
-    skew-join handling.
+    Test rows go to long form, left-join the dense likelihood frame on
+    (key, feature, value) and are regrouped by row id; a value the model has
+    not seen takes the fallback from the broadcast per-model header. When
+    ``stats()`` proves the dense frame small enough it is broadcast and the
+    compact test rows are hash-partitioned by id once, so the plan has a
+    single exchange; otherwise a sort-merge join (hot values split by AQE's
+    skew-join handling) is followed by a shuffle by row id, and no part of
+    the model has to fit in one task. The final sum is unrolled as above.
 
 ``map_arrays`` forces the array form of the map scorer (no unrolling).
 ``auto`` picks ``map`` when ``NBModel.stats()`` says the folded model is
