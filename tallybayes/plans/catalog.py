@@ -33,8 +33,8 @@ from tallybayes.operators.train import NBModel, checkpoint_dir, long_form, train
 from tallybayes.sources.delimited import read_csv_table, read_text_table
 from tallybayes.sources.spec import DatasetSpec
 from tallybayes.sources.tables import (
+    documents_labelled,
     documents_lang,
-    documents_quality,
     events_set,
     lineitem_part,
     orders_set,
@@ -85,6 +85,10 @@ def nb_orders_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions(*orders_set(spark, sf_dir))
 
 
+def nb_orders_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return accuracy_of(*orders_set(spark, sf_dir))
+
+
 def nb_lineitem_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions(*lineitem_part(spark, sf_dir))
 
@@ -102,9 +106,9 @@ def nb_events_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy_of(*events_set(spark, sf_dir))
 
 
-def _quality_scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec]:
-    """Document quality from language, source and a length bin fitted on training rows."""
-    df, spec = documents_quality(spark, sf_dir)
+def _quality_scored(spark: SparkSession, sf_dir: str, label: str = "quality") -> tuple[DataFrame, DatasetSpec]:
+    """A document flag from language, source and a length bin fitted on training rows."""
+    df, spec = documents_labelled(spark, sf_dir, label)
     tr, te = hash_split(df, spec.ids)
     edges = fit_bins(tr, ["n_chars"], bins=3)
     model = train(prepare(edges.apply(tr), spec))
@@ -121,6 +125,11 @@ def nb_quality_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy(pred).select("n_test", "n_correct", r9("accuracy"))
 
 
+def nb_toxic_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred, _ = _quality_scored(spark, sf_dir, "toxic")
+    return accuracy(pred).select("n_test", "n_correct", r9("accuracy"))
+
+
 # -- data preparation ---------------------------------------------------------
 def class_distribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
@@ -346,12 +355,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_lang_predict": nb_lang_predict,
     "nb_lang_accuracy": nb_lang_accuracy,
     "nb_orders_predict": nb_orders_predict,
+    "nb_orders_accuracy": nb_orders_accuracy,
     "nb_lineitem_predict": nb_lineitem_predict,
     "nb_lineitem_accuracy": nb_lineitem_accuracy,
     "nb_events_accuracy": nb_events_accuracy,
     "predict_long": predict_long,
     "nb_quality_predict": nb_quality_predict,
     "nb_quality_accuracy": nb_quality_accuracy,
+    "nb_toxic_accuracy": nb_toxic_accuracy,
     "class_distribution": class_distribution_q,
     "label_feature_project": label_feature_project,
     "wide_to_long": wide_to_long,

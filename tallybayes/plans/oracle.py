@@ -66,23 +66,31 @@ LINEITEM_BASE = (
 )
 
 QUALITY_IDS = ("doc_id",)
-QUALITY_BASE = (
-    "WITH raw AS (SELECT d.doc_id, CAST(l.quality AS VARCHAR) AS label, d.lang, d.source, d.n_chars, "
-    + bucket("d.doc_id")
-    + " AS bucket FROM documents d JOIN labels l ON d.doc_id = l.doc_id), "
-    "e AS (SELECT min(CAST(n_chars AS DOUBLE)) AS lo, "
-    "(max(CAST(n_chars AS DOUBLE)) - min(CAST(n_chars AS DOUBLE))) / 3 AS w FROM raw WHERE bucket < 80) "
-    "SELECT doc_id, label, "
-    + _features(
-        [
-            "lang",
-            "source",
-            "CAST(CASE WHEN n_chars IS NULL THEN NULL WHEN w = 0 THEN 0 "
-            "ELSE least(greatest(floor((n_chars - lo) / w), 0), 2) END AS BIGINT)",
-        ]
+
+
+def documents_flag_base(flag: str) -> str:
+    """Documents joined with their label flag; length binned on the training rows."""
+    return (
+        f"WITH raw AS (SELECT d.doc_id, CAST(l.{flag} AS VARCHAR) AS label, d.lang, d.source, d.n_chars, "
+        + bucket("d.doc_id")
+        + " AS bucket FROM documents d JOIN labels l ON d.doc_id = l.doc_id), "
+        "e AS (SELECT min(CAST(n_chars AS DOUBLE)) AS lo, "
+        "(max(CAST(n_chars AS DOUBLE)) - min(CAST(n_chars AS DOUBLE))) / 3 AS w FROM raw WHERE bucket < 80) "
+        "SELECT doc_id, label, "
+        + _features(
+            [
+                "lang",
+                "source",
+                "CAST(CASE WHEN n_chars IS NULL THEN NULL WHEN w = 0 THEN 0 "
+                "ELSE least(greatest(floor((n_chars - lo) / w), 0), 2) END AS BIGINT)",
+            ]
+        )
+        + ", bucket FROM raw CROSS JOIN e"
     )
-    + ", bucket FROM raw CROSS JOIN e"
-)
+
+
+QUALITY_BASE = documents_flag_base("quality")
+TOXIC_BASE = documents_flag_base("toxic")
 
 EVENTS_IDS = ("event_id",)
 EVENTS_BASE = (
@@ -208,12 +216,14 @@ def oracle_sql() -> dict[str, str]:
         "nb_lang_predict": predictions_sql(LANG_BASE, LANG_IDS, len(LANG_WORDS)),
         "nb_lang_accuracy": accuracy_sql(LANG_BASE, LANG_IDS, len(LANG_WORDS)),
         "nb_orders_predict": predictions_sql(ORDERS_BASE, ORDERS_IDS, 3),
+        "nb_orders_accuracy": accuracy_sql(ORDERS_BASE, ORDERS_IDS, 3),
         "nb_lineitem_predict": predictions_sql(LINEITEM_BASE, LINEITEM_IDS, lik_m),
         "nb_lineitem_accuracy": accuracy_sql(LINEITEM_BASE, LINEITEM_IDS, lik_m),
         "nb_events_accuracy": accuracy_sql(EVENTS_BASE, EVENTS_IDS, 3),
         "predict_long": predictions_sql(EVENTS_BASE, EVENTS_IDS, 3),
         "nb_quality_predict": predictions_sql(QUALITY_BASE, QUALITY_IDS, 3),
         "nb_quality_accuracy": accuracy_sql(QUALITY_BASE, QUALITY_IDS, 3),
+        "nb_toxic_accuracy": accuracy_sql(TOXIC_BASE, QUALITY_IDS, 3),
         "class_distribution": (
             "SELECT o_orderpriority, CAST(COUNT(*) AS BIGINT) AS count FROM orders "
             "GROUP BY o_orderpriority ORDER BY count DESC, o_orderpriority"

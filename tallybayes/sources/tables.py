@@ -102,16 +102,24 @@ def events_set(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec
     return df, DatasetSpec("events", ("props", "user", "hour"), "event_type", ("event_id",))
 
 
-def documents_quality(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec]:
-    """Labelled documents (inner join with ``labels``); label is the quality flag.
+def documents_labelled(spark: SparkSession, sf_dir: str, label: str = "quality") -> tuple[DataFrame, DatasetSpec]:
+    """Labelled documents (inner join with ``labels``); label ``quality`` or ``toxic``.
 
     ``n_chars`` is numeric: bin it (``fit_bins`` on the training rows) before
     training.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", label)
     df = docs.join(labels, "doc_id")
-    return df, DatasetSpec("documents_quality", ("lang", "source", "n_chars"), "quality", ("doc_id",))
+    return df, DatasetSpec(f"documents_{label}", ("lang", "source", "n_chars"), label, ("doc_id",))
+
+
+def documents_quality(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec]:
+    return documents_labelled(spark, sf_dir, "quality")
+
+
+def documents_toxic(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec]:
+    return documents_labelled(spark, sf_dir, "toxic")
 
 
 # name -> builder(spark, sf_dir) -> (DataFrame, DatasetSpec)
@@ -121,6 +129,7 @@ DATASETS = {
     "lineitem": lineitem_part,
     "events": events_set,
     "documents_quality": documents_quality,
+    "documents_toxic": documents_toxic,
 }
 
 
