@@ -163,9 +163,19 @@ class NBModel:
 
     @cached_property
     def vocabulary(self) -> DataFrame:
-        """(keys, feat_idx, n_values): exact distinct values per feature."""
-        return self.counts.groupBy(*self.keys, FEAT_IDX).agg(
-            F.count_distinct(VALUE).alias("n_values")
+        """(keys, feat_idx, n_values): exact distinct values per feature.
+
+        Counted as the rows of ``_by_value`` (one row per distinct value), so
+        the shuffle that groups values is shared with the likelihood arrays
+        instead of a separate two-phase distinct count.
+        """
+        return self._by_value.groupBy(*self.keys, FEAT_IDX).agg(F.count(F.lit(1)).alias("n_values"))
+
+    @cached_property
+    def _by_value(self) -> DataFrame:
+        """(keys, feat_idx, value, _by_class): class -> count map per value."""
+        return self.counts.groupBy(*self.keys, FEAT_IDX, VALUE).agg(
+            F.map_from_entries(F.collect_list(F.struct(LABEL, N))).alias("_by_class")
         )
 
     @cached_property
@@ -231,14 +241,18 @@ class NBModel:
         A class never seen with the value gets n = 0, which is exactly the
         fallback ln(1 / (n_c + V_f)).
         """
-        by_class = self.counts.groupBy(*self.keys, FEAT_IDX, VALUE).agg(
-            F.map_from_entries(F.collect_list(F.struct(LABEL, N))).alias("_by_class")
-        )
+        return self._dense_with_fallbacks.drop("log_fallbacks")
+
+    @cached_property
+    def _dense_with_fallbacks(self) -> DataFrame:
+        """``dense_likelihood`` plus the feature's ``log_fallbacks`` array."""
         st = self.stats()
         fh = self._dim(
-            self._feature_header.select(*self.keys, FEAT_IDX, "n_values", "classes", "class_counts"),
+            self._feature_header.select(
+                *self.keys, FEAT_IDX, "n_values", "classes", "class_counts", "log_fallbacks"
+            ),
             st.max_features,
-            64 + 48 * st.max_classes,
+            64 + 56 * st.max_classes,
         )
         liks = F.transform(
             "classes",
@@ -248,8 +262,8 @@ class NBModel:
                 F.col("n_values"),
             ),
         )
-        return by_class.join(fh, [*self.keys, FEAT_IDX]).select(
-            *self.keys, FEAT_IDX, VALUE, liks.alias("log_liks")
+        return self._by_value.join(fh, [*self.keys, FEAT_IDX]).select(
+            *self.keys, FEAT_IDX, VALUE, liks.alias("log_liks"), "log_fallbacks"
         )
 
     @cached_property
@@ -273,15 +287,19 @@ class NBModel:
         Its size is bounded by ``stats().map_bytes``, which the scorer checks
         before building or broadcasting it.
         """
-        lik = (
-            self.dense_likelihood.groupBy(*self.keys, FEAT_IDX)
-            .agg(F.map_from_entries(F.collect_list(F.struct(VALUE, "log_liks"))).alias("_lik"))
-            .groupBy(*self.keys)
-            .agg(F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "_lik"))).alias("lik"))
+        # each feature's group carries its fallback array, so likelihood and
+        # fallback maps fold in the same two aggregations
+        per_feat = self._dense_with_fallbacks.groupBy(*self.keys, FEAT_IDX).agg(
+            F.map_from_entries(F.collect_list(F.struct(VALUE, "log_liks"))).alias("_lik"),
+            F.first("log_fallbacks").alias("_fb"),
+        )
+        folded = per_feat.groupBy(*self.keys).agg(
+            F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "_lik"))).alias("lik"),
+            F.map_from_entries(F.collect_list(F.struct(FEAT_IDX, "_fb"))).alias("fallback"),
         )
         st = self.stats()
-        lik = self._dim(lik, 1, st.map_bytes // max(st.n_models, 1))
-        return self.score_header.join(lik, self.keys, "left")
+        folded = self._dim(folded, 1, st.map_bytes // max(st.n_models, 1))
+        return self.header.select(*self.keys, "classes", "prior").join(folded, self.keys, "left")
 
     @cached_property
     def table(self) -> DataFrame:
