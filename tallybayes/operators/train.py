@@ -21,6 +21,7 @@ else persisted.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -58,6 +59,21 @@ def make_durable(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def stage_table(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, but the result is columnar and
+    compressed, so later reads prune columns and push filters. The folder is
+    the session's checkpoint folder, else its warehouse folder (both shared
+    storage on a cluster); each call gets a fresh sub-folder.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/tallybayes-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def long_form(prepared: DataFrame, keep=()) -> DataFrame:
     """Wide to long in one narrow Generate: one row per (row, feature).
 

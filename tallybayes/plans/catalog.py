@@ -29,7 +29,8 @@ from tallybayes.operators.prepare import (
     replicate,
 )
 from tallybayes.operators.report import pivot_table, size_label
-from tallybayes.operators.train import NBModel, checkpoint_dir, long_form, train
+from tallybayes.functions.exprs import DEFAULT_TRAIN_RATIO, SPLIT_BUCKETS, split_bucket
+from tallybayes.operators.train import NBModel, checkpoint_dir, long_form, stage_table, train
 from tallybayes.sources.delimited import read_csv_table, read_text_table
 from tallybayes.sources.spec import DatasetSpec
 from tallybayes.sources.tables import (
@@ -49,35 +50,51 @@ def r9(c: str) -> F.Column:
     return F.round(F.col(c), DIGITS).alias(c)
 
 
-def split_prepared(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+def split_prepared(df: DataFrame, spec: DatasetSpec, stage: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(train, test) in canonical form, split by the id hash.
+
+    ``stage=True`` prepares all rows once and stages the compact result
+    (ids, label, feature array) as a Parquet table, so a wide source (long
+    texts) is read once instead of once per split.
+    """
+    if stage:
+        p = prepare(df, spec).withColumn("_bucket", split_bucket(*spec.ids))
+        p = stage_table(p, "prepared")
+        cut = int(round(DEFAULT_TRAIN_RATIO * SPLIT_BUCKETS))
+        return (
+            p.filter(F.col("_bucket") < cut).drop("_bucket"),
+            p.filter(F.col("_bucket") >= cut).drop("_bucket"),
+        )
     train_df, test_df = hash_split(df, spec.ids)
     return prepare(train_df, spec), prepare(test_df, spec)
 
 
-def fit(df: DataFrame, spec: DatasetSpec) -> tuple[NBModel, DataFrame]:
-    tr, te = split_prepared(df, spec)
+def fit(df: DataFrame, spec: DatasetSpec, stage: bool = False) -> tuple[NBModel, DataFrame]:
+    tr, te = split_prepared(df, spec, stage)
     return train(tr), te
 
 
-def predictions(df: DataFrame, spec: DatasetSpec, scorer: str = "auto") -> DataFrame:
-    model, te = fit(df, spec)
+def predictions(df: DataFrame, spec: DatasetSpec, scorer: str = "auto", stage: bool = False) -> DataFrame:
+    model, te = fit(df, spec, stage)
     out = predict(te, model, spec.ids, scorer=scorer)
     return out.select(*spec.ids, LABEL, "prediction", r9("score"))
 
 
-def accuracy_of(df: DataFrame, spec: DatasetSpec, scorer: str = "auto") -> DataFrame:
-    model, te = fit(df, spec)
+def accuracy_of(df: DataFrame, spec: DatasetSpec, scorer: str = "auto", stage: bool = False) -> DataFrame:
+    model, te = fit(df, spec, stage)
     acc = accuracy(predict(te, model, spec.ids, scorer=scorer))
     return acc.select("n_test", "n_correct", r9("accuracy"))
 
 
 # -- flagship: language of documents -----------------------------------------
+# the features are six flags over long texts: stage the compact prepared rows
+# so the text column is read once, not once per split
 def nb_lang_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predictions(*documents_lang(spark, sf_dir))
+    return predictions(*documents_lang(spark, sf_dir), stage=True)
 
 
 def nb_lang_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return accuracy_of(*documents_lang(spark, sf_dir))
+    return accuracy_of(*documents_lang(spark, sf_dir), stage=True)
 
 
 # -- other end-to-end predictions ---------------------------------------------
