@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybayes.operators.predict import predict
+from tallybayes.operators.predict import MAX_MAP_BYTES, predict
 from tallybayes.operators.prepare import prepare
 from tallybayes.operators.train import NBModel
 from tallybayes.sources.spec import DatasetSpec
@@ -21,6 +21,10 @@ def score_stream(stream: DataFrame, spec: DatasetSpec, model: NBModel) -> DataFr
     """Predictions for a streaming table with the columns named by ``spec``."""
     if not stream.isStreaming:
         raise ValueError("score_stream expects a streaming DataFrame")
+    if model.stats().map_bytes > MAX_MAP_BYTES:
+        # the long scorer regroups rows by id, a stateful aggregation that an
+        # append-mode stream cannot run without a watermark
+        raise ValueError("model too large to broadcast for stream scoring")
     return predict(prepare(stream, spec), model, spec.ids, scorer="map")
 
 
