@@ -46,15 +46,16 @@ def prepare(df: DataFrame, spec: DatasetSpec, keys: dict[str, Column] | None = N
 
 
 def hash_split(
-    df: DataFrame, ids, train_ratio: float = DEFAULT_TRAIN_RATIO
+    df: DataFrame, ids, train_ratio: float = DEFAULT_TRAIN_RATIO, method: str = "md5"
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) by a hash of the row id: deterministic and layout-independent.
 
     Two filters over the same input; each is a narrow projection, so the
-    split adds no shuffle and stays correct when tasks are re-run.
+    split adds no shuffle and stays correct when tasks are re-run. ``method``
+    picks the hash (see ``split_bucket``).
     """
     cut = int(round(train_ratio * SPLIT_BUCKETS))
-    bucket = split_bucket(*ids)
+    bucket = split_bucket(*ids, method=method)
     return df.filter(bucket < cut), df.filter(bucket >= cut)
 
 

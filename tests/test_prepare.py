@@ -105,3 +105,11 @@ def test_weighted_counts_equal_replicated_counts(spark):
     rep = sorted(tuple(r) for r in train(replicate(p, 3).drop("copy")).likelihood.collect())
     wtd = sorted(tuple(r) for r in train(p.withColumn("w", F.lit(3)), weight="w").likelihood.collect())
     assert rep == wtd
+
+
+def test_xxhash_split_is_deterministic_and_complete(spark):
+    orders = read_table(spark, SF, "orders").select("o_orderkey")
+    a, b = hash_split(orders, ["o_orderkey"], method="xxhash64")
+    a2, _ = hash_split(orders.repartition(5), ["o_orderkey"], method="xxhash64")
+    assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in a2.collect())
+    assert a.count() + b.count() == orders.count()
