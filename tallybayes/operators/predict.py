@@ -45,8 +45,6 @@ MAX_MAP_BYTES = 64 * 1024 * 1024
 MAX_MAP_VALUES = 256
 # dense likelihood frames up to this size are broadcast by the long scorer
 MAX_DENSE_BROADCAST_BYTES = 256 * 1024 * 1024
-# the per-model header (classes, priors, fallbacks) is always broadcast
-MAX_HEADER_BYTES = 256 * 1024 * 1024
 # largest features x classes for which the sum is unrolled into scalar
 # expressions (bigger expression trees exceed the code generator's limits)
 UNROLL_MAX_TERMS = 512
@@ -158,12 +156,7 @@ def _long_grouped(test: DataFrame, model: NBModel, ids, max_dense_bytes: int | N
     feature; a value the model has not seen has a null array.
     """
     keys, st = model.keys, model.stats()
-    if st.header_bytes > MAX_HEADER_BYTES:
-        raise ValueError(
-            f"{st.max_classes} classes x {st.max_features} features is too large to score "
-            "(every row is scored against every class)"
-        )
-    dense = model.dense_likelihood
+    dense = model.dense_likelihood  # builds on the header, which checks K
     src = test
     limit = MAX_DENSE_BROADCAST_BYTES if max_dense_bytes is None else max_dense_bytes
     if st.dense_bytes <= limit:

@@ -37,6 +37,10 @@ N = "n"
 # joins with the larger count-derived frames when their size, known from
 # stats(), is below this bound; beyond it the join is left to AQE (skew split)
 MAX_DIM_BROADCAST_BYTES = 256 * 1024 * 1024
+# the per-model header (classes, priors, fallback arrays) is one row per model:
+# beyond this size the classes are too many to collect (and to score: every
+# row is scored against every class)
+MAX_HEADER_BYTES = 256 * 1024 * 1024
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -214,7 +218,16 @@ class NBModel:
     # -- class-aligned array parts (what the scorers use) -------------------
     @cached_property
     def header(self) -> DataFrame:
-        """One row per model: classes sorted ascending, their counts and priors."""
+        """One row per model: classes sorted ascending, their counts and priors.
+
+        Collects a model's K classes into one row, so K is checked first.
+        """
+        st = self.stats()
+        if st.header_bytes > MAX_HEADER_BYTES:
+            raise ValueError(
+                f"{st.max_classes} classes x {st.max_features} features per model is too many "
+                "to hold class-aligned arrays (is the label a near-unique column?)"
+            )
         cls = F.array_sort(F.collect_list(F.struct(LABEL, "n_c", "log_prior")))
         return (
             self.prior.groupBy(*self.keys)

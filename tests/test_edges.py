@@ -162,3 +162,13 @@ def test_vocabulary_counts_training_values_only(spark):
     # prior a: ln(3/5); unseen value: ln(1/(n_a + V)) = ln(1/4)
     assert s[(4, "a")] == pytest.approx(math.log(3 / 5) + math.log(1 / 4), abs=1e-12)
     assert [r.n_values for r in m.vocabulary.collect()] == [2]
+
+
+def test_too_many_classes_fail_clearly(spark, monkeypatch):
+    import importlib
+
+    T = importlib.import_module("tallybayes.operators.train")
+    m = train(prepare(frame(spark, [(1, "a", "u"), (2, "b", "v")]), SPEC))
+    monkeypatch.setattr(T, "MAX_HEADER_BYTES", 1)
+    with pytest.raises(ValueError, match="classes"):
+        T.NBModel(m.counts, m.keys).header
