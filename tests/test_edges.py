@@ -172,3 +172,25 @@ def test_too_many_classes_fail_clearly(spark, monkeypatch):
     monkeypatch.setattr(T, "MAX_HEADER_BYTES", 1)
     with pytest.raises(ValueError, match="classes"):
         T.NBModel(m.counts, m.keys).header
+
+
+@pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
+def test_models_with_different_arity_in_one_job(spark, scorer):
+    from pyspark.sql import functions as F
+
+    one = DatasetSpec("one", ("f0",), "label", ("id",))
+    two = DatasetSpec("two", ("f0", "f1"), "label", ("id",))
+    d1 = spark.createDataFrame([(1, "a", "u"), (2, "b", "v"), (3, "a", "v")], "id int, label string, f0 string")
+    d2 = spark.createDataFrame(
+        [(1, "x", "u", "p"), (2, "y", "u", "q"), (3, "y", "w", "q"), (4, "x", "w", "p")],
+        "id int, label string, f0 string, f1 string",
+    )
+    p1, p2 = prepare(d1, one), prepare(d2, two)
+    together = train(p1.unionByName(p2))
+    got = {(r.dataset, r.id): (r.prediction, r.score) for r in predict(p1.unionByName(p2), together, ["id"], scorer=scorer).collect()}
+    want = {}
+    for p in (p1, p2):
+        for r in predict(p, train(p), ["id"], scorer=scorer).collect():
+            want[(r.dataset, r.id)] = (r.prediction, r.score)
+    assert got == want and len(got) == 7
+    assert together.stats().min_features == 1 and together.stats().max_features == 2
