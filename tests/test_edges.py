@@ -176,8 +176,6 @@ def test_too_many_classes_fail_clearly(spark, monkeypatch):
 
 @pytest.mark.parametrize("scorer", ["map", "map_arrays", "long"])
 def test_models_with_different_arity_in_one_job(spark, scorer):
-    from pyspark.sql import functions as F
-
     one = DatasetSpec("one", ("f0",), "label", ("id",))
     two = DatasetSpec("two", ("f0", "f1"), "label", ("id",))
     d1 = spark.createDataFrame([(1, "a", "u"), (2, "b", "v"), (3, "a", "v")], "id int, label string, f0 string")
