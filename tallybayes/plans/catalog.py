@@ -29,7 +29,6 @@ from tallybayes.operators.prepare import (
     replicate,
 )
 from tallybayes.operators.report import pivot_table, size_label
-from tallybayes.functions.exprs import DEFAULT_TRAIN_RATIO, SPLIT_BUCKETS, split_bucket
 from tallybayes.operators.train import NBModel, checkpoint_dir, long_form, stage_table, train
 from tallybayes.sources.delimited import read_csv_table, read_text_table
 from tallybayes.sources.spec import DatasetSpec
@@ -58,13 +57,8 @@ def split_prepared(df: DataFrame, spec: DatasetSpec, stage: bool = False) -> tup
     texts) is read once instead of once per split.
     """
     if stage:
-        p = prepare(df, spec).withColumn("_bucket", split_bucket(*spec.ids))
-        p = stage_table(p, "prepared")
-        cut = int(round(DEFAULT_TRAIN_RATIO * SPLIT_BUCKETS))
-        return (
-            p.filter(F.col("_bucket") < cut).drop("_bucket"),
-            p.filter(F.col("_bucket") >= cut).drop("_bucket"),
-        )
+        # the staged rows keep their ids, so the same split applies to them
+        return hash_split(stage_table(prepare(df, spec), "prepared"), spec.ids)
     train_df, test_df = hash_split(df, spec.ids)
     return prepare(train_df, spec), prepare(test_df, spec)
 
