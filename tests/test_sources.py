@@ -116,3 +116,10 @@ def test_loaders_read_split_train_and_predict(spark, scratch, fmt):
     # no path: the inline rows
     itr, ite, mspec = load_mushroom(spark)
     assert itr.count() + ite.count() == 5 and mspec.label == "label"
+
+
+@pytest.mark.parametrize("reader", [read_csv_table, read_text_table])
+def test_question_mark_is_an_ordinary_category(spark, scratch, reader):
+    path = write_lines(scratch, ["x,?,c1", "?,y,c2"])
+    rows = sorted(tuple(r) for r in reader(spark, path, COLS).collect())
+    assert rows == [("?", "y", "c2"), ("x", "?", "c1")]
