@@ -111,3 +111,36 @@ def test_no_sort_merge_join_on_the_model_key_alone(spark):
             if m:
                 keys = [k.split("#")[0] for k in m.group(1).split(", ")]
                 assert keys != ["dataset"] and keys != ["dataset", "label"], ln
+
+
+def test_long_scorer_shuffle_tier_splits_hot_values(spark):
+    """Beyond every broadcast bound, hot (feature, value) keys are split by AQE."""
+    from tallybayes import accuracy
+
+    confs = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        df, spec = lineitem_part(spark, "/root/testdata/sf0.1")
+        tr, te = split_prepared(df, spec)
+        model = train(tr)
+        pred = predict(te, model, spec.ids, scorer="long", max_dense_bytes=0)
+        rows = sorted(tuple(r) for r in pred.collect())
+        text = plan_text(pred).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in text, [ln for ln in text.splitlines() if "Join" in ln]
+        want = sorted(tuple(r) for r in predict(te, model, spec.ids, scorer="map").collect())
+        assert rows == want
+        assert accuracy(pred).first().n_test == len(rows)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
