@@ -84,27 +84,33 @@ def accuracy_of(df: DataFrame, spec: DatasetSpec, scorer: str = "auto", stage: b
 # the features are six flags over long texts: stage the compact prepared rows
 # so the text column is read once, not once per split
 def nb_lang_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: language of held-out documents from six marker-word flags (M7)."""
     return predictions(*documents_lang(spark, sf_dir), stage=True)
 
 
 def nb_lang_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the language classifier."""
     return accuracy_of(*documents_lang(spark, sf_dir), stage=True)
 
 
 # -- other end-to-end predictions ---------------------------------------------
 def nb_orders_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order priority from status, market segment and nation."""
     return predictions(*orders_set(spark, sf_dir))
 
 
 def nb_orders_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the order-priority classifier."""
     return accuracy_of(*orders_set(spark, sf_dir))
 
 
 def nb_lineitem_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return flag from line status, line number, brand and type (M7)."""
     return predictions(*lineitem_part(spark, sf_dir))
 
 
 def nb_lineitem_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the return-flag classifier."""
     return accuracy_of(*lineitem_part(spark, sf_dir))
 
 
@@ -114,6 +120,7 @@ def predict_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nb_events_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the event-type classifier."""
     return accuracy_of(*events_set(spark, sf_dir))
 
 
@@ -127,27 +134,32 @@ def _quality_scored(spark: SparkSession, sf_dir: str, label: str = "quality") ->
 
 
 def nb_quality_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document quality from language, source and a fitted length bin (M7, M9)."""
     pred, spec = _quality_scored(spark, sf_dir)
     return pred.select(*spec.ids, LABEL, "prediction", r9("score"))
 
 
 def nb_quality_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the document-quality classifier."""
     pred, _ = _quality_scored(spark, sf_dir)
     return accuracy(pred).select("n_test", "n_correct", r9("accuracy"))
 
 
 def nb_toxic_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the document-toxicity classifier."""
     pred, _ = _quality_scored(spark, sf_dir, "toxic")
     return accuracy(pred).select("n_test", "n_correct", r9("accuracy"))
 
 
 # -- data preparation ---------------------------------------------------------
 def class_distribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per order priority, most frequent first (A1, A5, O1)."""
     orders = read_table(spark, sf_dir, "orders")
     return class_distribution(orders, "o_orderpriority")
 
 
 def label_feature_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical label / feature projection of the orders set."""
     df, spec = orders_set(spark, sf_dir)
     p = prepare(df, spec)
     return p.select(
@@ -156,11 +168,13 @@ def label_feature_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (line item, feature) in one Generate."""
     df, spec = lineitem_part(spark, sf_dir)
     return long_form(prepare(df, spec), keep=(*spec.ids, LABEL))
 
 
 def hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows on each side of the md5 hash split of orders."""
     orders = read_table(spark, sf_dir, "orders")
     tr, te = hash_split(orders, ["o_orderkey"])
     return tr.select(F.lit("train").alias("part")).unionByName(te.select(F.lit("test").alias("part"))).groupBy(
@@ -169,6 +183,7 @@ def hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training side of the seeded random split (R1; rows-only check)."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     tr, _ = random_split(orders)
     return tr
@@ -183,6 +198,7 @@ def replicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binned_train_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over equal-width bins of quantity and discount fitted on training rows (M9)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity", "l_discount"
     )
@@ -196,6 +212,7 @@ def binned_train_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five orders by key: the ordered preview (K4)."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return sample_rows(orders, 5, ["o_orderkey"])
 
@@ -208,37 +225,44 @@ def _lineitem_model(spark: SparkSession, sf_dir: str) -> tuple[NBModel, DatasetS
 
 
 def feature_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(feature, value, class) counts of the lineitem model (A2-A4, K1)."""
     model, _ = _lineitem_model(spark, sf_dir)
     return model.counts.select(FEAT_IDX, VALUE, LABEL, "n")
 
 
 def vocabulary_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct training values per feature."""
     model, spec = _lineitem_model(spark, sf_dir)
     names = F.array(*[F.lit(f) for f in spec.features])
     return model.vocabulary.select(FEAT_IDX, F.get(names, F.col(FEAT_IDX)).alias("feature"), "n_values")
 
 
 def training_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows N and classes K."""
     model, _ = _lineitem_model(spark, sf_dir)
     return model.totals.select("n_total", "n_classes")
 
 
 def log_prior_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laplace log priors (M1)."""
     model, _ = _lineitem_model(spark, sf_dir)
     return model.prior.select(LABEL, "n_c", r9("log_prior"))
 
 
 def log_likelihood_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laplace log likelihoods of every stored count."""
     model, _ = _lineitem_model(spark, sf_dir)
     return model.likelihood.select(FEAT_IDX, VALUE, LABEL, "n", r9("log_lik"))
 
 
 def log_fallback_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log likelihood of an unseen value per feature and class."""
     model, _ = _lineitem_model(spark, sf_dir)
     return model.fallback.select(FEAT_IDX, LABEL, r9("log_fallback"))
 
 
 def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All log-probabilities of the orders model with a kind column."""
     model, _ = fit(*orders_set(spark, sf_dir))
     return model.table.select("kind", FEAT_IDX, VALUE, LABEL, "n", r9("log_prob"))
 
@@ -254,6 +278,7 @@ def composite_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def class_scores_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every test order for every class (M5)."""
     df, spec = orders_set(spark, sf_dir)
     model, te = fit(df, spec)
     return class_scores(te, model, spec.ids).select(*spec.ids, LABEL, "class", r9("score"))
@@ -270,12 +295,14 @@ def predict_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nulls_as_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions with a null feature scored as its own category (E5)."""
     df, spec = orders_set(spark, sf_dir)
     df = df.withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'P')"))
     return predictions(df, spec)
 
 
 def label_with_underscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for labels containing underscores."""
     df, _ = orders_set(spark, sf_dir)
     df = df.withColumn("status_segment", F.concat_ws("_", "o_orderstatus", "c_mktsegment"))
     spec = DatasetSpec("orders_us", ("o_orderpriority", "n_name"), "status_segment", ("o_orderkey",))
@@ -283,6 +310,7 @@ def label_with_underscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accuracy_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of an empty test set is 0.0."""
     df, spec = orders_set(spark, sf_dir)
     model, te = fit(df, spec)
     empty = te.filter(F.col("o_orderkey") < 0)
@@ -344,6 +372,7 @@ def experiment_predictions(spark: SparkSession, sf_dir: str, scales=EXPERIMENT_S
 
 
 def experiment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy per dataset and replication scale, one model each, one job."""
     model, pred = experiment_predictions(spark, sf_dir)
     acc = accuracy(pred, by=(DATASET, "scale"))
     return acc.join(model.totals, [DATASET, "scale"]).select(
@@ -358,6 +387,7 @@ def experiment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset x size table of accuracy over the experiment records."""
     records = experiment_records(spark, sf_dir).withColumn("impl", F.lit("map"))
     return pivot_table(records, value="accuracy")
 
