@@ -2,7 +2,9 @@
 
 The only pass over the training data is::
 
-    posexplode(features) -> groupBy(keys, feat_idx, value, label).count()
+    posexplode_outer(features) -> groupBy(keys, feat_idx, value, label).count()
+
+(or ``sum(weight)`` with a multiplicity column).
 
 Spark runs it as a partial (map-side) aggregate, a shuffle of at most one row
 per distinct (key, feature, value, class) per task, and a final aggregate, so
@@ -11,8 +13,10 @@ count frame, whose size depends on the vocabulary, not on the row count:
 
 * class counts are the counts of feature 0 summed per class (every row has
   exactly one value for each feature), so no second scan is needed;
-* the vocabulary size V_f is a distinct count over the count frame;
-* prior, likelihood and fallback are column expressions over small joins.
+* the vocabulary size V_f is the number of per-value rows of a feature
+  (one grouping of the count frame, shared with the likelihood arrays);
+* prior, likelihood and fallback are column expressions over joins with
+  per-model dimension frames, broadcast behind bounds from ``stats()``.
 
 The count frame is checkpointed to ``spark.checkpoint.dir`` when the session
 names one (so lost executors never force a re-scan of the training data),
