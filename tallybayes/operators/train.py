@@ -45,6 +45,10 @@ MAX_DIM_BROADCAST_BYTES = 256 * 1024 * 1024
 # beyond this size the classes are too many to collect (and to score: every
 # row is scored against every class)
 MAX_HEADER_BYTES = 256 * 1024 * 1024
+# models up to this (folded) size are derived from counts hash-partitioned by
+# the model key: one exchange, after which every grouping by (model key, ...)
+# and every join on the model key is already clustered (no further shuffles)
+COLOCATE_MAX_BYTES = 64 * 1024 * 1024
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -106,6 +110,11 @@ def count_features(prepared: DataFrame, keys=(DATASET,), weight: str | None = No
     return long_form(rows, keep=keep).groupBy(*keys, FEAT_IDX, VALUE, LABEL).agg(n.alias(N))
 
 
+def _class_counts(counts: DataFrame, keys) -> DataFrame:
+    """(keys, label, n_c): counts of feature 0 summed per class."""
+    return counts.filter(F.col(FEAT_IDX) == 0).groupBy(*keys, LABEL).agg(F.sum(N).alias("n_c"))
+
+
 @dataclass(frozen=True)
 class ModelStats:
     """Driver-side scalars used to pick a scoring strategy."""
@@ -145,6 +154,26 @@ class NBModel:
         self.counts = counts
         self.keys = list(keys)
 
+    @cached_property
+    def _colocated(self) -> bool:
+        return self.stats().map_bytes <= COLOCATE_MAX_BYTES
+
+    @cached_property
+    def _base(self) -> DataFrame:
+        """The count frame every derived part reads.
+
+        For a model that ``stats()`` proves small, the counts are
+        hash-partitioned by the model key once; Spark then sees every later
+        grouping by (model key, ...) and every join on the model key as
+        already clustered, so the whole derivation runs without further
+        shuffles (the repeated repartition is one reused exchange). A model's
+        counts then sit in one task, which is why larger models keep the
+        count frame's own partitioning and use broadcast dimension joins.
+        """
+        if self._colocated:
+            return self.counts.repartition(*self.keys)
+        return self.counts
+
     def _dim(self, df: DataFrame, rows_per_model: int, row_bytes: int) -> DataFrame:
         """Broadcast a per-model dimension frame whose size ``stats()`` bounds.
 
@@ -152,7 +181,11 @@ class NBModel:
         which has few distinct values: without a broadcast each model's rows
         would meet in one task. AQE itself declines to broadcast such a side
         (all of it lands in one shuffle partition), so the hint is explicit.
+        Co-located (small) models need neither: both sides are already
+        partitioned by the model key.
         """
+        if self._colocated:
+            return df
         st = self.stats()
         if st.n_models * max(rows_per_model, 1) * row_bytes <= MAX_DIM_BROADCAST_BYTES:
             return F.broadcast(df)
@@ -162,11 +195,7 @@ class NBModel:
     @cached_property
     def classes(self) -> DataFrame:
         """(keys, label, n_c)."""
-        return (
-            self.counts.filter(F.col(FEAT_IDX) == 0)
-            .groupBy(*self.keys, LABEL)
-            .agg(F.sum(N).alias("n_c"))
-        )
+        return _class_counts(self._base, self.keys)
 
     @cached_property
     def totals(self) -> DataFrame:
@@ -198,7 +227,7 @@ class NBModel:
     @cached_property
     def _by_value(self) -> DataFrame:
         """(keys, feat_idx, value, _by_class): class -> count map per value."""
-        return self.counts.groupBy(*self.keys, FEAT_IDX, VALUE).agg(
+        return self._base.groupBy(*self.keys, FEAT_IDX, VALUE).agg(
             F.map_from_entries(F.collect_list(F.struct(LABEL, N))).alias("_by_class")
         )
 
@@ -207,7 +236,7 @@ class NBModel:
         """(keys, feat_idx, value, label, n, log_lik) for every stored count."""
         st = self.stats()
         return (
-            self.counts.join(self._dim(self.classes, st.max_classes, 64), [*self.keys, LABEL])
+            self._base.join(self._dim(self.classes, st.max_classes, 64), [*self.keys, LABEL])
             .join(self._dim(self.vocabulary, st.max_features, 48), [*self.keys, FEAT_IDX])
             .select(
                 *self.keys,
@@ -370,12 +399,15 @@ class NBModel:
         broadcast; every broadcast decision elsewhere is based on these.
         """
         if "_stats" not in self.__dict__:
-            per_vocab = self.vocabulary.groupBy(*self.keys).agg(
+            k = self.keys
+            vocab = self.counts.groupBy(*k, FEAT_IDX).agg(F.count_distinct(VALUE).alias("n_values"))
+            per_vocab = vocab.groupBy(*k).agg(
                 F.max("n_values").alias("mv"),
                 F.sum("n_values").alias("ne"),
                 F.count(F.lit(1)).alias("m"),
             )
-            per = per_vocab.join(self.totals, self.keys)
+            totals = _class_counts(self.counts, k).groupBy(*k).agg(F.count(F.lit(1)).alias("n_classes"))
+            per = per_vocab.join(totals, k)
             row = per.agg(
                 F.count(F.lit(1)).alias("models"),
                 F.max("n_classes").alias("k"),

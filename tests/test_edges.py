@@ -135,7 +135,9 @@ def test_long_scorer_without_broadcast_matches(spark, monkeypatch):
     assert got2 == want
 
 
-def test_dimension_frames_without_broadcast_give_same_model(spark, monkeypatch):
+@pytest.mark.parametrize("colocate,dim_bytes", [(-1, 256 * 1024 * 1024), (-1, 0), (64 * 1024 * 1024, 0)])
+def test_model_derivation_modes_give_same_model(spark, monkeypatch, colocate, dim_bytes):
+    """Co-located, broadcast-dimension and plain-shuffle derivations agree."""
     import importlib
 
     from tallybayes.plans.catalog import split_prepared
@@ -147,21 +149,12 @@ def test_dimension_frames_without_broadcast_give_same_model(spark, monkeypatch):
     m = train(tr)
     want_lik = sorted(tuple(r) for r in m.likelihood.collect())
     want = sorted(tuple(r) for r in predict(te, m, spec.ids, scorer="long").collect())
-    monkeypatch.setattr(T, "MAX_DIM_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(T, "COLOCATE_MAX_BYTES", colocate)
+    monkeypatch.setattr(T, "MAX_DIM_BROADCAST_BYTES", dim_bytes)
     m2 = T.NBModel(m.counts, m.keys)
     assert sorted(tuple(r) for r in m2.likelihood.collect()) == want_lik
     assert sorted(tuple(r) for r in predict(te, m2, spec.ids, scorer="long").collect()) == want
-
-
-def test_vocabulary_counts_training_values_only(spark):
-    # V_f comes from the training rows; unseen test values never enlarge it
-    m = train(prepare(frame(spark, [(1, "a", "u"), (2, "b", "v"), (3, "a", "v")]), SPEC))
-    assert [r.n_values for r in m.vocabulary.collect()] == [2]
-    test = prepare(frame(spark, [(4, "a", "w"), (5, "b", "x")]), SPEC)
-    s = {(r.id, r["class"]): r.score for r in class_scores(test, m, ["id"]).collect()}
-    # prior a: ln(3/5); unseen value: ln(1/(n_a + V)) = ln(1/4)
-    assert s[(4, "a")] == pytest.approx(math.log(3 / 5) + math.log(1 / 4), abs=1e-12)
-    assert [r.n_values for r in m.vocabulary.collect()] == [2]
+    assert sorted(tuple(r) for r in predict(te, m2, spec.ids, scorer="map").collect()) == want
 
 
 def test_too_many_classes_fail_clearly(spark, monkeypatch):

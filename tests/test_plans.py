@@ -98,7 +98,11 @@ def test_unrolled_map_scorer_stays_in_whole_stage_codegen(spark):
     assert "lambdafunction" not in text.split("BroadcastExchange")[0]
 
 
-def test_no_sort_merge_join_on_the_model_key_alone(spark):
+def test_no_shuffle_join_on_the_model_key_alone(spark, monkeypatch):
+    """Small models: co-partitioned joins; larger ones: broadcast dimension joins."""
+    import importlib
+
+    T = importlib.import_module("tallybayes.operators.train")
     df, spec = lineitem_part(spark, SF)
     tr, te = split_prepared(df, spec)
     model = train(tr)
@@ -106,6 +110,14 @@ def test_no_sort_merge_join_on_the_model_key_alone(spark):
         pred = predict(te, model, spec.ids, scorer=scorer)
         pred.collect()
         text = plan_text(pred).split("== Initial Plan ==")[0]
+        # the only exchange on the model key alone is the stats-bounded repartition
+        assert not re.search(r"Exchange hashpartitioning\(dataset#\d+, \d+\), ENSURE_REQUIREMENTS", text)
+    monkeypatch.setattr(T, "COLOCATE_MAX_BYTES", -1)
+    big = T.NBModel(model.counts, model.keys)
+    for scorer in ("map", "long"):
+        pred = predict(te, big, spec.ids, scorer=scorer)
+        pred.collect()
+        text = plan_text(pred).split("== Initial Plan ==")[0]
         for ln in text.splitlines():
             m = re.search(r"SortMergeJoin \[([^\]]*)\]", ln)
             if m:
