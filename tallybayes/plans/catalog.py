@@ -345,6 +345,31 @@ def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- streaming: the batch-trained model applied to a file stream ---------------
+def stream_predict_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events test rows arriving as a file stream, scored by the broadcast model.
+
+    The test split is written to a fresh folder on shared storage, read back
+    as a stream (one file per micro-batch), scored and appended to a Parquet
+    sink; the sink's rows are returned. Same predictions as the batch scorer.
+    """
+    from tallybayes.streaming.scoring import score_stream, write_predictions
+
+    df, spec = events_set(spark, sf_dir)
+    tr, te = hash_split(df, spec.ids)
+    model = train(prepare(tr, spec))
+    base = _scratch(spark)
+    te.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(te.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    query = write_predictions(score_stream(stream, spec, model), f"{base}/out", f"{base}/chk")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(*spec.ids, LABEL, "prediction", r9("score"))
+
+
 # -- experiment sweep: one model per (dataset, scale) in one job ---------------
 def experiment_predictions(spark: SparkSession, sf_dir: str, scales=EXPERIMENT_SCALES) -> tuple[NBModel, DataFrame]:
     """Models for every dataset and replication scale, trained and applied in one job.
@@ -425,6 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replicate_counts": replicate_counts,
     "binned_train_counts": binned_train_counts,
     "sample_rows": sample_rows_q,
+    "stream_predict_events": stream_predict_events,
     "csv_scan": csv_scan,
     "text_scan": text_scan,
     "experiment_records": experiment_records,

@@ -221,6 +221,7 @@ def oracle_sql() -> dict[str, str]:
         "nb_lineitem_accuracy": accuracy_sql(LINEITEM_BASE, LINEITEM_IDS, lik_m),
         "nb_events_accuracy": accuracy_sql(EVENTS_BASE, EVENTS_IDS, 3),
         "predict_long": predictions_sql(EVENTS_BASE, EVENTS_IDS, 3),
+        "stream_predict_events": predictions_sql(EVENTS_BASE, EVENTS_IDS, 3),
         "nb_quality_predict": predictions_sql(QUALITY_BASE, QUALITY_IDS, 3),
         "nb_quality_accuracy": accuracy_sql(QUALITY_BASE, QUALITY_IDS, 3),
         "nb_toxic_accuracy": accuracy_sql(TOXIC_BASE, QUALITY_IDS, 3),
