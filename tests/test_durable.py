@@ -26,3 +26,14 @@ def test_trained_counts_are_checkpointed(spark):
     plan = m.counts._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan  # read back from the checkpoint, lineage cut
     assert make_durable(m.counts).count() == m.counts.count()
+
+
+def test_without_a_checkpoint_folder_counts_are_persisted(spark, monkeypatch):
+    import importlib
+
+    T = importlib.import_module("tallybayes.operators.train")
+    monkeypatch.setattr(T, "checkpoint_dir", lambda _spark: None)
+    m = T.train(prepare(car_table(spark), CAR_SPEC))
+    assert m.counts.is_cached
+    assert m.counts.count() == 21
+    m.counts.unpersist()
