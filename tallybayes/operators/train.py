@@ -71,6 +71,16 @@ def make_durable(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh sub-folder of the checkpoint folder, else of the warehouse folder.
+
+    Both are shared storage on a cluster; nothing is ever written to a
+    machine-local temporary folder.
+    """
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/tallybayes-{name}-{uuid.uuid4().hex}"
+
+
 def stage_table(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -79,11 +89,9 @@ def stage_table(df: DataFrame, name: str = "staged") -> DataFrame:
     the session's checkpoint folder, else its warehouse folder (both shared
     storage on a cluster); each call gets a fresh sub-folder.
     """
-    spark = df.sparkSession
-    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{base.rstrip('/')}/tallybayes-{name}-{uuid.uuid4().hex}"
+    path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def long_form(prepared: DataFrame, keep=()) -> DataFrame:

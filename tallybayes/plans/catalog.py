@@ -8,7 +8,6 @@ input; the only ``limit`` is the preview operator, where it is the feature.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +28,7 @@ from tallybayes.operators.prepare import (
     replicate,
 )
 from tallybayes.operators.report import pivot_table, size_label
-from tallybayes.operators.train import NBModel, checkpoint_dir, long_form, stage_table, train
+from tallybayes.operators.train import NBModel, long_form, shared_folder, stage_table, train
 from tallybayes.sources.delimited import read_csv_table, read_text_table
 from tallybayes.sources.spec import DatasetSpec
 from tallybayes.sources.tables import (
@@ -319,9 +318,8 @@ def accuracy_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- scans of delimited files written from the tables --------------------------
 def _scratch(spark: SparkSession) -> str:
-    """A fresh folder on shared storage: the checkpoint folder, else the warehouse."""
-    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/tallybayes-scan-{uuid.uuid4().hex}"
+    """A fresh folder on shared storage (see ``shared_folder``)."""
+    return shared_folder(spark, "scan")
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
