@@ -113,3 +113,20 @@ def test_xxhash_split_is_deterministic_and_complete(spark):
     a2, _ = hash_split(orders.repartition(5), ["o_orderkey"], method="xxhash64")
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in a2.collect())
     assert a.count() + b.count() == orders.count()
+
+
+def test_hash_bucket_matches_duckdb_on_random_ids(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    con = duckdb.connect()
+
+    @settings(max_examples=10, deadline=None, derandomize=True)
+    @given(st.lists(st.integers(min_value=-(2**63), max_value=2**63 - 1), min_size=1, max_size=40, unique=True))
+    def check(ids):
+        df = spark.createDataFrame([(i,) for i in ids], "k bigint")
+        got = {r.k: r.b for r in df.select("k", split_bucket("k").alias("b")).collect()}
+        want = dict(con.execute(f"SELECT k, {bucket('k')} FROM (SELECT unnest({ids}::BIGINT[]) AS k)").fetchall())
+        assert got == want
+
+    check()
