@@ -369,7 +369,9 @@ def stream_predict_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- experiment sweep: one model per (dataset, scale) in one job ---------------
-def experiment_predictions(spark: SparkSession, sf_dir: str, scales=EXPERIMENT_SCALES) -> tuple[NBModel, DataFrame]:
+def experiment_predictions(
+    spark: SparkSession, sf_dir: str, scales=EXPERIMENT_SCALES, scorer: str = "auto"
+) -> tuple[NBModel, DataFrame]:
     """Models for every dataset and replication scale, trained and applied in one job.
 
     Training rows replicated ``scale`` times are counted through a
@@ -391,12 +393,12 @@ def experiment_predictions(spark: SparkSession, sf_dir: str, scales=EXPERIMENT_S
     train_rows = train_rows.withColumn("scale", scale_col)
     test_rows = test_rows.withColumn("scale", scale_col)
     model = train(train_rows, keys=(DATASET, "scale"), weight="scale")
-    return model, predict(test_rows, model, ["row_id"])
+    return model, predict(test_rows, model, ["row_id"], scorer=scorer)
 
 
-def experiment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def experiment_records(spark: SparkSession, sf_dir: str, scorer: str = "auto") -> DataFrame:
     """Accuracy per dataset and replication scale, one model each, one job."""
-    model, pred = experiment_predictions(spark, sf_dir)
+    model, pred = experiment_predictions(spark, sf_dir, scorer=scorer)
     acc = accuracy(pred, by=(DATASET, "scale"))
     return acc.join(model.totals, [DATASET, "scale"]).select(
         DATASET,
@@ -409,6 +411,11 @@ def experiment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def experiment_records_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records with the long scorer: six models joined on (dataset, scale, feature, value)."""
+    return experiment_records(spark, sf_dir, scorer="long")
+
+
 def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset x size table of accuracy over the experiment records."""
     records = experiment_records(spark, sf_dir).withColumn("impl", F.lit("map"))
@@ -452,5 +459,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": csv_scan,
     "text_scan": text_scan,
     "experiment_records": experiment_records,
+    "experiment_records_long": experiment_records_long,
     "report_pivot": report_pivot,
 }

@@ -334,6 +334,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan": f"SELECT {ORDERS_SET_COLS} FROM {ORDERS_FROM}",
         "text_scan": f"SELECT o.o_orderpriority, o.o_orderstatus, c.c_mktsegment, n.n_name, o.o_orderkey FROM {ORDERS_FROM}",
         "experiment_records": EXPERIMENT_RECORDS,
+        "experiment_records_long": EXPERIMENT_RECORDS,
         "report_pivot": (
             f"WITH rec AS ({EXPERIMENT_RECORDS}) SELECT dataset, 'map' AS impl, "
             "max(CASE WHEN size_label = 'Small' THEN accuracy END) AS Small, "
