@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybayes.llm import bpe, mixing, toxicity, url_filter
+from tallybayes.llm import bpe, mixing, simhash, toxicity, url_filter
 from tallybayes.llm._util import prepare
 
 # fixed values of the contract
@@ -51,9 +51,15 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component, 3-word shingles, 2 bits."""
+    out = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words=3, radius=2)
+    return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text scored by a classifier learnt from the labelled rows that are not held out."""
     return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op3_url_filter, op4_bpe, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_source_mix, op3_url_filter, op4_bpe, op6_simhash, op10_toxicity)}
