@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybayes.llm import bpe, mixing, simhash, toxicity, url_filter
+from tallybayes.llm import bpe, mixing, simhash, substring_dedup, toxicity, url_filter
 from tallybayes.llm._util import prepare
 
 # fixed values of the contract
@@ -23,6 +23,18 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 50-word windows that start in an earlier document too."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out, r = substring_dedup.dedup(docs, seed=25)
+    return out.select(
+        "doc_id",
+        F.col(f"{r}.n_words").cast("long").alias("n_words"),
+        F.col(f"{r}.n_removed").cast("long").alias("n_removed"),
+        F.sha2(F.col(f"{r}.kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source targets: how many words the mix takes of each."""
     weights = mixing.quality(_read(spark, sf_dir, "labels"))
@@ -62,4 +74,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_source_mix, op3_url_filter, op4_bpe, op6_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op6_simhash, op10_toxicity)}
