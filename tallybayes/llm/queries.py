@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybayes.llm import bpe, mixing, simhash, substring_dedup, toxicity, url_filter
+from tallybayes.llm import bpe, embedding_dedup, exact_knn, mixing, simhash, substring_dedup, toxicity, url_filter
 from tallybayes.llm._util import prepare
 
 # fixed values of the contract
@@ -69,9 +69,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_exact_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector against all others."""
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return exact_knn.top_k(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component at cosine 0.93 within its label."""
+    return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text scored by a classifier learnt from the labelled rows that are not held out."""
     return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op6_simhash, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op6_simhash, op7_exact_knn, op9_embedding_dedup, op10_toxicity)}
