@@ -18,7 +18,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-MAX_ARROW_ROWS = 500
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MAX_ARROW_ROWS, MAX_ARROW_BYTES = 500, 32 << 20
 NO_ID = 2**63 - 1
 
 
@@ -57,7 +58,7 @@ def prepare(spark: SparkSession) -> None:
     """Make a session ready for the Python side of an operator.
 
     Executors get this package through Spark (once per application), and
-    texts, which may be very long, go to Python at most 500 at a time.
+    texts, which may be very long, go to Python at most 500 or 32 MiB at a time.
     """
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
@@ -70,6 +71,7 @@ def prepare(spark: SparkSession) -> None:
         _SHIPPED.add(sc.applicationId)
     if int(spark.conf.get(ARROW_ROWS)) > MAX_ARROW_ROWS or int(spark.conf.get(ARROW_ROWS)) <= 0:
         spark.conf.set(ARROW_ROWS, str(MAX_ARROW_ROWS))
+    spark.conf.set(ARROW_BYTES, str(MAX_ARROW_BYTES))
 
 
 class Stage:

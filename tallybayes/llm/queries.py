@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybayes.llm import bpe, embedding_dedup, exact_knn, mixing, simhash, substring_dedup, toxicity, url_filter
+from tallybayes.llm import bpe, embedding_dedup, exact_knn, mixing, ngram_lm, simhash, substring_dedup, toxicity, url_filter
 from tallybayes.llm._util import prepare
 
 # fixed values of the contract
@@ -63,6 +63,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a bigram model with deleted interpolation."""
+    return ngram_lm.score(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component, 3-word shingles, 2 bits."""
     out = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words=3, radius=2)
@@ -85,4 +90,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op6_simhash, op7_exact_knn, op9_embedding_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op5_ngram_lm, op6_simhash, op7_exact_knn, op9_embedding_dedup, op10_toxicity)}
