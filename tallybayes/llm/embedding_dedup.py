@@ -37,7 +37,7 @@ from tallybayes.llm._util import Stage, prepare
 PART = 2048
 BUCKET = 4  # expected classes in a filter, over all labels
 MAX_WORDS = 1024  # code words of a block; more directions take another block
-LEAST = 4  # filters that every vector is in at least
+LEAST = 8  # filters that every vector is in at least
 SEED = 99
 
 

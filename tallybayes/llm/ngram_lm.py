@@ -321,6 +321,8 @@ def score(docs: DataFrame) -> DataFrame:
     cells = both.applyInPandas(_histogram(t), "b long, x2 long, x1 long, n long")
     cells = stage.table(cells.groupBy("b", "x2", "x1").agg(F.sum("n").alias("n"))).orderBy("b", "x2", "x1").toPandas()
     weights = learn(cells, 1.0 / (t.v_main + 1))
+    if not t.n_all:  # nothing was learned: the uniform estimate alone
+        weights[:] = 0, 0, 1
     both = rows.groupBy("batch").cogroup(answers.groupBy("batch"))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return both.applyInPandas(_scores(t, weights), out)
