@@ -25,7 +25,7 @@ DEFAULT_TRAIN_RATIO = 0.8
 DEFAULT_SEED = 42
 # ---------------------------------------------------------------------------
 
-# Number of buckets the portable hash split uses (percent resolution).
+# Whole-percent buckets of the portable hash split.
 SPLIT_BUCKETS = 100
 
 
@@ -65,6 +65,17 @@ def split_bucket(*cols: str | Column, method: str = "md5") -> Column:
     return (F.conv(hex8, 16, 10).cast("bigint") % F.lit(SPLIT_BUCKETS)).cast("int")
 
 
+def split_position(*cols: str | Column, method: str = "md5") -> Column:
+    """Place of the id in [0, 100): its bucket, and 32 further bits of the hash as the fraction.
+
+    A row is in the training side when its place is below ``100 * ratio``; for a
+    whole percentage that is a comparison of the bucket alone.
+    """
+    key = split_key(*cols)
+    bits = F.xxhash64(key, F.lit(1)) if method == "xxhash64" else F.conv(F.substring(F.md5(key), 9, 8), 16, 10).cast("bigint")
+    return split_bucket(*cols, method=method) + F.pmod(bits, F.lit(2**32)) / F.lit(float(2**32))
+
+
 def log_prior(n_c: Column, n_total: Column, n_classes: Column) -> Column:
     """Laplace-smoothed log prior ln((n_c + 1) / (N + K))."""
     return F.ln((n_c + F.lit(1)) / (n_total + n_classes))

@@ -11,11 +11,12 @@ empty field         null                    ``''`` (a category)
 quoted ``"a,b"``    one field ``a,b``       two fields, quotes kept
 outer whitespace    kept                    stripped from the line
 short row           padded with null        padded with null
-long row            extra fields dropped    extra fields dropped
+long row            extra fields dropped    extra fields dropped, or kept
 ==================  ======================  ============================
 
-``strict=True`` on the text scan fails the job on a row whose field count
-differs from the schema instead of padding or dropping.
+``strict=True`` on either scan fails the job on a row whose field count
+differs from the schema instead of padding or dropping. ``rest`` on the text
+scan names an array column that takes the fields beyond the schema.
 Both are plain DataFrame scans: splittable, parallel, no driver work.
 """
 
@@ -31,13 +32,13 @@ from tallybayes.sources.fixed import string_schema
 FIELDS = "_fields"
 
 
-def read_csv_table(spark: SparkSession, path: str, columns, sep: str = ",") -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, columns, sep: str = ",", strict: bool = False) -> DataFrame:
     """Headerless delimited file parsed as CSV into all-string columns."""
     return (
         spark.read.schema(string_schema(tuple(columns)))
         .option("header", "false")
         .option("sep", sep)
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .csv(path)
     )
 
@@ -53,9 +54,9 @@ def read_text_fields(spark: SparkSession, path: str, sep: str = ",") -> DataFram
 
 
 def read_text_table(
-    spark: SparkSession, path: str, columns, sep: str = ",", strict: bool = False
+    spark: SparkSession, path: str, columns, sep: str = ",", strict: bool = False, rest: str | None = None
 ) -> DataFrame:
-    """Headerless delimited file split line by line into all-string columns."""
+    """Headerless delimited file split line by line into all-string columns (and the array ``rest``)."""
     columns = tuple(columns)
     fields = F.col(FIELDS)
     if strict:
@@ -67,6 +68,8 @@ def read_text_table(
                 )
             )
         )
-    return read_text_fields(spark, path, sep).select(
-        *[F.get(fields, i).alias(c) for i, c in enumerate(columns)]
-    )
+    out = [F.get(fields, i).alias(c) for i, c in enumerate(columns)]
+    if rest is not None:
+        n = len(columns)
+        out.append(F.slice(fields, F.lit(n + 1), F.greatest(F.size(fields) - n, F.lit(0))).alias(rest))
+    return read_text_fields(spark, path, sep).select(*out)

@@ -2,10 +2,12 @@
 
 ``load_car`` / ``load_mushroom`` read a headerless delimited file with the
 dataset's schema (CSV parser or raw line split), or use the inline rows when
-no path is given, add a ``row_id`` and split the rows. The default split is
-Spark's seeded random split (seed 42, 80/20); ``split="hash"`` uses the
-portable hash of ``row_id`` instead. Both frames are lazy; nothing is
-collected.
+no path is given, add a ``row_id`` and split the rows. For a file the id is a
+hash of the row's values: the same however the file is cut into partitions,
+and equal rows share it (they fall on the same side of a split; scoring does
+not need unique ids). The default split is the portable hash of ``row_id``
+(80/20); ``split="random"`` is Spark's seeded random split (seed 42). Both
+frames are lazy; nothing is collected.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def load_labelled(
     path: str | None = None,
     fmt: str = "csv",
     train_ratio: float = DEFAULT_TRAIN_RATIO,
-    split: str = "random",
+    split: str = "hash",
     seed: int = DEFAULT_SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with ``row_id`` and the named all-string columns."""
@@ -45,8 +47,8 @@ def load_labelled(
         df = inline_table(spark, columns, rows)
     else:
         reader = {"csv": read_csv_table, "text": read_text_table}[fmt]
-        # ids follow the file's split layout; the hash split keys on them
-        df = reader(spark, path, columns).withColumn(ROW_ID, F.monotonically_increasing_id())
+        df = reader(spark, path, columns)
+        df = df.withColumn(ROW_ID, F.xxhash64(*[F.coalesce(F.col(c), F.lit("\x00")) for c in columns]))
         df = df.select(ROW_ID, *columns)
     if split == "hash":
         return hash_split(df, [ROW_ID], train_ratio)

@@ -47,8 +47,10 @@ def documents_lang(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dataset
     return df, DatasetSpec("documents_lang", tuple(feats), "lang", ("doc_id",))
 
 
-def orders_set(spark: SparkSession, sf_dir: str, with_region: bool = False) -> tuple[DataFrame, DatasetSpec]:
-    """Orders with their customer's segment and nation; label is the priority."""
+def orders_set(
+    spark: SparkSession, sf_dir: str, with_region: bool = False, extra: tuple[str, ...] = ()
+) -> tuple[DataFrame, DatasetSpec]:
+    """Orders with their customer's segment and nation; label is the priority. ``extra`` order columns are kept."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )
@@ -57,7 +59,7 @@ def orders_set(spark: SparkSession, sf_dir: str, with_region: bool = False) -> t
     df = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, F.col("c_nationkey") == nation.n_nationkey
     )
-    cols = ["o_orderkey", "o_orderpriority", "o_orderstatus", "c_mktsegment", "n_name"]
+    cols = ["o_orderkey", "o_orderpriority", "o_orderstatus", "c_mktsegment", "n_name", *extra]
     if with_region:
         region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
         df = df.join(region, F.col("n_regionkey") == region.r_regionkey)

@@ -61,6 +61,34 @@ def test_text_policy(spark, scratch):
     assert len(rows) == 7
 
 
+def test_text_keeps_the_rest_of_a_long_row(spark, scratch):
+    path = write_lines(scratch, LINES)
+    rows = {tuple(r[:3]): r["rest"] for r in read_text_table(spark, path, COLS, rest="rest").collect()}
+    assert rows["x", "y", "z"] == ["c6"] and rows["x", "y", "c1"] == [] and rows["x", "c5", None] == []
+
+
+def test_csv_strict_fails_on_ragged_rows(spark, scratch):
+    path = write_lines(scratch, ["x,y,c1", "x,c5"])
+    with pytest.raises(Exception):
+        read_csv_table(spark, path, COLS, strict=True).collect()
+
+
+def test_file_row_ids_do_not_follow_the_layout(spark, scratch):
+    from tallybayes.sources import load_car
+
+    path = write_lines(scratch, [",".join(r) for r in CAR_ROWS] * 400)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        seen = []
+        for size in ("1k", "1m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            tr, te, _ = load_car(spark, path)
+            seen.append([sorted(map(tuple, side.collect())) for side in (tr, te)])
+        assert seen[0] == seen[1] and len(seen[0][0]) + len(seen[0][1]) == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_text_strict_fails_on_ragged_rows(spark, scratch):
     path = write_lines(scratch, ["x,y,c1", "x,c5"])
     with pytest.raises(Exception):
