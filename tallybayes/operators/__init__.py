@@ -4,7 +4,7 @@ from tallybayes.operators.evaluate import accuracy, class_distribution, sample_r
 from tallybayes.operators.predict import class_scores, choose_scorer, predict, score_arrays
 from tallybayes.operators.prepare import (
     BinEdges,
-    ensure_partitions,
+    spread,
     fit_bins,
     hash_split,
     prepare,
@@ -22,7 +22,7 @@ __all__ = [
     "class_distribution",
     "class_scores",
     "count_features",
-    "ensure_partitions",
+    "spread",
     "fit_bins",
     "hash_split",
     "long_form",

@@ -1,32 +1,31 @@
 """Scoring: per-class log scores, argmax, prediction.
 
-Two physical strategies compute the same scores (prior first, then the
-features in column order, added left to right):
-
-``map`` (default when the model is small)
-    The model folded into one row per model key (``NBModel.map_model``) is
-    broadcast and joined to the test rows on the key; each row looks up its
-    values with map access and adds the per-class terms. No shuffle of the
-    test data: scan, lookup, sum and argmax run in one stage. When
-    ``features × classes`` is small the sum is unrolled into scalar
-    expressions (one per class), which keeps the projection inside whole-stage
-    codegen; otherwise it uses higher-order array functions, which Spark
-    evaluates interpreted (about 6x slower per row, measured).
-
-``long`` (large vocabularies)
-    Test rows go to long form, left-join the dense likelihood frame on
-    (key, feature, value) and are regrouped by row id; a value the model has
-    not seen takes the fallback from the broadcast per-model header. When
-    ``stats()`` proves the dense frame small enough it is broadcast and the
-    compact test rows are hash-partitioned by id once, so the plan has a
-    single exchange; otherwise a sort-merge join (hot values split by AQE's
-    skew-join handling) is followed by a shuffle by row id, and no part of
-    the model has to fit in one task. The final sum is unrolled as above.
+Every scorer gives one output row per test row, whatever its ids (they are
+carried, never grouped by; they may repeat, be null or be absent), and adds the
+same terms in the same order: prior first, then the features in column order.
+
+``map`` (the default while the model can be broadcast)
+    Test rows are never shuffled. Features of up to ``max_map_values`` values
+    are folded with the class header into one row per model, broadcast and
+    joined on the model key; each row looks its values up by map access, a
+    linear scan. A wider feature is a hashed lookup instead: its part of the
+    dense likelihood frame is broadcast and joined on (model key, value), one
+    hash join per wide feature, in the same stage. When ``features × classes``
+    is small the sum is unrolled into scalar expressions (one per class), which
+    keeps the projection inside whole-stage codegen; otherwise it uses
+    higher-order array functions, which Spark evaluates interpreted (about 6x
+    slower per row, measured). A part whose size from ``NBModel.stats()`` is
+    above its bound is joined without the broadcast hint, by a shuffle that
+    AQE may split at hot values; that needs no state, so it serves streams too.
+
+``long`` (models too large to broadcast)
+    Test rows get a row number that is made durable first, go to long form,
+    left-join the dense likelihood frame on (key, feature, value) and are
+    regrouped by the row number: two shuffles however many features there are.
 
 ``map_arrays`` forces the array form of the map scorer (no unrolling).
-``auto`` picks ``map`` when ``NBModel.stats()`` says the folded model is
-below ``max_map_bytes`` and no feature has more than ``max_map_values``
-values (map access is a linear key scan), else ``long``.
+``auto`` picks ``map`` when the folded model is below ``max_map_bytes``, else
+``long``: a choice of cost alone.
 """
 
 from __future__ import annotations
@@ -36,14 +35,14 @@ from pyspark.sql import functions as F
 
 from tallybayes.functions.exprs import UNKNOWN_LOG_PROB, argmax, fold_sum
 from tallybayes.operators.prepare import FEAT_IDX, FEATURES, LABEL, VALUE
-from tallybayes.operators.train import ModelStats, NBModel
+from tallybayes.operators.train import ModelStats, NBModel, make_durable
 
 MAX_MAP_BYTES = 64 * 1024 * 1024
 # map access scans keys linearly; measured on 600k test rows (orders + one
 # feature of V values, local[8]): V=256 map 1.5 s / long 1.7 s, V=1024 map
 # 2.2 s / long 1.6 s, V=4096 map 5.6 s / long 1.8 s -> switch above 256
 MAX_MAP_VALUES = 256
-# dense likelihood frames up to this size are broadcast by the long scorer
+# dense likelihood frames (of one wide feature, or of all in the long scorer) up to this size are broadcast
 MAX_DENSE_BROADCAST_BYTES = 256 * 1024 * 1024
 # largest features x classes for which the sum is unrolled into scalar
 # expressions. Measured (120k test rows, 22 features, local[8]): 12-66 terms
@@ -55,13 +54,11 @@ UNROLL_MAX_TERMS = 256
 CLASSES = "classes"
 SCORES = "scores"
 PARTS = "_parts"
+ROW = "_row"
 
 
-def choose_scorer(model: NBModel, max_map_bytes: int = MAX_MAP_BYTES, max_map_values: int = MAX_MAP_VALUES) -> str:
-    st = model.stats()
-    if st.map_bytes <= max_map_bytes and st.max_values <= max_map_values:
-        return "map"
-    return "long"
+def choose_scorer(model: NBModel, max_map_bytes: int = MAX_MAP_BYTES) -> str:
+    return "map" if model.stats().map_bytes <= max_map_bytes else "long"
 
 
 def _unknown(n_classes):
@@ -72,18 +69,46 @@ def _unrollable(st: ModelStats) -> bool:
     return 0 < st.max_features * max(st.max_classes, 1) <= UNROLL_MAX_TERMS
 
 
-def _with_map_model(test: DataFrame, model: NBModel, max_map_bytes: int) -> DataFrame:
-    # callers reach this only after _resolve checked the folded size
-    assert model.stats().map_bytes <= max_map_bytes
-    return test.join(F.broadcast(model.map_model), model.keys, "left")
+def _wide(i: int) -> str:
+    return f"_wide_{i}"
 
 
-def _map_lookup(i: int) -> Column:
-    """lik[i][value_i], else fallback[i] (map scorer)."""
-    return F.coalesce(
-        F.try_element_at(F.try_element_at(F.col("lik"), F.lit(i)), F.get(F.col(FEATURES), i)),
-        F.try_element_at(F.col("fallback"), F.lit(i)),
-    )
+def _wide_features(st: ModelStats, max_map_values: int) -> list[int]:
+    return [i for i, (n, _) in enumerate(st.features) if n > max_map_values]
+
+
+def _with_map_model(test: DataFrame, model: NBModel, max_map_bytes: int, max_map_values: int) -> DataFrame:
+    """The test rows with the folded model and, for each wide feature, the likelihoods of their value."""
+    st = model.stats()
+    wide = _wide_features(st, max_map_values)
+    narrow = [i for i in range(len(st.features)) if i not in wide]
+    folded = model.folded(narrow)
+    small = st.header_bytes + sum(st.features[i][1] for i in narrow) <= max_map_bytes
+    out = test.join(F.broadcast(folded) if small else folded, model.keys, "left")
+    for i in wide:
+        dense = model.dense_likelihood.filter(F.col(FEAT_IDX) == i)
+        dense = dense.select(*model.keys, F.col(VALUE).alias(_wide(i) + "_value"), F.col("log_liks").alias(_wide(i)))
+        if st.features[i][1] <= MAX_DENSE_BROADCAST_BYTES:
+            dense = F.broadcast(dense)
+        at = F.get(F.col(FEATURES), i) == F.col(_wide(i) + "_value")
+        right = dense.select(*[F.col(k).alias(f"{_wide(i)}_{k}") for k in model.keys], _wide(i) + "_value", _wide(i))
+        for k in model.keys:
+            at = at & (out[k] == F.col(f"{_wide(i)}_{k}"))
+        out = out.join(right, at, "left").drop(*[f"{_wide(i)}_{k}" for k in model.keys], _wide(i) + "_value")
+    return out
+
+
+def _map_lookup(wide):
+    """lik[i][value_i] (of a wide feature: its joined likelihoods), else fallback[i]."""
+
+    def look(i: int) -> Column:
+        if i in wide:
+            own = F.col(_wide(i))
+        else:
+            own = F.try_element_at(F.try_element_at(F.col("lik"), F.lit(i)), F.get(F.col(FEATURES), i))
+        return F.coalesce(own, F.try_element_at(F.col("fallback"), F.lit(i)))
+
+    return look
 
 
 def _long_lookup(i: int) -> Column:
@@ -104,13 +129,13 @@ def _unrolled_class_scores(st: ModelStats, lookup, size: Column) -> list[Column]
     and every lookup would run K times; measured 4x slower). ``pad_i`` is
     ``ln(1e-10)`` for a feature the model does not know and ``0.0`` for a
     feature the row does not have (``+ 0.0`` is exact); features beyond the
-    model's count add ``ln(1e-10)`` each.
+    model's count add ``ln(1e-10)`` each, in one product, as in the array form.
     """
     m, k = st.max_features, max(st.max_classes, 1)
     unknown = F.lit(UNKNOWN_LOG_PROB)
     looks = [F.when(size > i, lookup(i)) for i in range(m)]
     pads = [F.when(size > i, unknown).otherwise(F.lit(0.0)) for i in range(m)]
-    extra = F.when(size > m, (size - m).cast("double") * unknown).otherwise(F.lit(0.0))
+    extra = _extra(size, m)
     out = []
     for c in range(k):
         s = F.get(F.col("prior"), c)
@@ -127,20 +152,25 @@ def _unrolled_argmax(scores: list[Column]) -> tuple[Column, Column]:
     return F.get(F.col(CLASSES), -best["neg_j"]), best["s"]
 
 
-def _array_scores(parts: Column) -> Column:
-    """prior + parts folded left to right (higher-order functions)."""
-    return fold_sum(F.col("prior"), parts)
+def _extra(size: Column, m: int) -> Column:
+    """What the features beyond the model's count add; the same expression in every form."""
+    return F.when(size > m, (size - m).cast("double") * F.lit(UNKNOWN_LOG_PROB)).otherwise(F.lit(0.0))
 
 
-def _map_parts() -> Column:
-    return F.transform(
-        FEATURES,
-        lambda v, i: F.coalesce(
-            F.try_element_at(F.try_element_at(F.col("lik"), i), v),
-            F.try_element_at(F.col("fallback"), i),
-            _unknown(F.size(CLASSES)),
-        ),
-    )
+def _array_scores(st: ModelStats, parts: Column, size: Column) -> Column:
+    """prior + parts folded left to right (higher-order functions), then the features beyond the model's count."""
+    known = fold_sum(F.col("prior"), F.slice(parts, 1, st.max_features))
+    return F.transform(known, lambda s: s + _extra(size, st.max_features))
+
+
+def _map_parts(wide) -> Column:
+    def part(v: Column, i: Column) -> Column:
+        own = F.try_element_at(F.try_element_at(F.col("lik"), i), v)
+        for w in wide:
+            own = F.when(i == w, F.col(_wide(w))).otherwise(own)
+        return F.coalesce(own, F.try_element_at(F.col("fallback"), i), _unknown(F.size(CLASSES)))
+
+    return F.transform(FEATURES, part)
 
 
 def _long_parts() -> Column:
@@ -156,41 +186,36 @@ def _long_grouped(test: DataFrame, model: NBModel, ids, max_dense_bytes: int | N
     """(keys, ids, label, _parts, classes, prior, fallback): one row per test row.
 
     ``_parts`` is the row's (feat_idx, likelihood array) list sorted by
-    feature; a value the model has not seen has a null array.
+    feature; a value the model has not seen has a null array. Rows are
+    regrouped by a number of their own, fixed by a checkpoint, so equal ids stay apart.
     """
     keys, st = model.keys, model.stats()
-    dense = model.dense_likelihood  # builds on the header, which checks K
-    src = test
+    dense = model.dense_likelihood
     limit = MAX_DENSE_BROADCAST_BYTES if max_dense_bytes is None else max_dense_bytes
+    src = make_durable(test.select(*keys, *ids, LABEL, FEATURES).withColumn(ROW, F.monotonically_increasing_id()))
     if st.dense_bytes <= limit:
         # size-proven: broadcast the dense model and hash-partition the compact
-        # test rows by id once; explode, lookup and regrouping then reuse that
-        # partitioning, so no exploded row is ever shuffled. (Partitioning by
-        # the ids alone: a constant model key would be re-aliased downstream
-        # and hide that the grouping is already clustered.)
+        # test rows by number once; explode, lookup and regrouping then reuse
+        # that partitioning, so no exploded row is ever shuffled
         dense = F.broadcast(dense)
-        src = test.repartition(*ids)
-    long = src.select(*keys, *ids, LABEL, F.posexplode_outer(FEATURES).alias(FEAT_IDX, VALUE))
+        src = src.repartition(ROW)
+    long = src.select(ROW, *keys, *ids, LABEL, F.posexplode_outer(FEATURES).alias(FEAT_IDX, VALUE))
     joined = long.join(dense, [*keys, FEAT_IDX, VALUE], "left")
-    grouped = joined.groupBy(*keys, *ids, LABEL).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(FEAT_IDX).alias("i"), F.col("log_liks").alias("c")))).alias(PARTS)
+    rest = [F.first(c).alias(c) for c in (*keys, *ids, LABEL)]
+    grouped = joined.groupBy(ROW).agg(
+        *rest, F.array_sort(F.collect_list(F.struct(F.col(FEAT_IDX).alias("i"), F.col("log_liks").alias("c")))).alias(PARTS)
     )
-    return grouped.join(F.broadcast(model.score_header), keys, "left")
+    header = model.score_header
+    if st.header_bytes <= limit:
+        header = F.broadcast(header)
+    return grouped.join(header, keys, "left")
 
 
-def _resolve(model: NBModel, ids, scorer: str, max_map_bytes: int, max_map_values: int) -> str:
+def _resolve(model: NBModel, scorer: str, max_map_bytes: int) -> str:
     if scorer == "auto":
-        scorer = choose_scorer(model, max_map_bytes, max_map_values)
+        scorer = choose_scorer(model, max_map_bytes)
     if scorer not in ("map", "map_arrays", "long"):
         raise ValueError(f"unknown scorer {scorer!r}")
-    if scorer != "long" and model.stats().map_bytes > max_map_bytes:
-        # the folded model is joined on a key every test row shares: without a
-        # broadcast that join would put all rows in one task, so never do it
-        if not ids:
-            raise ValueError("model too large to broadcast; the long scorer needs row ids")
-        scorer = "long"
-    if scorer == "long" and not ids:
-        raise ValueError("the long scorer needs row ids")
     return scorer
 
 
@@ -205,21 +230,23 @@ def score_arrays(
 ) -> DataFrame:
     """(keys, ids, label, classes, scores): all class scores of each test row."""
     ids = list(ids)
-    if _resolve(model, ids, scorer, max_map_bytes, max_map_values) == "long":
+    if _resolve(model, scorer, max_map_bytes) == "long":
         g = _long_grouped(test, model, ids, max_dense_bytes)
-        return g.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(_long_parts()).alias(SCORES))
-    j = _with_map_model(test, model, max_map_bytes)
-    return j.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(_map_parts()).alias(SCORES))
+        return g.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(model.stats(), _long_parts(), F.size(PARTS)).alias(SCORES))
+    j = _with_map_model(test, model, max_map_bytes, max_map_values)
+    parts = _map_parts(_wide_features(model.stats(), max_map_values))
+    return j.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(model.stats(), parts, F.size(FEATURES)).alias(SCORES))
 
 
-def _unrolled_source(test, model, ids, kind, max_map_bytes, max_dense_bytes=None):
+def _unrolled_source(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes=None):
     """(frame, per-class score expressions) when the sum can be unrolled, else None."""
     st = model.stats()
     if kind == "map_arrays" or not _unrollable(st):
         return None
     if kind == "map":
-        return _with_map_model(test, model, max_map_bytes), _unrolled_class_scores(
-            st, _map_lookup, F.size(FEATURES)
+        look = _map_lookup(_wide_features(st, max_map_values))
+        return _with_map_model(test, model, max_map_bytes, max_map_values), _unrolled_class_scores(
+            st, look, F.size(FEATURES)
         )
     return _long_grouped(test, model, ids, max_dense_bytes), _unrolled_class_scores(st, _long_lookup, F.size(PARTS))
 
@@ -239,8 +266,8 @@ def predict(
     dense likelihood frame (0 forces the shuffle-join tier).
     """
     ids = list(ids)
-    kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
-    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_dense_bytes)
+    kind = _resolve(model, scorer, max_map_bytes)
+    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes)
     if unrolled is not None:
         joined, scores = unrolled
         pred, best = _unrolled_argmax(scores)
@@ -261,8 +288,8 @@ def class_scores(
 ) -> DataFrame:
     """(keys, ids, label, class, score): one row per test row and class."""
     ids = list(ids)
-    kind = _resolve(model, ids, scorer, max_map_bytes, max_map_values)
-    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_dense_bytes)
+    kind = _resolve(model, scorer, max_map_bytes)
+    unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes)
     if unrolled is not None:
         joined, scores = unrolled
         pairs = F.array(

@@ -23,6 +23,7 @@ from tallybayes.functions.exprs import (
     SPLIT_BUCKETS,
     as_category,
     split_bucket,
+    split_position,
 )
 from tallybayes.sources.spec import DatasetSpec
 
@@ -54,9 +55,11 @@ def hash_split(
     split adds no shuffle and stays correct when tasks are re-run. ``method``
     picks the hash (see ``split_bucket``).
     """
-    cut = int(round(train_ratio * SPLIT_BUCKETS))
-    bucket = split_bucket(*ids, method=method)
-    return df.filter(bucket < cut), df.filter(bucket >= cut)
+    cut = round(train_ratio * SPLIT_BUCKETS, 9)
+    # a whole percentage needs no more than the bucket
+    place = split_bucket if cut == int(cut) else split_position
+    at = place(*ids, method=method)
+    return df.filter(at < cut), df.filter(at >= cut)
 
 
 def random_split(
@@ -64,39 +67,42 @@ def random_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) with Spark's seeded Bernoulli split.
 
-    Reproducible only for the same input partitioning; ``hash_split`` is the
-    portable choice.
+    Each side reads the input anew and draws by partition, so the input has to
+    be fixed (a table, not the result of a shuffle): otherwise the sides may
+    overlap or lose rows. ``hash_split`` has no such condition.
     """
     train, test = df.randomSplit([train_ratio, 1.0 - train_ratio], seed=seed)
     return train, test
 
 
-def ensure_partitions(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Repartition only when the input has fewer splits than ``min_partitions``.
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """The rows dealt evenly to a number of partitions that the caller chooses.
 
-    Small or unsplittable inputs (one gzip file, an inline table) otherwise
-    leave most cores idle; larger inputs keep their scan splits and AQE sizes
-    the shuffles. Counting splits plans the scan but runs no job.
+    For small or unsplittable inputs (one gzip file, an inline table), which
+    otherwise leave most cores idle; larger inputs keep their scan splits.
     """
-    if df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
-    return df
+    return df.repartition(partitions)
 
 
 def replicate(df: DataFrame, factor: int | Column, copy_col: str = COPY) -> DataFrame:
-    """Every row ``factor`` times, numbered 1..factor in ``copy_col``.
+    """Every row ``factor`` times, numbered 1..factor in ``copy_col``; none for a factor below 1 or null.
 
     One narrow Generate instead of ``factor - 1`` chained unions, so the plan
     size does not grow with the factor; ``factor`` may be a column, letting
     each row carry its own replication count.
     """
     n = factor if isinstance(factor, Column) else F.lit(int(factor))
-    return df.withColumn(copy_col, F.explode(F.sequence(F.lit(1), n)))
+    return df.withColumn(copy_col, F.explode(F.when(n >= 1, F.sequence(F.lit(1).cast("long"), n.cast("long"))))).withColumn(
+        copy_col, F.col(copy_col).cast("int")
+    )
 
 
 @dataclass(frozen=True)
 class BinEdges:
-    """Equal-width bins fitted on a training frame: per column (min, width)."""
+    """Equal-width bins fitted on a training frame: per column (min, width).
+
+    NaN is a category of its own (``NaN``) and no part of the range.
+    """
 
     bins: int
     edges: dict[str, tuple[float | None, float | None]]
@@ -106,14 +112,14 @@ class BinEdges:
         lo, width = self.edges[name]
         x = F.col(name).cast("double")
         if lo is None:
-            return F.lit(None).cast("string")
+            return F.when(F.isnan(x), F.lit("NaN"))
         if not width:
             idx = F.when(x.isNotNull(), F.lit(0))
         else:
             raw = F.floor((x - F.lit(lo)) / F.lit(width))
             # greatest/least skip nulls, so keep a null input null explicitly
             idx = F.when(x.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.lit(self.bins - 1)))
-        return idx.cast("bigint").cast("string")
+        return F.when(F.isnan(x), F.lit("NaN")).otherwise(idx.cast("bigint").cast("string"))
 
     def apply(self, df: DataFrame, cols=None) -> DataFrame:
         cols = list(cols or self.edges)
@@ -131,6 +137,7 @@ def fit_bins(train: DataFrame, cols, bins: int = 3) -> BinEdges:
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
         aggs += [F.min(x).alias(f"lo_{c}"), F.max(x).alias(f"hi_{c}")]
     row = train.agg(*aggs).first()
     edges = {}

@@ -44,13 +44,23 @@ def complete_records(records: DataFrame) -> DataFrame:
 def pivot_table(
     records: DataFrame,
     value: str = "total_time",
-    sizes=tuple(SIZE_LABELS.values()),
+    sizes=None,
     rows=("dataset", "impl"),
 ) -> DataFrame:
-    """Implementation x size table; a missing cell stays null."""
+    """Implementation x size table; a missing cell stays null.
+
+    Without ``sizes`` the columns are Small, Medium and Large, then every other
+    size that has a record, by scale.
+    """
+    full = complete_records(records)
+    if sizes is None:
+        named = list(SIZE_LABELS.values())
+        scale = F.min("scale") if "scale" in full.columns else F.lit(0)
+        other = full.filter(~F.col("size_label").isin(named)).groupBy("size_label").agg(scale.alias("scale"))
+        # one row per size; Spark itself refuses a pivot of more than 10,000 columns
+        sizes = named + [r["size_label"] for r in other.orderBy("scale", "size_label").collect()]
     return (
-        complete_records(records)
-        .groupBy(*rows)
+        full.groupBy(*rows)
         .pivot("size_label", list(sizes))
         .agg(F.max(value))
         .orderBy(*rows)

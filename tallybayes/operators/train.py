@@ -41,10 +41,6 @@ N = "n"
 # joins with the larger count-derived frames when their size, known from
 # stats(), is below this bound; beyond it the join is left to AQE (skew split)
 MAX_DIM_BROADCAST_BYTES = 256 * 1024 * 1024
-# the per-model header (classes, priors, fallback arrays) is one row per model:
-# beyond this size the classes are too many to collect (and to score: every
-# row is scored against every class)
-MAX_HEADER_BYTES = 256 * 1024 * 1024
 # models up to this (folded) size are derived from counts hash-partitioned by
 # the model key: one exchange, after which every grouping by (model key, ...)
 # and every join on the model key is already clustered (no further shuffles)
@@ -72,12 +68,17 @@ def make_durable(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder, else of the warehouse folder.
+    """A fresh sub-folder of the checkpoint folder, which all executors share.
 
-    Both are shared storage on a cluster; nothing is ever written to a
-    machine-local temporary folder.
+    Without one, a local master (one machine) uses a folder beside its
+    warehouse; off local mode that is refused, since each executor would write
+    to its own disk and the read-back would be incomplete.
     """
-    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    base = checkpoint_dir(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
     return f"{base.rstrip('/')}/tallybayes-{name}-{uuid.uuid4().hex}"
 
 
@@ -85,13 +86,25 @@ def stage_table(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, but the result is columnar and
-    compressed, so later reads prune columns and push filters. The folder is
-    the session's checkpoint folder, else its warehouse folder (both shared
-    storage on a cluster); each call gets a fresh sub-folder.
+    compressed, so later reads prune columns and push filters. Each call gets
+    a fresh sub-folder; ``release`` removes it.
     """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._tallybayes_folder = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Give up durable frames: unpersist them, and delete the folder of a staged table."""
+    for df in frames:
+        df.unpersist()
+        path = getattr(df, "_tallybayes_folder", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def long_form(prepared: DataFrame, keep=()) -> DataFrame:
@@ -113,6 +126,8 @@ def count_features(prepared: DataFrame, keys=(DATASET,), weight: str | None = No
     materialising the copies.
     """
     rows = prepared.filter(F.col(LABEL).isNotNull())
+    if weight is not None:
+        rows = rows.filter(F.col(weight) > 0)  # zero copies leave no class and no value behind
     keep = (*keys, LABEL) if weight is None else (*keys, LABEL, weight)
     n = F.count(F.lit(1)) if weight is None else F.sum(F.col(weight).cast("bigint"))
     return long_form(rows, keep=keep).groupBy(*keys, FEAT_IDX, VALUE, LABEL).agg(n.alias(N))
@@ -125,7 +140,7 @@ def _class_counts(counts: DataFrame, keys) -> DataFrame:
 
 @dataclass(frozen=True)
 class ModelStats:
-    """Driver-side scalars used to pick a scoring strategy."""
+    """Driver-side scalars used to pick a scoring strategy; sizes count the bytes of values and labels."""
 
     n_models: int
     max_classes: int
@@ -134,20 +149,24 @@ class ModelStats:
     dense_cells: int
     min_features: int = 0
     max_features: int = 0
+    value_bytes: int = 0
+    label_bytes: int = 0
+    # per feature position: most values in a model, bytes of its dense frame over all models
+    features: tuple[tuple[int, int], ...] = ()
 
     @property
     def header_bytes(self) -> int:
-        """Rough size of the per-model header: classes, priors, fallback arrays."""
-        return self.n_models * self.max_classes * (80 + 8 * self.max_features)
+        """Size of the per-model headers: classes, priors, fallback arrays."""
+        return self.n_models * (64 + self.max_classes * (80 + 8 * self.max_features)) + self.label_bytes
 
     @property
     def dense_bytes(self) -> int:
-        """Rough size of the dense likelihood frame (one K-array per value)."""
-        return 8 * self.dense_cells + 64 * self.n_entries
+        """Size of the dense likelihood frame (one K-array per value)."""
+        return 8 * self.dense_cells + 64 * self.n_entries + self.value_bytes
 
     @property
     def map_bytes(self) -> int:
-        """Rough size of the folded one-row-per-model form."""
+        """Size of the folded one-row-per-model form."""
         return self.dense_bytes + self.header_bytes
 
 
@@ -259,16 +278,7 @@ class NBModel:
     # -- class-aligned array parts (what the scorers use) -------------------
     @cached_property
     def header(self) -> DataFrame:
-        """One row per model: classes sorted ascending, their counts and priors.
-
-        Collects a model's K classes into one row, so K is checked first.
-        """
-        st = self.stats()
-        if st.header_bytes > MAX_HEADER_BYTES:
-            raise ValueError(
-                f"{st.max_classes} classes x {st.max_features} features per model is too many "
-                "to hold class-aligned arrays (is the label a near-unique column?)"
-            )
+        """One row per model: classes sorted ascending, their counts and priors."""
         cls = F.array_sort(F.collect_list(F.struct(LABEL, "n_c", "log_prior")))
         return (
             self.prior.groupBy(*self.keys)
@@ -297,12 +307,11 @@ class NBModel:
 
     @cached_property
     def fallback(self) -> DataFrame:
-        """(keys, feat_idx, label, log_fallback): one row per feature and class."""
-        pairs = F.transform(
-            "classes",
-            lambda c, j: F.struct(c.alias(LABEL), F.get(F.col("log_fallbacks"), j).alias("log_fallback")),
+        """(keys, feat_idx, label, log_fallback): one row per feature and class, by a join on the model key."""
+        classes = self._dim(self.classes, self.stats().max_classes, 64)
+        return self.vocabulary.join(classes, self.keys).select(
+            *self.keys, FEAT_IDX, LABEL, log_fallback(F.col("n_c"), F.col("n_values")).alias("log_fallback")
         )
-        return self._feature_header.select(*self.keys, FEAT_IDX, F.inline(pairs))
 
     @cached_property
     def dense_likelihood(self) -> DataFrame:
@@ -352,15 +361,20 @@ class NBModel:
 
     @cached_property
     def map_model(self) -> DataFrame:
-        """``score_header`` plus ``lik``: map<feat_idx, map<value, array<double>>>.
+        """``folded`` with every feature."""
+        return self.folded(range(self.stats().max_features))
+
+    def folded(self, narrow) -> DataFrame:
+        """``score_header`` plus ``lik``: map<feat_idx, map<value, array<double>>> of the ``narrow`` features.
 
-        Its size is bounded by ``stats().map_bytes``, which the scorer checks
-        before building or broadcasting it.
+        Its size is bounded by the scorer, which sums ``stats().features``
+        before it builds or broadcasts this.
         """
         # each feature's group carries its fallback array, so likelihood and
         # fallback maps fold in the same two aggregations
+        inside = F.col(FEAT_IDX).isin([int(i) for i in narrow])
         per_feat = self._dense_with_fallbacks.groupBy(*self.keys, FEAT_IDX).agg(
-            F.map_from_entries(F.collect_list(F.struct(VALUE, "log_liks"))).alias("_lik"),
+            F.map_from_entries(F.collect_list(F.when(inside, F.struct(VALUE, "log_liks")))).alias("_lik"),
             F.first("log_fallbacks").alias("_fb"),
         )
         folded = per_feat.groupBy(*self.keys).agg(
@@ -400,42 +414,62 @@ class NBModel:
 
     # -- driver-side scalars --------------------------------------------------
     def stats(self) -> ModelStats:
-        """Model size figures, returned to the driver as a handful of scalars.
+        """Model size figures, returned to the driver as a row per feature position.
 
-        Per-model aggregates of the vocabulary and of the class totals (one
-        row per model each) are joined 1:1, so nothing here is skewed or
-        broadcast; every broadcast decision elsewhere is based on these.
+        One pass over the distinct values and one over the class totals (a row
+        per model and feature each), so nothing here is skewed or broadcast;
+        every broadcast decision elsewhere is based on these.
         """
         if "_stats" not in self.__dict__:
             k = self.keys
-            vocab = self.counts.groupBy(*k, FEAT_IDX).agg(F.count_distinct(VALUE).alias("n_values"))
-            per_vocab = vocab.groupBy(*k).agg(
-                F.max("n_values").alias("mv"),
-                F.sum("n_values").alias("ne"),
-                F.count(F.lit(1)).alias("m"),
+            values = self.counts.groupBy(*k, FEAT_IDX, VALUE).agg(F.lit(1).alias("one"))
+            vocab = values.groupBy(*k, FEAT_IDX).agg(
+                F.count(F.lit(1)).alias("n_values"), F.sum(F.octet_length(VALUE)).alias("bytes")
+            )
+            totals = _class_counts(self.counts, k).groupBy(*k).agg(
+                F.count(F.lit(1)).alias("n_classes"), F.sum(F.octet_length(LABEL)).alias("label_bytes")
             )
-            totals = _class_counts(self.counts, k).groupBy(*k).agg(F.count(F.lit(1)).alias("n_classes"))
-            per = per_vocab.join(totals, k)
-            row = per.agg(
-                F.count(F.lit(1)).alias("models"),
-                F.max("n_classes").alias("k"),
-                F.max("mv").alias("mv"),
-                F.sum("ne").alias("ne"),
-                F.sum(F.col("ne") * F.col("n_classes")).alias("cells"),
-                F.min("m").alias("min_m"),
-                F.max("m").alias("max_m"),
-            ).first()
+            per = vocab.join(totals, k)
+            rows = (
+                per.groupBy(FEAT_IDX)
+                .agg(
+                    F.count(F.lit(1)).alias("models"),
+                    F.max("n_classes").alias("k"),
+                    F.max("n_values").alias("mv"),
+                    F.sum("n_values").alias("ne"),
+                    F.sum(F.col("n_values") * F.col("n_classes")).alias("cells"),
+                    F.sum("bytes").alias("bytes"),
+                    F.sum("label_bytes").alias("label_bytes"),
+                )
+                .collect()  # a row per feature position
+            )
+            rows = [r for r in rows if r[FEAT_IDX] is not None]  # no features, no positions
+            at = {r[FEAT_IDX]: r for r in rows}
+            most = max(at, default=-1) + 1
+            features = tuple(
+                (at[i]["mv"], 8 * at[i]["cells"] + 64 * at[i]["ne"] + at[i]["bytes"]) if i in at else (0, 0) for i in range(most)
+            )
+            every = [r["models"] for r in rows]
+            n_models = max(every, default=0)
             self.__dict__["_stats"] = ModelStats(
-                int(row["models"] or 0),
-                int(row["k"] or 0),
-                int(row["mv"] or 0),
-                int(row["ne"] or 0),
-                int(row["cells"] or 0),
-                int(row["min_m"] or 0),
-                int(row["max_m"] or 0),
+                n_models,
+                max((r["k"] for r in rows), default=0),
+                max((r["mv"] for r in rows), default=0),
+                sum(r["ne"] for r in rows),
+                sum(r["cells"] for r in rows),
+                # positions that every model has
+                sum(n == n_models for n in every),
+                most,
+                sum(r["bytes"] or 0 for r in rows),
+                max((r["label_bytes"] or 0 for r in rows), default=0),
+                features,
             )
         return self.__dict__["_stats"]
 
+    def release(self) -> None:
+        """Give up the durable counts (a checkpoint's files go when its frame does)."""
+        release(self.counts)
+
     # -- persistence ----------------------------------------------------------
     def save(self, path: str, mode: str = "error") -> None:
         """Write the sufficient statistics; everything else is derived."""

@@ -1,7 +1,7 @@
 """Apply a trained model to a streaming DataFrame.
 
-The map scorer is a stream-static join against the broadcast model row plus
-per-row expressions, so each micro-batch is scored independently: no state
+The map scorer is made of stream-static joins (broadcast where the part of the
+model is small enough) plus per-row expressions, so each micro-batch is scored independently: no state
 store, no watermark, and a restarted query resumes from its checkpointed
 source offsets. Training stays a batch job.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tallybayes.operators.predict import MAX_MAP_BYTES, predict
+from tallybayes.operators.predict import predict
 from tallybayes.operators.prepare import prepare
 from tallybayes.operators.train import NBModel
 from tallybayes.sources.spec import DatasetSpec
@@ -21,10 +21,8 @@ def score_stream(stream: DataFrame, spec: DatasetSpec, model: NBModel) -> DataFr
     """Predictions for a streaming table with the columns named by ``spec``."""
     if not stream.isStreaming:
         raise ValueError("score_stream expects a streaming DataFrame")
-    if model.stats().map_bytes > MAX_MAP_BYTES:
-        # the long scorer regroups rows by id, a stateful aggregation that an
-        # append-mode stream cannot run without a watermark
-        raise ValueError("model too large to broadcast for stream scoring")
+    # the long scorer regroups rows, a stateful aggregation that an append-mode
+    # stream cannot run; the map scorer only joins, at any model size
     return predict(prepare(stream, spec), model, spec.ids, scorer="map")
 
 

@@ -37,3 +37,37 @@ def test_without_a_checkpoint_folder_counts_are_persisted(spark, monkeypatch):
     assert m.counts.is_cached
     assert m.counts.count() == 21
     m.counts.unpersist()
+
+
+def test_no_shared_folder_is_refused_off_local_mode(spark, monkeypatch):
+    import importlib
+
+    import pytest
+
+    T = importlib.import_module("tallybayes.operators.train")
+    monkeypatch.setattr(T, "checkpoint_dir", lambda _spark: None)
+    assert "/checkpoints/" in T.shared_folder(spark, "x")
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        T.shared_folder(Cluster, "x")
+
+
+def test_release_removes_staged_folders_and_cached_counts(spark, monkeypatch):
+    import importlib
+    import os
+
+    T = importlib.import_module("tallybayes.operators.train")
+    staged = stage_table(prepare(car_table(spark), CAR_SPEC), "unit")
+    folder = staged._tallybayes_folder.replace("file:", "")
+    assert os.path.isdir(folder)
+    T.release(staged)
+    assert not os.path.exists(folder)
+    monkeypatch.setattr(T, "checkpoint_dir", lambda _spark: None)
+    m = T.train(prepare(car_table(spark), CAR_SPEC))
+    assert m.counts.is_cached
+    m.release()
+    assert not m.counts.is_cached

@@ -65,6 +65,15 @@ def test_map_scorer_never_shuffles_the_test_rows(spark):
     assert not any(a.startswith("SortMergeJoin") for a in up), up
 
 
+def test_wide_features_need_no_shuffle_of_the_test_rows(spark):
+    df, spec = lineitem_part(spark, SF)
+    tr, te = split_prepared(df, spec)
+    text = plan_text(predict(te, train(tr), spec.ids, scorer="map", max_map_values=5))
+    up = ancestors(text, r"FileScan parquet .*lineitem")
+    assert sum(a.startswith("BroadcastHashJoin") for a in up) >= 3, up
+    assert not any(a.startswith(("Exchange", "SortMergeJoin")) for a in up), up
+
+
 def test_grouped_models_join_on_their_key(spark):
     _, pred = experiment_predictions(spark, SF, scales=(1, 2))
     text = plan_text(pred)
@@ -83,8 +92,8 @@ def test_long_scorer_plan_has_no_python(spark):
     for ln in text.splitlines():
         if "BroadcastNestedLoopJoin" in ln:
             assert "BuildRight" in ln
-    up = ancestors(text, r"FileScan parquet .*lineitem")
-    assert any(a.startswith("SortMergeJoin") or a.startswith("BroadcastHashJoin") for a in up)
+    # numbered test rows are read back from their checkpoint and regrouped by number
+    assert "hashpartitioning(_row" in text and re.search("(SortMerge|BroadcastHash)Join", text)
 
 
 def test_unrolled_map_scorer_stays_in_whole_stage_codegen(spark):

@@ -74,13 +74,35 @@ def test_equal_width_bins(spark):
     assert [r.x for r in fit_bins(const, ["x"]).apply(const).collect()] == ["0", "0"]
 
 
-def test_ensure_partitions_only_grows(spark):
-    from tallybayes import ensure_partitions
+def test_spread_deals_rows_and_runs_no_job(spark):
+    from tallybayes import spread
 
-    one = spark.range(10).coalesce(1)
-    assert ensure_partitions(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert ensure_partitions(many, 4) is many
+    assert spread(spark.range(0, 100, 1, 1), 4).rdd.getNumPartitions() == 4
+
+
+def test_split_ratio_is_finer_than_a_percent(spark):
+    df = spark.range(100_000)
+    for method in ("md5", "xxhash64"):
+        for ratio in (0.995, 0.004, 0.8, 0.29):
+            tr, te = hash_split(df, ["id"], train_ratio=ratio, method=method)
+            n = tr.count()
+            assert n + te.count() == 100_000 and abs(n - 100_000 * ratio) < 700
+            assert 0 < n < 100_000
+
+
+def test_replicate_below_one_drops_the_row(spark):
+    df = spark.createDataFrame([(1, 2), (2, 0), (3, -1), (4, None)], "id int, n int")
+    assert [(r["id"], r["copy"]) for r in replicate(df, F.col("n")).orderBy("id", "copy").collect()] == [(1, 1), (1, 2)]
+    assert replicate(df, 0).count() == 0
+
+
+def test_nan_has_a_bin_of_its_own(spark):
+    rows = [(float(x),) for x in range(10)] + [(float("nan"),), (None,)]
+    df = spark.createDataFrame(rows, "x double")
+    edges = fit_bins(df, ["x"], bins=3)
+    assert edges.edges["x"] == (0.0, 3.0)
+    got = [r[0] for r in df.select(edges.column("x")).collect()]
+    assert got == ["0"] * 3 + ["1"] * 3 + ["2"] * 4 + ["NaN", None]
 
 
 def test_dataset_registry(spark):

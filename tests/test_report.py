@@ -84,3 +84,10 @@ def test_speedups_with_custom_implementation_pairs(spark):
     rows = [("d", i, 1, 1, t, 0.0, 1.0) for i, t in [("A0", 4.0), ("A1", 2.0), ("B0", 3.0), ("B1", 1.0)]]
     out = speedups(spark.createDataFrame(rows, DDL), apis=(("A", "A0", "A1"), ("B", "B0", "B1"))).first()
     assert (out.a_speedup, out.b_speedup, out.winner) == (2.0, 3.0, "B")
+
+
+def test_pivot_shows_sizes_without_a_name(spark):
+    rows = [("d", "i", 1, 1.0), ("d", "i", 100, 2.0), ("d", "i", 7, 3.0)]
+    out = pivot_table(spark.createDataFrame(rows, "dataset string, impl string, scale int, total_time double"))
+    assert out.columns == ["dataset", "impl", "Small", "Medium", "Large", "7", "100"]
+    assert tuple(out.first()) == ("d", "i", 1.0, None, None, 3.0, 2.0)

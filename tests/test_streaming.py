@@ -32,3 +32,27 @@ def test_stream_scoring_matches_batch(spark, scratch):
     q.stop()
     got = {r.event_id: (r.prediction, r.score) for r in spark.read.parquet(os.path.join(scratch, "out")).collect()}
     assert got == batch and len(got) > 0
+
+
+def test_stream_scoring_with_a_model_too_large_to_broadcast(spark, scratch, monkeypatch):
+    import importlib
+
+    P = importlib.import_module("tallybayes.operators.predict")
+    df, spec = events_set(spark, SF)
+    tr, te = split_prepared(df, spec)
+    model = train(tr)
+    want = {r.event_id: (r.prediction, r.score) for r in predict(te, model, spec.ids).collect()}
+    from tallybayes.operators.prepare import hash_split
+
+    _, raw_test = hash_split(df, spec.ids)
+    src = os.path.join(scratch, "in")
+    raw_test.coalesce(1).write.parquet(src)
+    monkeypatch.setattr(P, "MAX_DENSE_BROADCAST_BYTES", 0)
+    defaults = P.predict.__defaults__
+    monkeypatch.setattr(P.predict, "__defaults__", tuple(1 if d == P.MAX_MAP_BYTES else d for d in defaults))
+    stream = spark.readStream.schema(raw_test.schema).parquet(src)
+    q = write_predictions(score_stream(stream, spec, model), os.path.join(scratch, "out"), os.path.join(scratch, "chk"))
+    q.processAllAvailable()
+    q.stop()
+    got = {r.event_id: (r.prediction, r.score) for r in spark.read.parquet(os.path.join(scratch, "out")).collect()}
+    assert got == want
