@@ -27,7 +27,19 @@ from tallybayes.operators.prepare import (
     random_split,
     replicate,
 )
-from tallybayes.operators.report import pivot_table, size_label
+from tallybayes.operators.report import (
+    DF_BASELINE,
+    DF_OPTIMISED,
+    RDD_BASELINE,
+    RDD_OPTIMISED,
+    accuracy_listing,
+    complete_records,
+    mean_by,
+    mean_winner,
+    pivot_table,
+    size_label,
+    speedups,
+)
 from tallybayes.operators.train import NBModel, long_form, shared_folder, stage_table, train
 from tallybayes.sources.delimited import read_csv_table, read_text_table
 from tallybayes.sources.spec import DatasetSpec
@@ -126,6 +138,8 @@ def nb_events_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _quality_scored(spark: SparkSession, sf_dir: str, label: str = "quality") -> tuple[DataFrame, DatasetSpec]:
     """A document flag from language, source and a length bin fitted on training rows."""
     df, spec = documents_labelled(spark, sf_dir, label)
+    # bins, training and test all read the joined rows: join once, stage the few columns
+    df = stage_table(df.select(*spec.ids, spec.label, *spec.features), "labelled")
     tr, te = hash_split(df, spec.ids)
     edges = fit_bins(tr, ["n_chars"], bins=3)
     model = train(prepare(edges.apply(tr), spec))
@@ -188,6 +202,18 @@ def random_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr
 
 
+def random_split_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of orders, of both sides of the random split together, and in both at once."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    orders = stage_table(orders, "split-input")  # fixed before sampling
+    tr, te = random_split(orders)
+    sides = tr.withColumn("s", F.lit(1)).unionByName(te.withColumn("s", F.lit(2)))
+    per = sides.groupBy("o_orderkey").agg(F.count_distinct("s").alias("sides"), F.count("*").alias("n"))
+    found = per.agg(F.sum("n").alias("n_union"), F.sum(F.when(F.col("sides") > 1, 1).otherwise(0)).cast("bigint").alias("n_overlap"))
+    rows = orders.agg(F.count("*").alias("n_rows"))
+    return rows.crossJoin(found)  # one row each
+
+
 def replicate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class counts of the training rows replicated three times."""
     df, spec = orders_set(spark, sf_dir)
@@ -343,6 +369,31 @@ def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def predict_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders scored under the customer's key, which repeats: a prediction for every row."""
+    df, spec = orders_set(spark, sf_dir, extra=("o_custkey",))
+    tr, te = hash_split(df, spec.ids)
+    model = train(prepare(tr, spec))
+    by_customer = DatasetSpec(spec.name, spec.features, spec.label, ("o_custkey",))
+    out = predict(prepare(te, by_customer), model, by_customer.ids, scorer="long")
+    return out.select("o_custkey", LABEL, "prediction", r9("score"))
+
+
+def predict_shuffle_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events scored with the model joined by shuffles, as one too large to broadcast would be."""
+    df, spec = events_set(spark, sf_dir)
+    model, te = fit(df, spec)
+    out = predict(te, model, spec.ids, scorer="long", max_dense_bytes=0)
+    return out.select(*spec.ids, LABEL, "prediction", r9("score"))
+
+
+def predict_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order under two labels: both classes tie, and the lowest label must win."""
+    df, spec = orders_set(spark, sf_dir)
+    twice = df.withColumn("o_orderpriority", F.explode(F.array(F.lit("z late"), F.lit("a early"))))
+    return predictions(twice, spec)
+
+
 # -- streaming: the batch-trained model applied to a file stream ---------------
 def stream_predict_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events test rows arriving as a file stream, scored by the broadcast model.
@@ -397,7 +448,7 @@ def experiment_predictions(
 
 
 def experiment_records(spark: SparkSession, sf_dir: str, scorer: str = "auto") -> DataFrame:
-    """Accuracy per dataset and replication scale, one model each, one job."""
+    """Accuracy per dataset and scale, one model each, one job (B5, P11). Scales are multiplicities of counts."""
     model, pred = experiment_predictions(spark, sf_dir, scorer=scorer)
     acc = accuracy(pred, by=(DATASET, "scale"))
     return acc.join(model.totals, [DATASET, "scale"]).select(
@@ -422,6 +473,84 @@ def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_table(records, value="accuracy")
 
 
+EXPERIMENT_IMPLS = ("long", "map", "map_arrays")
+
+
+def _experiment_by_impl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [experiment_records(spark, sf_dir, scorer=s).withColumn("impl", F.lit(s)) for s in EXPERIMENT_IMPLS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def report_pivot_impl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset and scorer x size table of accuracy."""
+    return pivot_table(_experiment_by_impl(spark, sf_dir), value="accuracy")
+
+
+def accuracy_listing_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy by dataset, scorer and scale."""
+    return accuracy_listing(_experiment_by_impl(spark, sf_dir))
+
+
+# -- reports over run records derived from line items ---------------------------
+def _run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records: the return flag is the dataset, the line number picks the implementation, the supplier the scale.
+
+    Times are whole numbers of a line's quantity and price, summed, over 1000: the
+    same in every engine and row order.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    impls = F.array(*[F.lit(x) for x in (RDD_BASELINE, RDD_OPTIMISED, DF_BASELINE, DF_OPTIMISED)])
+    scales = F.array(*[F.lit(x) for x in (1, 10, 50, 100)])
+    return li.groupBy(
+        F.col("l_returnflag").alias("dataset"),
+        F.element_at(impls, (F.col("l_linenumber") % 4 + 1).cast("int")).alias("impl"),
+        F.element_at(scales, (F.col("l_suppkey") % 4 + 1).cast("int")).alias("scale"),
+    ).agg(
+        (F.sum(F.floor("l_quantity").cast("bigint")) / 1000).alias("train_time"),
+        (F.sum(F.floor("l_extendedprice").cast("bigint")) / 1000).alias("pred_time"),
+    )
+
+
+def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total time (train + predict) and size label of every run record."""
+    rec = complete_records(_run_records(spark, sf_dir))
+    return rec.select("dataset", "impl", "scale", "size_label", r9("train_time"), r9("pred_time"), r9("total_time"))
+
+
+def report_total_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset and implementation x size table of total time, with a size that has no name."""
+    out = pivot_table(_run_records(spark, sf_dir))
+    return out.select("dataset", "impl", *[r9(c) for c in out.columns[2:]])
+
+
+def report_speedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base / optimised ratios and the faster interface for each dataset and size."""
+    out = speedups(_run_records(spark, sf_dir))
+    return out.select("dataset", "size_label", r9("rdd_speedup"), r9("df_speedup"), "winner")
+
+
+def report_mean_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean total time of each implementation (A10)."""
+    out = mean_by(complete_records(_run_records(spark, sf_dir)))
+    return out.select("impl", r9("mean_total_time"))
+
+
+def report_mean_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean total time of either interface over paired runs, and the faster one."""
+    rec = complete_records(_run_records(spark, sf_dir))
+
+    def best(base: str, opt: str) -> F.Column:
+        return F.min(F.when(F.col("impl").isin(base, opt), F.col("total_time")))
+
+    runs = rec.groupBy("dataset", "scale").agg(
+        best(RDD_BASELINE, RDD_OPTIMISED).alias("rdd_total"), best(DF_BASELINE, DF_OPTIMISED).alias("df_total")
+    )
+    return mean_winner(runs).select(r9("avg_rdd"), r9("avg_df"), "winner")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_lang_predict": nb_lang_predict,
     "nb_lang_accuracy": nb_lang_accuracy,
@@ -458,7 +587,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_predict_events": stream_predict_events,
     "csv_scan": csv_scan,
     "text_scan": text_scan,
+    "random_split_check": random_split_check,
+    "predict_repeated_ids": predict_repeated_ids,
+    "predict_shuffle_tier": predict_shuffle_tier,
+    "predict_tie": predict_tie,
     "experiment_records": experiment_records,
     "experiment_records_long": experiment_records_long,
     "report_pivot": report_pivot,
+    "report_pivot_impl": report_pivot_impl,
+    "accuracy_listing": accuracy_listing_q,
+    "report_totals": report_totals,
+    "report_total_pivot": report_total_pivot,
+    "report_speedup": report_speedup,
+    "report_mean_by": report_mean_by,
+    "report_mean_winner": report_mean_winner,
 }

@@ -9,9 +9,10 @@ multiplying counts instead of copying rows.
 
 from __future__ import annotations
 
-from tallybayes.functions.exprs import NULL_CATEGORY, UNKNOWN_LOG_PROB
-from tallybayes.sources.tables import LANG_WORDS
-
+# fixed values, written out so that a wrong constant in the engine cannot match itself
+NULL_CATEGORY = "None"
+UNKNOWN_LOG_PROB = -23.025850929940457  # ln(1e-10)
+LANG_WORDS = ("the", "und", "el", "les", "die", "que")
 R = 9  # rounding digits, as in the Spark queries
 
 
@@ -109,7 +110,7 @@ def nb_ctes(
     test_where: str = "bucket >= 80",
     scales=None,
 ) -> str:
-    """CTE chain ``base, train, test, cnt, cls, tot, voc, pri, lik, fb, sc, best``."""
+    """Test rows are numbered, so that repeated ids stay apart. CTE chain ``base, train, test, cnt, cls, tot, voc, pri, lik, fb, sc, best``."""
     g = list(group) + (["scale"] if scales else [])
 
     def gsel(a: str) -> str:
@@ -130,7 +131,6 @@ def nb_ctes(
         f"SELECT {gby}label, {i} AS feat_idx, f{i} AS value FROM train" for i in range(m)
     )
     ids_t = "".join(f"t.{c}, " for c in ids)
-    ids_p = ", ".join([*g, *ids])
     terms = " + ".join(
         ["p.log_prior"]
         + [f"COALESCE(l{i}.log_lik, b{i}.log_fallback, {UNKNOWN_LOG_PROB!r})" for i in range(m)]
@@ -144,7 +144,7 @@ def nb_ctes(
     return f"""
 base AS ({base}),
 train AS (SELECT b.*{', s.scale' if scales else ''} FROM base b{rep} WHERE {train_where}),
-test AS (SELECT b.*{', s.scale' if scales else ''} FROM base b{rep} WHERE {test_where}),
+test AS (SELECT b.*{', s.scale' if scales else ''}, row_number() OVER () AS rid FROM base b{rep} WHERE {test_where}),
 cnt AS (SELECT {gby}feat_idx, value, label, CAST({nexpr} AS BIGINT) AS n
         FROM ({unions}) u WHERE label IS NOT NULL GROUP BY {gby}feat_idx, value, label),
 cls AS (SELECT {gby}label, CAST(SUM(n) AS BIGINT) AS n_c FROM cnt WHERE feat_idx = 0 GROUP BY {gby}label),
@@ -159,9 +159,9 @@ lik AS (SELECT {gsel('c')}c.feat_idx, c.value, c.label, c.n,
                    JOIN voc v ON {gon('c', 'v')} AND c.feat_idx = v.feat_idx),
 fb AS (SELECT {gsel('v')}v.feat_idx, k.label, ln(CAST(1 AS DOUBLE) / (k.n_c + v.n_values)) AS log_fallback
        FROM voc v JOIN cls k ON {gon('v', 'k')}),
-sc AS (SELECT {gsel('t')}{ids_t}t.label, p.label AS class, {terms} AS score
+sc AS (SELECT t.rid, {gsel('t')}{ids_t}t.label, p.label AS class, {terms} AS score
        FROM test t LEFT JOIN pri p ON {gon('p', 't')} {joins}),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {ids_p}
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid
                                    ORDER BY score DESC NULLS LAST, class ASC) AS rn FROM sc) x
          WHERE rn = 1)
 """
@@ -207,6 +207,32 @@ EXPERIMENT_RECORDS = (
     f"round(a.accuracy, {R}) AS accuracy FROM acc a JOIN tot t ON a.dataset = t.dataset AND a.scale = t.scale"
 )
 
+
+def _experiment_impl() -> str:
+    """The experiment records under each scorer's name: all scorers must give the same."""
+    return (
+        f"WITH rec AS ({EXPERIMENT_RECORDS}) SELECT r.*, i.impl FROM rec r "
+        "CROSS JOIN (VALUES ('long'), ('map'), ('map_arrays')) i(impl)"
+    )
+
+
+SIZE_OF_SCALE = "CASE scale WHEN 1 THEN 'Small' WHEN 10 THEN 'Medium' WHEN 50 THEN 'Large' ELSE CAST(scale AS VARCHAR) END"
+RUNS = f"""
+runs AS (SELECT *, {SIZE_OF_SCALE} AS size_label, train_time + pred_time AS total_time FROM (
+  SELECT l_returnflag AS dataset,
+    ['RDD Baseline', 'RDD Optimised', 'DF Baseline', 'DF Optimised'][1 + l_linenumber % 4] AS impl,
+    [1, 10, 50, 100][1 + l_suppkey % 4] AS scale,
+    CAST(SUM(CAST(floor(l_quantity) AS BIGINT)) AS BIGINT) / CAST(1000 AS DOUBLE) AS train_time,
+    CAST(SUM(CAST(floor(l_extendedprice) AS BIGINT)) AS BIGINT) / CAST(1000 AS DOUBLE) AS pred_time
+  FROM lineitem GROUP BY ALL) t)
+"""
+
+
+def _of(impl: str, agg: str = "max") -> str:
+    names = ", ".join(f"'{i}'" for i in impl.split("|"))
+    return f"{agg}(CASE WHEN impl IN ({names}) THEN total_time END)"
+
+
 ORDERS_SET_COLS = "o.o_orderkey, o.o_orderstatus, c.c_mktsegment, n.n_name, o.o_orderpriority"
 
 
@@ -335,6 +361,52 @@ def oracle_sql() -> dict[str, str]:
         "text_scan": f"SELECT o.o_orderpriority, o.o_orderstatus, c.c_mktsegment, n.n_name, o.o_orderkey FROM {ORDERS_FROM}",
         "experiment_records": EXPERIMENT_RECORDS,
         "experiment_records_long": EXPERIMENT_RECORDS,
+        "random_split_check": (
+            "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_union, "
+            "CAST(0 AS BIGINT) AS n_overlap FROM orders"
+        ),
+        "predict_repeated_ids": predictions_sql(orders_base(extra=", o.o_custkey"), ("o_custkey",), 3),
+        "predict_shuffle_tier": predictions_sql(EVENTS_BASE, EVENTS_IDS, 3),
+        "predict_tie": predictions_sql(
+            f"SELECT b.* REPLACE (l.label AS label) FROM ({ORDERS_BASE}) b "
+            "CROSS JOIN (VALUES ('z late'), ('a early')) l(label)",
+            ORDERS_IDS,
+            3,
+        ),
+        "report_pivot_impl": (
+            f"WITH rec AS ({_experiment_impl()}) SELECT dataset, impl, "
+            "max(CASE WHEN size_label = 'Small' THEN accuracy END) AS Small, "
+            "max(CASE WHEN size_label = 'Medium' THEN accuracy END) AS Medium, "
+            "max(CASE WHEN size_label = 'Large' THEN accuracy END) AS Large "
+            "FROM rec GROUP BY dataset, impl ORDER BY dataset, impl"
+        ),
+        "accuracy_listing": f"SELECT dataset, impl, scale, accuracy FROM ({_experiment_impl()}) x ORDER BY dataset, impl, scale",
+        "report_totals": (
+            f"WITH {RUNS} SELECT dataset, impl, scale, size_label, round(train_time, {R}) AS train_time, "
+            f"round(pred_time, {R}) AS pred_time, round(total_time, {R}) AS total_time FROM runs"
+        ),
+        "report_total_pivot": (
+            f"WITH {RUNS} SELECT dataset, impl, "
+            + ", ".join(
+                f"""round(max(CASE WHEN size_label = '{s}' THEN total_time END), {R}) AS "{s}" """
+                for s in ("Small", "Medium", "Large", "100")
+            )
+            + " FROM runs GROUP BY dataset, impl"
+        ),
+        "report_speedup": (
+            f"WITH {RUNS}, w AS (SELECT dataset, size_label, {_of('RDD Baseline')} AS rb, {_of('RDD Optimised')} AS ro, "
+            f"{_of('DF Baseline')} AS db, {_of('DF Optimised')} AS dopt FROM runs GROUP BY dataset, size_label) "
+            f"SELECT dataset, size_label, round(rb / ro, {R}) AS rdd_speedup, round(db / dopt, {R}) AS df_speedup, "
+            "CASE WHEN least(rb, ro) < least(db, dopt) THEN 'RDD' ELSE 'DF' END AS winner FROM w "
+            "WHERE rb IS NOT NULL AND ro IS NOT NULL AND db IS NOT NULL AND dopt IS NOT NULL"
+        ),
+        "report_mean_by": f"WITH {RUNS} SELECT impl, round(avg(total_time), {R}) AS mean_total_time FROM runs GROUP BY impl",
+        "report_mean_winner": (
+            f"WITH {RUNS}, p AS (SELECT dataset, scale, {_of('RDD Baseline|RDD Optimised', 'min')} AS r, "
+            f"{_of('DF Baseline|DF Optimised', 'min')} AS d FROM runs GROUP BY dataset, scale) "
+            f"SELECT round(avg(r), {R}) AS avg_rdd, round(avg(d), {R}) AS avg_df, "
+            "CASE WHEN avg(r) < avg(d) THEN 'RDD' ELSE 'DataFrame' END AS winner FROM p"
+        ),
         "report_pivot": (
             f"WITH rec AS ({EXPERIMENT_RECORDS}) SELECT dataset, 'map' AS impl, "
             "max(CASE WHEN size_label = 'Small' THEN accuracy END) AS Small, "
