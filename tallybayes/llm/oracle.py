@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallybayes.llm.license_scan import TEMPLATES
+
 _MIX = r"""
 WITH docs AS (
   SELECT d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -61,4 +63,42 @@ SELECT page_id, host, path,
 FROM parts
 """
 
-ORACLE_SQL = {"op2_source_mix": _MIX, "op3_url_filter": _URL}
+
+
+def _license_sql() -> str:
+    rows = ", ".join(f"({i}, '{n}', '{t.replace(chr(39), chr(39) * 2)}')" for i, (n, t) in enumerate(TEMPLATES))
+    marks = r"[\x00-/:-`{-\x7f]"
+    upper = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+    def words(text: str) -> str:
+        return f"string_split(trim(regexp_replace(translate({text}, {upper}), '{marks}+', ' ', 'g')), ' ')"
+
+    def pairs(w: str) -> str:
+        return f"list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1])"
+
+    return f"""
+WITH templates(t, name, body) AS (VALUES {rows}),
+tw AS (SELECT t, name, {words('body')} AS w FROM templates),
+tb AS (SELECT t, name, len(w) - 1 AS size, unnest({pairs('w')}) AS b FROM tw),
+tc AS (SELECT t, name, size, b, count(*) AS n FROM tb GROUP BY ALL),
+units AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS u FROM documents
+  UNION ALL SELECT doc_id, unnest(regexp_split_to_array(text, '\\x0A{marks}*\\x0A')) FROM documents
+  UNION ALL SELECT doc_id, text FROM documents
+),
+uw AS (SELECT row_number() OVER () AS k, doc_id, {words('u')} AS w FROM units),
+small AS (SELECT * FROM uw WHERE len(w) - 1 BETWEEN 1 AND (SELECT max(size) * 1.5 + 1 FROM tb)),
+ub AS (SELECT k, doc_id, len(w) - 1 AS size, unnest({pairs('w')}) AS b FROM small),
+uc AS (SELECT k, doc_id, size, b, count(*) AS n FROM ub GROUP BY ALL),
+dice AS (
+  SELECT u.k, u.doc_id, c.t, c.name, 2.0::DOUBLE * sum(least(u.n, c.n)) / (any_value(u.size) + any_value(c.size)) AS d
+  FROM uc u JOIN tc c ON u.b = c.b GROUP BY u.k, u.doc_id, c.t, c.name
+),
+hits AS (
+  SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, max(d) AS best FROM dice WHERE d >= 0.8 GROUP BY doc_id
+)
+SELECT d.doc_id, h.licenses, round(h.best, 9) AS best_dice FROM documents d LEFT JOIN hits h USING (doc_id)
+"""
+
+
+ORACLE_SQL = {"op2_source_mix": _MIX, "op3_url_filter": _URL, "op8_license_scan": _license_sql()}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybayes.llm import bpe, embedding_dedup, exact_knn, mixing, ngram_lm, simhash, substring_dedup, toxicity, url_filter
+from tallybayes.llm import bpe, embedding_dedup, exact_knn, license_scan, mixing, ngram_lm, simhash, substring_dedup, toxicity, url_filter
 from tallybayes.llm._util import prepare
 
 # fixed values of the contract
@@ -80,6 +80,12 @@ def op7_exact_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_knn.top_k(rows, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licences (names joined by commas, null if none) and highest Dice coefficient."""
+    out = license_scan.scan(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.round("best_dice", 9).alias("best_dice"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component at cosine 0.93 within its label."""
     return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), cosine=0.93)
@@ -90,4 +96,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op5_ngram_lm, op6_simhash, op7_exact_knn, op9_embedding_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op5_ngram_lm, op6_simhash, op7_exact_knn, op8_license_scan, op9_embedding_dedup, op10_toxicity)}
