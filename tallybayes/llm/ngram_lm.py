@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 
 from tallybayes.llm._util import Stage, Words, mix64, prepare
 
-BATCH = 8 << 20
-PER_BUCKET = 1 << 21  # keys, summed over batches
+BATCH = 4 << 20
+PER_BUCKET = 1 << 20  # keys, summed over batches
 END, BEGIN = np.uint64(1), np.uint64(2)  # hashes of the end token and of the context before the first
 SCORED, COUNTED, DELETED = 0, 1, 2  # held out; counts; weights
 GRID = 4  # cells of the histogram for each doubling of an estimate
-EMPTY = "batch long, bucket long, kind int, main binary, held binary, n_main long, n_all long, v_main long, v_all long"
+ANSWER = "batch long, bucket long, kind int, main binary, every binary, n_main long, n_all long, v_main long, v_all long"
 
 
 def part_of(doc_id) -> int:
@@ -46,6 +46,35 @@ def part_of(doc_id) -> int:
     return SCORED if r == 1 else DELETED if r == 0 else COUNTED
 
 
+def pack(counts: np.ndarray) -> bytes:
+    """Counts as a byte each; those of 255 and more again at the end, in eight."""
+    big = counts >= 255
+    return len(counts).to_bytes(8, "little") + np.where(big, 255, counts).astype(np.uint8).tobytes() + counts[big].astype("<u8").tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    out = np.frombuffer(data, np.uint8, n, 8).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u8", -1, 8 + n) if len(data) > 8 + n else 0
+    return out
+
+
+def _planes(index: np.ndarray) -> bytes:
+    """Indexes as their low 16 bits, then the next 8, then (where there are so many words) the rest."""
+    parts = [(index & 0xFFFF).astype("<u2").tobytes(), ((index >> 16) & 0xFF).astype(np.uint8).tobytes()]
+    if len(index) and int(index.max()) >> 24:
+        parts.append((index >> 24).astype(np.uint8).tobytes())
+    return b"".join(parts)
+
+
+def _index(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data, "<u2", n).astype(np.int32)
+    out |= np.frombuffer(data, np.uint8, n, 2 * n).astype(np.int32) << 16
+    if len(data) > 3 * n:
+        out |= np.frombuffer(data, np.uint8, n, 3 * n).astype(np.int32) << 24
+    return out
+
+
 def _batch_row(ids: list, texts: list[bytes]) -> dict:
     w = Words([t.lower() for t in texts])
     hashes, n = w.hashes(), np.diff(w.offset)
@@ -56,7 +85,8 @@ def _batch_row(ids: list, texts: list[bytes]) -> dict:
         "parts": bytes(part_of(i) for i in ids),
         "sizes": (n + 1).astype("<i4").tobytes(),
         "vocab": vocab.astype("<u8").tobytes(),
-        "tokens": index[:-2].astype("<u4").tobytes(),
+        "tokens": _planes(index[:-2]),
+        "n": len(tokens),
     }
 
 
@@ -86,13 +116,13 @@ class Batch:
 
     @classmethod
     def of(cls, row) -> Batch:
-        vocab, word = np.frombuffer(row["vocab"], "<u8"), np.frombuffer(row["tokens"], "<u4").astype(np.int64)
-        sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
+        vocab, word = np.frombuffer(row["vocab"], "<u8"), _index(row["tokens"], int(row["n"]))
+        sizes = np.frombuffer(row["sizes"], "<i4")
         parts = np.frombuffer(row["parts"], np.uint8)
         context = np.empty_like(word)
         context[1:] = word[:-1]
-        context[np.cumsum(sizes) - sizes] = np.searchsorted(vocab, BEGIN)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
+        context[np.cumsum(sizes, dtype=np.int64) - sizes] = np.searchsorted(vocab, BEGIN)
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         return cls(vocab, word, context, doc, parts[doc])
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,8 +160,8 @@ def _ask(kind: int, buckets: int):
                         "batch": row["batch"],
                         "bucket": [i for i, _, _ in spans],
                         "keys": [keys[a:z].astype("<u8").tobytes() for _, a, z in spans],
-                        "main": [main[a:z].astype("<u4").tobytes() for _, a, z in spans],
-                        "held": [held[a:z].astype("<u4").tobytes() for _, a, z in spans],
+                        "main": [pack(main[a:z]) for _, a, z in spans],
+                        "held": [pack(held[a:z]) for _, a, z in spans],
                     }
                 )
 
@@ -147,7 +177,7 @@ def _answer(kind: int):
         known, index = np.unique(np.concatenate(keys), return_inverse=True)
         totals = []
         for c in ("main", "held"):
-            each = np.concatenate([np.frombuffer(x, "<u4") for x in rows[c]])
+            each = np.concatenate([unpack(x) for x in rows[c]])
             totals.append(np.bincount(index, each, len(known)).astype(np.int64))
         main, held = totals
         cuts = np.cumsum(size)[:-1]
@@ -156,8 +186,8 @@ def _answer(kind: int):
                 "batch": rows["batch"].to_numpy(),
                 "bucket": rows["bucket"].to_numpy(),
                 "kind": kind,
-                "main": [x.astype("<u8").tobytes() for x in np.split(main[index], cuts)],
-                "held": [x.astype("<u8").tobytes() for x in np.split(held[index], cuts)],
+                "main": [pack(x) for x in np.split(main[index], cuts)],
+                "every": [pack(x) for x in np.split((main + held)[index], cuts)],
                 "n_main": 0, "n_all": 0, "v_main": 0, "v_all": 0,
             }
         )
@@ -180,19 +210,10 @@ class Totals:
     v_all: int = 0
 
 
-@dataclass
-class Counts:
-    """What a batch learns from the answers: counts of each token's word, context and bigram."""
-
-    word: np.ndarray
-    context: np.ndarray
-    pair: np.ndarray
-
-
-def _answers(rows: pd.DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray]:
+def _answers(rows: pd.DataFrame, kind: int) -> np.ndarray:
+    """The counts that a batch was told, in the order of its keys."""
     own = rows[rows["kind"] == kind].sort_values("bucket")
-    main, held = (np.concatenate([np.frombuffer(x, "<u8") for x in own[c]]).astype(np.int64) for c in ("main", "held"))
-    return main, main + held
+    return np.concatenate([unpack(x) for x in own["counts"]])
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -210,9 +231,8 @@ def _histogram(t: Totals):
 
     def run(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         b = Batch.of(batch.iloc[0])
-        main, _ = _answers(answers, 1)
+        main, pair = _answers(answers, 1), _answers(answers, 2)
         *_, index = b.pairs()
-        pair, _ = _answers(answers, 2)
         use = b.part == DELETED
         v, w, vw = main[b.context[use]], main[b.word[use]], pair[index[use]]
         cells = np.stack([bucket_of(v), _cell(vw / np.maximum(v, 1)), _cell(w / max(t.n_main, 1))], axis=1)
@@ -264,9 +284,8 @@ def _scores(t: Totals, weights: np.ndarray):
     def run(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = batch.iloc[0]
         b = Batch.of(row)
-        _, every = _answers(answers, 1)
+        every, pair = _answers(answers, 1), _answers(answers, 2)
         *_, index = b.pairs()
-        _, pair = _answers(answers, 2)
         v, w = every[b.context], every[b.word]
         mix = weights[bucket_of(v)]
         p = mix[:, 0] * pair[index] / np.maximum(v, 1) + mix[:, 1] * w / max(t.n_all, 1) + mix[:, 2] / (t.v_all + 1)
@@ -301,28 +320,31 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     stage = Stage(spark, "ngram-lm")
-    schema = "ids array<long>, parts binary, sizes binary, vocab binary, tokens binary"
+    schema = "ids array<long>, parts binary, sizes binary, vocab binary, tokens binary, n long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_batches, schema)
     rows = stage.table(rows.withColumn("batch", F.monotonically_increasing_id()))  # fixed once written
 
     def round_of(kind: int) -> DataFrame:
-        size = F.octet_length("vocab") / 8 if kind == 1 else F.octet_length("tokens") / 4
+        size = F.octet_length("vocab") / 8 if kind == 1 else F.col("n")
         keys = rows.agg(F.sum(size)).first()[0] or 0
         buckets = max(8, -(-int(keys) // PER_BUCKET))
         asked = rows.mapInPandas(_ask(kind, buckets), "batch long, bucket long, keys binary, main binary, held binary")
-        return stage.table(asked.groupBy("bucket").applyInPandas(_answer(kind), EMPTY))
+        return stage.table(asked.groupBy("bucket").applyInPandas(_answer(kind), ANSWER))
 
     words = round_of(1)
     total = words.filter("batch < 0").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_main", "n_all", "v_main", "v_all")])
     t = Totals(**total.first().asDict())
     pairs = round_of(2)
-    answers = words.unionByName(pairs).filter("batch >= 0").select("batch", "bucket", "kind", "main", "held")
-    both = rows.groupBy("batch").cogroup(answers.groupBy("batch"))
+    answers = words.unionByName(pairs).filter("batch >= 0")
+
+    def told(counts: str):  # each pass moves the one column that it needs
+        return rows.groupBy("batch").cogroup(answers.select("batch", "bucket", "kind", F.col(counts).alias("counts")).groupBy("batch"))
+
+    both = told("main")
     cells = both.applyInPandas(_histogram(t), "b long, x2 long, x1 long, n long")
     cells = stage.table(cells.groupBy("b", "x2", "x1").agg(F.sum("n").alias("n"))).orderBy("b", "x2", "x1").toPandas()
     weights = learn(cells, 1.0 / (t.v_main + 1))
     if not t.n_all:  # nothing was learned: the uniform estimate alone
         weights[:] = 0, 0, 1
-    both = rows.groupBy("batch").cogroup(answers.groupBy("batch"))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return both.applyInPandas(_scores(t, weights), out)
+    return told("every").applyInPandas(_scores(t, weights), out)
