@@ -85,6 +85,7 @@ class Stage:
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
+        self.tables: list[DataFrame] = []  # alive, so that their ids stay theirs
 
     def table(self, df: DataFrame) -> DataFrame:
         path = f"{self.base}/{len(self.paths)}"
@@ -92,7 +93,7 @@ class Stage:
             df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
-        self._keep = getattr(self, "_keep", []) + [out]
+        self.tables.append(out)
         return out
 
     def drop(self, *tables: DataFrame) -> None:

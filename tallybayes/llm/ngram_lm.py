@@ -81,7 +81,7 @@ def _batch_row(ids: list, texts: list[bytes]) -> dict:
     tokens = np.insert(hashes, w.offset[1:], END)  # one end after each text
     vocab, index = np.unique(np.concatenate([tokens, [END, BEGIN]]), return_inverse=True)
     return {
-        "ids": ids,
+        "ids": [None if i is None else str(i) for i in ids],
         "parts": bytes(part_of(i) for i in ids),
         "sizes": (n + 1).astype("<i4").tobytes(),
         "vocab": vocab.astype("<u8").tobytes(),
@@ -93,8 +93,8 @@ def _batch_row(ids: list, texts: list[bytes]) -> dict:
 def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ids, texts, size = [], [], 0
     for rows in batches:
-        for i, t in zip(rows["doc_id"].astype(object).tolist(), rows["text"].tolist(), strict=True):
-            ids.append(None if i is None or i != i else int(i))
+        for i, t in zip(rows["doc_id"].tolist(), rows["text"].tolist(), strict=True):
+            ids.append(None if i is None else int(i))
             texts.append(b"" if t is None else t.encode("utf-8", "surrogatepass"))
             size += len(texts[-1])
             if size >= BATCH:
@@ -226,6 +226,10 @@ def _cell(p: np.ndarray) -> np.ndarray:
     return np.where(p > 0, 1 + np.round(-np.log2(np.maximum(p, 1e-300)) * GRID), 0).astype(np.int64)
 
 
+def _ids(texts) -> list:
+    return [None if i is None else int(i) for i in texts]
+
+
 def _histogram(t: Totals):
     """A batch and its answers to (bucket, cell of the bigram estimate, cell of the unigram estimate, tokens)."""
 
@@ -295,7 +299,7 @@ def _scores(t: Totals, weights: np.ndarray):
         sizes = np.frombuffer(row["sizes"], "<i4")
         return pd.DataFrame(
             {
-                "doc_id": pd.array([None if i is None or i != i else int(i) for i in row["ids"]], dtype="Int64"),
+                "doc_id": pd.array(_ids(row["ids"]), dtype="Int64"),
                 "held_out": np.frombuffer(row["parts"], np.uint8) == SCORED,
                 "n_tokens": sizes.astype(np.int64),
                 "n_known": add(w > 0).astype(np.int64),
@@ -320,8 +324,10 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     stage = Stage(spark, "ngram-lm")
-    schema = "ids array<long>, parts binary, sizes binary, vocab binary, tokens binary, n long"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_batches, schema)
+    schema = "ids array<string>, parts binary, sizes binary, vocab binary, tokens binary, n long"
+    # ids as text: a long column with nulls would reach pandas as floating point
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
+    rows = texts.mapInPandas(_batches, schema)
     rows = stage.table(rows.withColumn("batch", F.monotonically_increasing_id()))  # fixed once written
 
     def round_of(kind: int) -> DataFrame:

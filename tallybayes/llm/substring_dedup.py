@@ -207,7 +207,9 @@ def repeats(docs: DataFrame, seed: int = SEED) -> DataFrame:
     whole = rows.filter("id > low").select("id", "tie", "loc", F.lit(None).cast("array<int>").alias("mask"))
     part = rows.filter("id = low").select("h0", "h1", "id", "tie", "loc").join(hits, ["h0", "h1"])
     marks = whole.unionByName(part.select("id", "tie", "loc", "mask"))
-    return stage.table(marks.groupBy("id", "tie").agg(F.collect_list(F.struct("loc", "mask")).alias("spans")))
+    marks = stage.table(marks.groupBy("id", "tie").agg(F.collect_list(F.struct("loc", "mask")).alias("spans")))
+    stage.drop(rows, speak, hits)
+    return marks
 
 
 RESULT = StructType(

@@ -48,7 +48,7 @@ def corpus():
     rng = random.Random(3)
     words = ["The", "the", "a", "cat", "Dog", "sat", "É", "on", "mat"] + [f"r{i}" for i in range(40)]
     rows = [(i, " ".join(rng.choice(words[: rng.choice([5, 49])]) for _ in range(rng.randrange(30)))) for i in range(120)]
-    return rows + [(200, None), (201, ""), (202, "the " * 30_000), (3, rows[3][1]), (3, rows[3][1]), (None, "no id here")]
+    return rows + [(200, None), (201, ""), (202, "the " * 30_000), (3, rows[3][1]), (3, rows[3][1]), (None, "no id here"), (2**53 + 1, "The cat"), (2**63 - 1, "a")]
 
 
 def test_scores_equal_the_formula(spark, make_docs, monkeypatch):
