@@ -41,9 +41,8 @@ N = "n"
 # joins with the larger count-derived frames when their size, known from
 # stats(), is below this bound; beyond it the join is left to AQE (skew split)
 MAX_DIM_BROADCAST_BYTES = 256 * 1024 * 1024
-# models up to this (folded) size are derived from counts hash-partitioned by
-# the model key: one exchange, after which every grouping by (model key, ...)
-# and every join on the model key is already clustered (no further shuffles)
+# models up to this (folded) size are derived from counts read as one partition:
+# no grouping or join of the derivation then needs an exchange
 COLOCATE_MAX_BYTES = 64 * 1024 * 1024
 
 
@@ -189,16 +188,14 @@ class NBModel:
     def _base(self) -> DataFrame:
         """The count frame every derived part reads.
 
-        For a model that ``stats()`` proves small, the counts are
-        hash-partitioned by the model key once; Spark then sees every later
-        grouping by (model key, ...) and every join on the model key as
-        already clustered, so the whole derivation runs without further
-        shuffles (the repeated repartition is one reused exchange). A model's
-        counts then sit in one task, which is why larger models keep the
-        count frame's own partitioning and use broadcast dimension joins.
+        For a model that ``stats()`` proves small, the counts are read as one
+        partition: Spark then sees every later grouping and join as already
+        clustered, so the whole derivation runs without an exchange, in the
+        job that uses it. Larger models keep the count frame's own
+        partitioning and use broadcast dimension joins.
         """
         if self._colocated:
-            return self.counts.repartition(*self.keys)
+            return self.counts.coalesce(1)
         return self.counts
 
     def _dim(self, df: DataFrame, rows_per_model: int, row_bytes: int) -> DataFrame:
@@ -208,11 +205,7 @@ class NBModel:
         which has few distinct values: without a broadcast each model's rows
         would meet in one task. AQE itself declines to broadcast such a side
         (all of it lands in one shuffle partition), so the hint is explicit.
-        Co-located (small) models need neither: both sides are already
-        partitioned by the model key.
         """
-        if self._colocated:
-            return df
         st = self.stats()
         if st.n_models * max(rows_per_model, 1) * row_bytes <= MAX_DIM_BROADCAST_BYTES:
             return F.broadcast(df)
@@ -422,14 +415,17 @@ class NBModel:
         """
         if "_stats" not in self.__dict__:
             k = self.keys
-            values = self.counts.groupBy(*k, FEAT_IDX, VALUE).agg(F.lit(1).alias("one"))
+            size = F.sum(F.lit(64) + F.coalesce(F.octet_length(VALUE), F.lit(0)) + F.octet_length(LABEL))
+            small = (self.counts.agg(size.alias("s")).first()["s"] or 0) <= COLOCATE_MAX_BYTES
+            counts = self.counts.coalesce(1) if small else self.counts
+            values = counts.groupBy(*k, FEAT_IDX, VALUE).agg(F.lit(1).alias("one"))
             vocab = values.groupBy(*k, FEAT_IDX).agg(
                 F.count(F.lit(1)).alias("n_values"), F.sum(F.octet_length(VALUE)).alias("bytes")
             )
-            totals = _class_counts(self.counts, k).groupBy(*k).agg(
+            totals = _class_counts(counts, k).groupBy(*k).agg(
                 F.count(F.lit(1)).alias("n_classes"), F.sum(F.octet_length(LABEL)).alias("label_bytes")
             )
-            per = vocab.join(totals, k)
+            per = vocab.join(F.broadcast(totals) if small else totals, k)
             rows = (
                 per.groupBy(FEAT_IDX)
                 .agg(

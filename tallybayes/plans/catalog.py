@@ -369,6 +369,20 @@ def text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as lines with outer blanks, empty fields and quoted commas, read by both scans."""
+    df, _ = orders_set(spark, sf_dir)
+    status = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus"))
+    quoted = F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit(","), F.col("n_name"), F.lit('"'))
+    line = F.concat_ws(",", F.concat(F.lit("  "), F.col("o_orderkey").cast("string")), status, quoted, F.concat("o_orderpriority", F.lit(" ")))
+    path = _scratch(spark)
+    df.select(line.alias("value")).write.text(path)
+    cols = ("key", "status", "segment", "priority")
+    csv = read_csv_table(spark, path, cols).select(F.lit("csv").alias("scan"), *cols, F.lit(None).cast("string").alias("rest"))
+    text = read_text_table(spark, path, cols, rest="rest")
+    return csv.unionByName(text.select(F.lit("text").alias("scan"), *cols, F.array_join("rest", ",").alias("rest")))
+
+
 def predict_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders scored under the customer's key, which repeats: a prediction for every row."""
     df, spec = orders_set(spark, sf_dir, extra=("o_custkey",))
@@ -587,6 +601,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_predict_events": stream_predict_events,
     "csv_scan": csv_scan,
     "text_scan": text_scan,
+    "scan_policies": scan_policies,
     "random_split_check": random_split_check,
     "predict_repeated_ids": predict_repeated_ids,
     "predict_shuffle_tier": predict_shuffle_tier,

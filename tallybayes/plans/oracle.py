@@ -361,6 +361,14 @@ def oracle_sql() -> dict[str, str]:
         "text_scan": f"SELECT o.o_orderpriority, o.o_orderstatus, c.c_mktsegment, n.n_name, o.o_orderkey FROM {ORDERS_FROM}",
         "experiment_records": EXPERIMENT_RECORDS,
         "experiment_records_long": EXPERIMENT_RECORDS,
+        "scan_policies": (
+            "SELECT 'csv' AS scan, '  ' || o.o_orderkey AS key, nullif(o.o_orderstatus, 'P') AS status, "
+            "c.c_mktsegment || ',' || n.n_name AS segment, o.o_orderpriority || ' ' AS priority, CAST(NULL AS VARCHAR) AS rest "
+            f"FROM {ORDERS_FROM} UNION ALL "
+            "SELECT 'text', CAST(o.o_orderkey AS VARCHAR), CASE WHEN o.o_orderstatus = 'P' THEN '' ELSE o.o_orderstatus END, "
+            "'\"' || c.c_mktsegment, n.n_name || '\"', o.o_orderpriority "
+            f"FROM {ORDERS_FROM}"
+        ),
         "random_split_check": (
             "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_union, "
             "CAST(0 AS BIGINT) AS n_overlap FROM orders"
