@@ -208,7 +208,9 @@ def links(values: DataFrame, radius: int, stage: Stage, shard: int = SHARD) -> D
         "key", "fp", F.col("p.t").alias("t"), F.col("p.q").alias("q"),
         (F.col("part") == F.col("p.t")).alias("tree"), (F.col("part") == F.col("p.q")).alias("search"),
     )
-    rows = rows.repartition("key", "t", "q").sortWithinPartitions("key", "t", "q")
+    # searching costs more than its bytes show: not to be coalesced by size
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "key", "t", "q").sortWithinPartitions("key", "t", "q")
     return rows.mapInPandas(_search(radius), "a long, b long")
 
 
