@@ -155,52 +155,77 @@ def _clusters(near: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _linked(cosine: float, f: int, t: int, q: int, unit, part, lists, cid, copies):
+    """One bucket (or two parts of it): (class, its links to others that count here), (class, head of its cluster)."""
+    near = unit @ unit.T >= cosine
+    np.fill_diagonal(near, False)
+    if t != q:
+        near &= part[:, None] != part
+    if not near.any():
+        return None
+    # pairs that share a smaller filter count there
+    smaller = [x[x < f] for x in map(np.asarray, lists)]
+    known = np.unique(np.concatenate(smaller))
+    counted = near
+    if len(known):
+        has = np.zeros((len(cid), len(known)), np.float32)
+        for i, s in enumerate(smaller):
+            has[i, np.searchsorted(known, s)] = 1
+        counted = near & (has @ has.T == 0)
+    links = counted @ copies
+    some = np.flatnonzero(links)
+    label = _clusters(near)
+    star = np.flatnonzero(label != np.arange(len(cid)))
+    return (cid[some], links[some]), (cid[star], cid[label[star]])
+
+
 def _verified(cosine: float):
     """Rows of one (label, dim, filter, t, q) after the other to link counts and stars."""
+    key = ["label", "dim", "filter", "t", "q"]
+
+    def found(bucket: tuple, cols: list) -> list:
+        _, _, f, t, q = bucket
+        got = _linked(cosine, int(f), int(t), int(q), *cols)
+        return [] if got is None else [got]
 
-    def solve(g: pd.DataFrame) -> pd.DataFrame:
-        f, t, q = (int(g[c].iloc[0]) for c in ("filter", "t", "q"))
-        unit, part = _unit(g["vector"]), g["part"].to_numpy()
-        near = unit @ unit.T >= cosine
-        np.fill_diagonal(near, False)
-        if t != q:
-            near &= part[:, None] != part
-        # pairs that share a smaller filter count there
-        lists = [np.asarray(x) for x in g["filters"]]
-        smaller = [x[x < f] for x in lists]
-        known = np.unique(np.concatenate(smaller))
-        counted = near
-        if len(known) and near.any():
-            has = np.zeros((len(g), len(known)), np.float32)
-            for i, s in enumerate(smaller):
-                has[i, np.searchsorted(known, s)] = 1
-            counted = near & (has @ has.T == 0)
-        cid, copies = g["cid"].to_numpy(), g["n"].to_numpy()
-        links = counted @ copies
-        some = np.flatnonzero(links)
-        label = _clusters(near)
-        star = np.flatnonzero(label != np.arange(len(g)))
+    def rows_of(got: list) -> pd.DataFrame:
+        n = sum(len(a) for (a, _), _ in got)
+        m = sum(len(a) for _, (a, _) in got)
+        parts = [np.concatenate([g[i][j] for g in got]) for i in (0, 1) for j in (0, 1)]
         return pd.DataFrame(
             {
-                "a": np.concatenate([cid[some], cid[star]]),
-                "b": np.concatenate([np.full(len(some), -1), cid[label[star]]]),
-                "links": np.concatenate([links[some], np.zeros(len(star), np.int64)]),
+                "a": np.concatenate([parts[0], parts[2]]),
+                "b": np.concatenate([np.full(n, -1), parts[3]]),
+                "links": np.concatenate([parts[1], np.zeros(m, np.int64)]),
             }
         ).astype("int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, now = [], None
+        now, held = None, []  # the bucket that the last batch ended in, and its rows so far
         for batch in batches:
             if batch.empty:
                 continue
-            for key, rows in batch.groupby(["label", "dim", "filter", "t", "q"], sort=False):
-                if now is not None and key != now:
-                    yield solve(pd.concat(held))
-                    held = []
-                now = key
-                held.append(rows)
-        if held:
-            yield solve(pd.concat(held))
+            keys = [batch[k].to_numpy() for k in key]
+            new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(batch)]
+            lists, cid, copies, part = (batch[c].to_numpy() for c in ("filters", "cid", "n", "part"))
+            same = len(set(keys[1].tolist())) == 1
+            unit = _unit(batch["vector"]) if same else None
+            out = []
+            for a, z in zip(cuts, cuts[1:], strict=False):
+                bucket = tuple(k[a] for k in keys)
+                u = unit[a:z] if same else _unit(batch["vector"].iloc[a:z])
+                cols = [u, part[a:z], lists[a:z], cid[a:z], copies[a:z]]
+                if bucket == now:
+                    held.append(cols)
+                    continue
+                if held:
+                    out += found(now, [np.concatenate(c) for c in zip(*held, strict=True)])
+                now, held = bucket, [cols]
+            if out:
+                yield rows_of(out)
+        if held and (got := found(now, [np.concatenate(c) for c in zip(*held, strict=True)])):
+            yield rows_of(got)
 
     return run
 
@@ -245,7 +270,9 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.93, vector: str = "embedd
     )
     met = met.select("cid", *at, "part", F.explode(pairs).alias("p")).select("cid", *at, "part", "p.t", "p.q")
     full = lists.join(classes.select("cid", "vector", "n"), "cid")
-    met = met.join(full, "cid").repartition(*at, "t", "q").sortWithinPartitions(*at, "t", "q")
+    # comparing costs more than its bytes show: not to be coalesced by size
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = met.join(full, "cid").repartition(tasks, *at, "t", "q").sortWithinPartitions(*at, "t", "q")
     found = stage.table(met.mapInPandas(_verified(cosine), "a long, b long, links long"))
 
     links = found.filter("links > 0").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("others"))
