@@ -19,7 +19,7 @@ LOWER = UPPER.lower()
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-MAX_ARROW_ROWS, MAX_ARROW_BYTES = 500, 32 << 20
+MAX_ARROW_ROWS, MAX_ARROW_BYTES = 250, 16 << 20
 NO_ID = 2**63 - 1
 
 
@@ -58,7 +58,7 @@ def prepare(spark: SparkSession) -> None:
     """Make a session ready for the Python side of an operator.
 
     Executors get this package through Spark (once per application), and
-    texts, which may be very long, go to Python at most 500 or 32 MiB at a time.
+    texts, which may be very long, go to Python at most 250 or 16 MiB at a time.
     """
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:

@@ -52,7 +52,7 @@ def words(text: str | None) -> list[str]:
 
 
 def _bag(texts: pd.Series) -> pd.Series:
-    """Packed bags: buckets as unsigned 16-bit integers, then their weights as 32-bit floats."""
+    """Packed bags: the largest weight, buckets as unsigned 16-bit integers, weights over the largest as 16-bit floats."""
     out, known = [], {}
     for text in texts:
         parts = words(text)
@@ -67,7 +67,8 @@ def _bag(texts: pd.Series) -> pd.Series:
         each = np.array([c / len(parts) for c in seen.values()]) / np.maximum(sizes, 1)
         bag = np.bincount(np.concatenate(ids), np.repeat(each, sizes), BUCKETS) if ids else np.zeros(BUCKETS)
         at = np.flatnonzero(bag)
-        out.append(at.astype("<u2").tobytes() + bag[at].astype("<f4").tobytes())
+        top = bag.max()
+        out.append(np.float32(top).tobytes() + at.astype("<u2").tobytes() + (bag[at] / max(top, 1e-30)).astype("<f2").tobytes())
     return pd.Series(out, dtype=object)
 
 
@@ -93,8 +94,8 @@ def fit(bags: list[bytes], labels: np.ndarray, batch: int = 256, rate: float = 0
         return Model(np.zeros(BUCKETS, np.float64), bias, n)
     rows = []
     for b in bags:
-        k = len(b) // 6
-        rows.append((np.frombuffer(b, "<u2", k), np.frombuffer(b, "<f4", k, 2 * k)))
+        k = (len(b) - 4) // 4
+        rows.append((np.frombuffer(b, "<u2", k, 4), np.frombuffer(b, "<f2", k, 4 + 2 * k), np.frombuffer(b, "<f4", 1)))
     rng = np.random.default_rng(seed)
     epochs = max(10, STEPS * batch // n)
     # the text average of many words is small: the scale brings it to about 1
@@ -107,12 +108,12 @@ def fit(bags: list[bytes], labels: np.ndarray, batch: int = 256, rate: float = 0
     m1, m2, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
     for epoch in range(epochs):
         order = rng.permutation(n)
-        for at in range(0, n, batch):
-            pick = order[at : at + batch]
+        for first in range(0, n, batch):
+            pick = order[first : first + batch]
             x = np.zeros((len(pick), BUCKETS), np.float32)
             for i, r in enumerate(pick):
-                x[i, rows[r][0]] = rows[r][1]
-            x *= scale
+                at, weight, top = rows[r]
+                x[i, at] = weight.astype(np.float32) * (top * scale)
             hidden = x @ p[0]
             z = hidden @ p[1] + p[2]
             z -= z.max(1, keepdims=True)
