@@ -97,7 +97,7 @@ def fit(bags: list[bytes], labels: np.ndarray, batch: int = 256, rate: float = 0
         k = (len(b) - 4) // 4
         rows.append((np.frombuffer(b, "<u2", k, 4), np.frombuffer(b, "<f2", k, 4 + 2 * k), np.frombuffer(b, "<f4", 1)))
     rng = np.random.default_rng(seed)
-    epochs = max(10, STEPS * batch // n)
+    epochs = max(10, STEPS // -(-n // batch))
     # the text average of many words is small: the scale brings it to about 1
     scale = np.float32(30.0)
     p = [
