@@ -11,13 +11,22 @@ can match; sizes follow from word counts, so most units are dismissed before
 any bigram is made, and of a very long unit only its words are counted. Texts
 stay in their partition: one pass, no shuffle, and the templates, a fixed list,
 travel with the code.
+
+A licence that no unit matches is looked for in passages, wherever they start:
+runs of words of the template's size up to the bound above, across lines and
+blank lines, and runs of whole lines down to the bound below. Within a line a
+passage is not shorter than the template, as a cut would take off what tells
+notices apart ("Apache License, Version 1.1"). Only where enough template bigrams
+lie close together is anything compared.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -98,6 +107,11 @@ def normalise(text: str) -> list[str]:
     return _MARKS.sub(" ", text.translate(_UPPER)).split(" ")
 
 
+def _lines(text: str | None) -> list[list[str]]:
+    """The words of each line; none of a null or empty text."""
+    return [[w for w in normalise(line) if w] for line in text.split("\n")] if text else []
+
+
 def bigrams(words: list[str]) -> Counter:
     return Counter(zip(words, words[1:], strict=False))
 
@@ -114,6 +128,10 @@ class Scanner:
         self.known = set().union(*(b for _, _, b in self.templates)) if self.templates else set()
         self.threshold = threshold
         self.most = max(self.sizes, default=0) * (2 - threshold) / threshold
+        self.places: dict[tuple[str, str], list[int]] = {}  # of a bigram: the templates that have it
+        for i, (_, _, b) in enumerate(self.templates):
+            for p in b:
+                self.places.setdefault(p, []).append(i)
 
     def unit(self, words: list[str]) -> list[tuple[float, str]]:
         """(Dice, licence) of the templates that a unit matches."""
@@ -133,9 +151,15 @@ class Scanner:
 
     def scan(self, text: str | None) -> list[tuple[float, str]]:
         """Matches of all units of a text."""
-        if not text:
-            return []
-        lines = [[w for w in normalise(line) if w] for line in text.split("\n")]
+        return self._units(_lines(text))
+
+    def both(self, text: str | None) -> list[tuple[float, str]]:
+        """Matches of all units of a text, and of its passages for licences that no unit matches."""
+        lines = _lines(text)
+        found = self._units(lines)
+        return found + self._passages(lines, {name for _, name in found})
+
+    def _units(self, lines: list[list[str]]) -> list[tuple[float, str]]:
         found = [m for words in lines for m in self.unit(words)]
         runs, now = [], []
         for words in [*lines, []]:
@@ -151,13 +175,70 @@ class Scanner:
         return found
 
 
+    def passages(self, text: str | None) -> list[tuple[float, str]]:
+        """(Dice, licence) of the templates that a passage matches, the best passage of each."""
+        return self._passages(_lines(text), set())
+
+    def _passages(self, lines: list[list[str]], skip: set[str]) -> list[tuple[float, str]]:
+        words, spans = [], []
+        for line in filter(None, lines):
+            spans.append((len(words), len(words) + len(line)))
+            words += line
+        hits: dict[int, list[int]] = {}
+        for at, p in enumerate(pairwise(words)):
+            if p in self.places:
+                for i in self.places[p]:
+                    hits.setdefault(i, []).append(at)
+        out = []
+        for i, where in sorted(hits.items()):
+            size, name, bag = self.templates[i]
+            if name not in skip and (dice := self._passage(words, where, spans, size, bag)) >= self.threshold:
+                out.append((dice, name))
+        return out
+
+    def _passage(self, words: list[str], where: list[int], spans: list, size: int, bag: Counter) -> float:
+        """The best Dice of a template's passages (0 if none matches); ``where``: its bigrams in the text, in order."""
+        t, best = self.threshold, 0.0
+        low, high = math.ceil(size * t / (2 - t) - 1e-9), math.floor(size * (2 - t) / t + 1e-9)
+        # a match of any size has so many template bigrams
+        if not any(b - a < high for a, b in zip(where, where[low - 1 :], strict=False)):
+            return best
+        # the best one of the template's size or more starts at a template bigram, or ends with the text
+        if len(words) > size:
+            for k, a in enumerate(where):
+                if k + low > len(where) or where[k + low - 1] - a >= high:
+                    continue
+                seen: dict = {}
+                shared = 0
+                for at in where[k : bisect_left(where, a + high)]:
+                    p = words[at], words[at + 1]
+                    seen[p] = seen.get(p, 0) + 1
+                    if seen[p] <= bag[p]:
+                        shared += 1
+                        best = max(best, 2 * shared / (size + max(size, at - a + 1)))
+                if best == 1:
+                    return best
+        # runs of lines below that size
+        ends = [end for _, end in spans]
+        for start, _ in spans:
+            k = bisect_left(where, start)
+            if k + low > len(where) or where[k + low - 1] - start >= size:
+                continue
+            for end in ends[bisect_left(ends, start + low + 1) : bisect_left(ends, start + size + 1)]:
+                own = where[k : bisect_left(where, end - 1)]
+                if 2 * len(own) >= t * (size + end - start - 1):
+                    shared = (Counter((words[at], words[at + 1]) for at in own) & bag).total()
+                    best = max(best, 2 * shared / (size + end - start - 1))
+        return best if best >= t else 0.0
+
+
 def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
     """Struct (licenses, best_dice) of each whole text: sorted distinct names, null if none; the highest coefficient."""
 
     @F.pandas_udf("licenses array<string>, best_dice double")
     def run(texts: pd.Series) -> pd.DataFrame:
         scanner = Scanner(templates, threshold)
-        found = [scanner.scan(t) for t in texts]
+        found = [scanner.both(t) for t in texts]
         return pd.DataFrame(
             {
                 "licenses": pd.Series([sorted({n for _, n in f}) or None for f in found], dtype=object),
@@ -172,7 +253,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     """(doc_id, licenses, best_dice), a row for each row of ``docs``.
 
     ``licenses`` is an array of names, null where nothing matches; null and
-    empty texts match nothing. Several templates may carry one name. Repeated
+    empty texts match nothing. ``best_dice`` is over units, and over passages for
+    licences that no unit matches. Several templates may carry one name. Repeated
     rows each get their row; an empty table gives an empty result.
     """
     prepare(docs.sparkSession)

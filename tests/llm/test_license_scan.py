@@ -76,3 +76,60 @@ def test_any_threshold_prunes_nothing_that_matches():
             assert (sorted({n for _, n in found}) or None) == brute(t, threshold)[0], (threshold, t[:60])
     with pytest.raises(ValueError):
         L.Scanner(threshold=0)
+
+
+def passages(text, templates, threshold=L.THRESHOLD):
+    """The best Dice of each template over all passages, nothing pruned."""
+    lines = [[w for w in L.normalise(line) if w] for line in text.split("\n")]
+    words = [w for line in lines for w in line]
+    at, starts, ends = 0, set(), set()
+    for line in lines:
+        if line:
+            starts.add(at)
+            at += len(line)
+            ends.add(at)
+    out = []
+    for name, t in templates:
+        b = L.bigrams([w for w in L.normalise(t) if w])
+        size, best = b.total(), 0
+        for i in range(len(words)):
+            for j in range(i + 2, len(words) + 1):
+                if j - i - 1 >= size or (i in starts and j in ends):
+                    best = max(best, 2 * (L.bigrams(words[i:j]) & b).total() / (size + j - i - 1))
+        if best >= threshold:
+            out.append((best, name))
+    return sorted(out)
+
+
+def test_passages_equal_brute_force():
+    rng = random.Random(8)
+    words = "a b c d".split()
+    templates = [("x", "a b c d a b"), ("y", "b b c"), ("z", "d c b a d c a b d d"), ("x", "c a c b")]
+    for threshold in (0.3, 0.6, 0.8, 1.0):
+        scanner = L.Scanner(templates, threshold)
+        for _ in range(150):
+            text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", "\n", "\n\n"]) for _ in range(rng.randrange(30)))
+            assert sorted(scanner.passages(text)) == passages(text, templates, threshold), (threshold, text)
+
+
+def test_licences_inside_longer_texts(spark, make_docs):
+    """Licences of several paragraphs in source files, and notices within a line."""
+    texts, want = [], []
+    for name, t in L.TEMPLATES[5:]:
+        w = t.split()
+        block = [" ".join(w[i : i + 9]) for i in range(0, len(w), 9)]
+        third = len(block) // 3
+        for mark, blank in (("", ""), ("// ", "//"), (" * ", " *")):
+            body = [*block[:third], None, *block[third : 2 * third], None, *block[2 * third :]]
+            body = "\n".join(blank if x is None else mark + x for x in body)
+            texts.append("import os\n\n" + "x = f(1, 2)\n" * 300 + f"{blank}\n{mark}Copyright 2020 Example\n{blank}\n{body}\n\n" + "def g(): pass\n" * 300)
+            want.append([name])
+        texts.append("prose of a page " * 200 + t + " more prose" * 200)
+        want.append([name])
+    texts += ["Copyright (c) 2020 Example Inc. All rights reserved.", "This project is Released under the MIT License, as the file says, by its authors."]
+    want += [["all-rights-reserved"], ["mit"]]
+    texts += ["It is Licensed under the Apache License, Version 1.1 or so", "All the rights that are reserved by the authors", "MIT"]
+    want += [None] * 3
+    got = {r["doc_id"]: r["licenses"] for r in L.scan(make_docs(list(enumerate(texts)))).collect()}
+    for i, (t, names) in enumerate(zip(texts, want, strict=True)):
+        assert (None if got[i] is None else set(got[i])) == (set(names) if names else None), t[:80]
