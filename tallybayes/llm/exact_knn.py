@@ -74,7 +74,8 @@ def _needs(pivots: dict, summary: dict, group: dict, k: int):
                 cells, radius, near = summary[int(d)]
                 q, p = _matrix(rows["v"]).astype(np.float64), _pivots(pivots, int(d))[cells]
                 dot, norm = q @ p.T, np.sqrt((q * q).sum(1))[:, None]
-                low = (dot[:, :, None] - norm[:, :, None] * near).reshape(len(q), -1)  # absent: -inf
+                there = np.isfinite(near)  # 0 * inf is not a number
+                low = np.where(there, dot[:, :, None] - norm[:, :, None] * np.where(there, near, 0), -np.inf).reshape(len(q), -1)
                 # k + 1: the query itself may be among them
                 at = max(low.shape[1] - (k + 1), 0)
                 least = np.partition(low, at, axis=1)[:, at] if low.shape[1] > k else np.full(len(q), -np.inf)

@@ -127,3 +127,21 @@ def test_top_k_equals_brute_force(spark, monkeypatch, small):
             want |= {(i, r, j, -s) for r, (s, j) in enumerate(sorted(scores)[:5], 1)}
     got = exact_knn.top_k(df, F.col("vec_id") % 10 == 0, k=5).collect()
     assert {tuple(r) for r in got} == want
+
+
+def neighbours(rows, every, k=5):
+    """Brute force: (query_id, rank, vec_id, score) of the ids that ``every`` divides."""
+    ints = [(i, tuple(math.floor(256 * float(np.float32(x))) for x in v)) for i, v, _ in rows]
+    out = []
+    for i, q in sorted({x for x in ints if x[0] % every == 0}):
+        scores = [(-sum(a * b for a, b in zip(q, x, strict=True)), j) for j, x in ints if j != i and len(x) == len(q)]
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out)
+
+
+def test_top_k_of_a_zero_vector_among_small_cells(spark, monkeypatch):
+    monkeypatch.setattr(exact_knn, "CELL", 1)  # a cell for each vector
+    rows = [(i, [float(i), 1.0, 0.0], 0) for i in range(1, 8)] + [(10, [0.0] * 3, 0), (20, [0.001] * 3, 0)]
+    rows += [(30, [0.0] * 2, 0), (31, [1.0, 2.0], 0), (32, [2.0, -1.0], 0)]  # a length with fewer than k others
+    got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, k=5).collect()
+    assert sorted(tuple(r) for r in got) == neighbours(rows, 10)
