@@ -2,10 +2,10 @@
 
 Data and queries are grouped by their nearest pivot (Lu et al., "Efficient
 processing of k nearest neighbor joins using MapReduce"). A summary of each
-cell (its largest distance to the pivot, its k + 1 smallest, its number of
-vectors) bounds inner products: for x at distance r from pivot p,
-q.p - |q| r <= q.x <= q.p + |q| r. The smallest distances give every query a
-score that its k-th best reaches at least; a cell whose upper bound is below
+cell (its largest distance to the pivot, the smallest ones of k + 1 ids, its
+number of vectors) bounds inner products: for x at distance r from pivot p,
+q.p - |q| r <= q.x <= q.p + |q| r. The smallest distances, without
+those of its own id, give every query a score that its k-th best reaches at least; a cell whose upper bound is below
 that holds no answer. Query groups are whole cells of queries packed up to
 ``GROUP``; a cell's vectors are replicated to the groups with a query that needs
 it, and each group is solved where its data are, in blocks of ``BLOCK`` vectors,
@@ -71,14 +71,16 @@ def _needs(pivots: dict, summary: dict, group: dict, k: int):
         for batch in batches:
             seen = set()
             for d, rows in batch.groupby("dim"):
-                cells, radius, near = summary[int(d)]
+                cells, radius, near, whose = summary[int(d)]
                 q, p = _matrix(rows["v"]).astype(np.float64), _pivots(pivots, int(d))[cells]
                 dot, norm = q @ p.T, np.sqrt((q * q).sum(1))[:, None]
                 there = np.isfinite(near)  # 0 * inf is not a number
-                low = np.where(there, dot[:, :, None] - norm[:, :, None] * np.where(there, near, 0), -np.inf).reshape(len(q), -1)
-                # k + 1: the query itself may be among them
-                at = max(low.shape[1] - (k + 1), 0)
-                least = np.partition(low, at, axis=1)[:, at] if low.shape[1] > k else np.full(len(q), -np.inf)
+                low = dot[:, :, None] - norm[:, :, None] * np.where(there, near, 0)
+                # rows with the query's id are no answers
+                low[~there | (whose == rows["vec_id"].to_numpy()[:, None, None])] = -np.inf
+                low = low.reshape(len(q), -1)
+                at = max(low.shape[1] - k, 0)
+                least = np.partition(low, at, axis=1)[:, at] if low.shape[1] >= k else np.full(len(q), -np.inf)
                 slack = 1e-6 * (1 + norm[:, 0] * (np.abs(p).max(initial=0) + radius.max(initial=0)))
                 need = dot + norm * radius >= (least - slack)[:, None]
                 for i, j in zip(*np.nonzero(need), strict=True):
@@ -154,9 +156,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddin
     data = stage.table(data.mapInPandas(_nearest(pivots), schema))
 
     # summaries: one row a cell, at most PIVOTS cells (and one for each other length)
-    first = Window.partitionBy("dim", "cell").orderBy("dist")
-    least = data.select("dim", "cell", "dist").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1)
-    least = least.groupBy("dim", "cell").agg(F.sort_array(F.collect_list("dist")).alias("near"))
+    first = Window.partitionBy("dim", "cell").orderBy("dist", "vec_id")
+    least = data.groupBy("dim", "cell", "vec_id").agg(F.min("dist").alias("dist"))
+    least = least.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1)
+    least = least.groupBy("dim", "cell").agg(F.collect_list(F.struct("dist", "vec_id")).alias("near"))
     cells = data.groupBy("dim", "cell").agg(
         F.max("dist").alias("radius"), F.count("*").alias("n"), F.count(F.when(F.col("query"), 1)).alias("queries")
     )
@@ -165,10 +168,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddin
     summary, group, g, room = {}, {}, 0, GROUP
     for d in {r["dim"] for r in got}:
         own = [r for r in got if r["dim"] == d]
-        near = np.full((len(own), k + 1), np.inf)
+        near, whose = np.full((len(own), k + 1), np.inf), np.zeros((len(own), k + 1), np.int64)
         for i, r in enumerate(own):
-            near[i, : len(r["near"])] = r["near"]
-        summary[d] = (np.array([r["cell"] for r in own]), np.array([r["radius"] for r in own]), near)
+            near[i, : len(r["near"])] = [x["dist"] for x in r["near"]]
+            whose[i, : len(r["near"])] = [x["vec_id"] for x in r["near"]]
+        summary[d] = (np.array([r["cell"] for r in own]), np.array([r["radius"] for r in own]), near, whose)
     for r in got:  # whole cells to a group; a cell of many queries takes several
         pieces = max(1, -(-r["queries"] // GROUP))
         if pieces > 1 or r["queries"] > room:

@@ -145,3 +145,14 @@ def test_top_k_of_a_zero_vector_among_small_cells(spark, monkeypatch):
     rows += [(30, [0.0] * 2, 0), (31, [1.0, 2.0], 0), (32, [2.0, -1.0], 0)]  # a length with fewer than k others
     got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, k=5).collect()
     assert sorted(tuple(r) for r in got) == neighbours(rows, 10)
+
+
+def test_top_k_of_an_id_repeated_over_many_cells(spark, monkeypatch):
+    """A query's own rows, in one cell or in many, don't bound its k-th best score."""
+    monkeypatch.setattr(exact_knn, "CELL", 1)  # a cell for each vector
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)], 0) for i in range(1, 61) if i % 50]
+    rows += [(100, [30.0, 0.0, 0.0, 0.0, 0.0, 0.0], 0)] * 8  # equal rows
+    rows += [(150, [0.0, 30.0, 2.0 * j, 0.0, 0.0, 0.0], 0) for j in range(9)]  # other vectors
+    got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, k=5).collect()
+    assert sorted(tuple(r) for r in got) == neighbours(rows, 50)
