@@ -85,7 +85,7 @@ def _needs(pivots: dict, summary: dict, group: dict, k: int):
                 need = dot + norm * radius >= (least - slack)[:, None]
                 for i, j in zip(*np.nonzero(need), strict=True):
                     own = group[int(d), int(rows["cell"].iloc[i])]
-                    seen.add((own[0] + rows["tie"].iloc[i] % own[1], int(d), int(cells[j])))
+                    seen.add((own[0] + rows["deal"].iloc[i] % own[1], int(d), int(cells[j])))
             yield pd.DataFrame(sorted(seen), columns=["g", "dim", "cell"])
 
     return run
@@ -144,7 +144,6 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddin
     stage = Stage(spark, "exact-knn")
     data = rows.select(F.col("vec_id").cast("long").alias("vec_id"), floored(F.col(vector)).alias("v"), is_query.alias("query"))
     data = data.filter("vec_id is not null and v is not null").withColumn("dim", F.size("v"))
-    # non-negative: it also deals the queries of a large cell
     data = stage.table(data.withColumn("tie", F.xxhash64("v").bitwiseAND(F.lit(2**62 - 1))))
     n = data.count()
     m = min(PIVOTS, max(1, n // CELL))
@@ -183,7 +182,9 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddin
         else:
             room -= r["queries"]
 
-    queries = stage.table(data.filter("query").select("vec_id", "v", "dim", "tie", "cell").distinct())
+    queries = data.filter("query").select("vec_id", "v", "dim", "tie", "cell").distinct()
+    # non-negative; deals the queries of a large cell, those of equal vectors too
+    queries = stage.table(queries.withColumn("deal", F.xxhash64("vec_id", "tie").bitwiseAND(F.lit(2**62 - 1))))
     needs = queries.mapInPandas(_needs(pivots, summary, group, k), "g long, dim int, cell long")
     blocks = table.select("dim", "cell", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
     needs = stage.table(needs.distinct().join(blocks, ["dim", "cell"]))
@@ -191,7 +192,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vector: str = "embeddin
     deal = spark.createDataFrame([(d, c, a, b) for (d, c), (a, b) in group.items()], "dim int, cell long, g0 long, pieces long") if group else None
     if deal is None:
         return data.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
-    asked = queries.join(deal, ["dim", "cell"]).withColumn("g", F.col("g0") + F.pmod("tie", "pieces"))
+    asked = queries.join(deal, ["dim", "cell"]).withColumn("g", F.col("g0") + F.pmod("deal", "pieces"))
     asked = asked.select("vec_id", "v", "tie", "dim", "g")
     wanted = needs.select("g", "dim", F.col("cell").alias("of"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     left = asked.join(wanted, ["g", "dim"])

@@ -156,3 +156,23 @@ def test_top_k_of_an_id_repeated_over_many_cells(spark, monkeypatch):
     rows += [(150, [0.0, 30.0, 2.0 * j, 0.0, 0.0, 0.0], 0) for j in range(9)]  # other vectors
     got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, k=5).collect()
     assert sorted(tuple(r) for r in got) == neighbours(rows, 50)
+
+
+def test_queries_of_equal_vectors_are_dealt_to_all_pieces(spark, monkeypatch):
+    monkeypatch.setattr(exact_knn, "GROUP", 8)
+    real = exact_knn._solve
+
+    def counted(k):
+        solve = real(k)
+
+        def run(queries, data):
+            if len(queries) > 32:
+                raise ValueError("a piece has most of the queries")
+            return solve(queries, data)
+
+        return run
+
+    monkeypatch.setattr(exact_knn, "_solve", counted)
+    rows = [(i, [1.0, 2.0, 3.0], 0) for i in range(1, 65)]
+    got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") > 0, k=5).collect()
+    assert sorted(tuple(r) for r in got) == neighbours(rows, 1)
