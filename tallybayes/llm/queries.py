@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybayes.llm import bpe, embedding_dedup, exact_knn, license_scan, mixing, ngram_lm, simhash, substring_dedup, toxicity, url_filter
+from tallybayes.llm import (
+    bpe, embedding_dedup, exact_knn, license_scan, mixing, ngram_lm, periodic_runs, pruned_graph, simhash, substring_dedup, toxicity, url_filter, whitening,
+)
 from tallybayes.llm._util import prepare
 
 # fixed values of the contract
@@ -96,4 +98,40 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op5_ngram_lm, op6_simhash, op7_exact_knn, op8_license_scan, op9_embedding_dedup, op10_toxicity)}
+def op11_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every 100th one, from beam searches of all shards."""
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return pruned_graph.nearest(rows, F.col("vec_id") % 100 == 0, k=10)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 4 leading whitened components of the distinct floored vectors."""
+    return whitening.whiten(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=4)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs of repeated words, with the contract's planted tails, as digests."""
+    prepare(spark)
+    docs = _read(spark, sf_dir, "documents")
+    text = periodic_runs.planted(F.col("text"), F.col("doc_id"))
+    runs = docs.select("doc_id", periodic_runs.scan(text).alias("found")).select("doc_id", "found.*")
+    runs = runs.withColumn("best", periodic_runs.best(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return runs.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+_ALL = (
+    op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op5_ngram_lm, op6_simhash, op7_exact_knn, op8_license_scan,
+    op9_embedding_dedup, op10_toxicity, op11_pruned_graph, op12_whitening, op13_periodic_runs,
+)
+QUERIES = {f.__name__: f for f in _ALL}

@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallybayes.llm import pruned_graph, queries
+from tallybayes.llm._util import Stage
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+ODD = [None, [], [0.0] * 8, [1.0] * 7 + [None], [1.0] * 7 + [math.nan], [1.0] * 7 + [math.inf]]
+
+
+def usable(v):
+    return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def brute(rows, every, k):
+    keep = sorted({(i, tuple(v)) for i, v in rows if i is not None and usable(v)})
+    out = {}
+    for i, q in keep:
+        if i % every:
+            continue
+        near = sorted((math.dist(q, x), j) for j, x in keep if j != i and len(x) == len(q))[:k]
+        out[i, q] = near
+    return out
+
+
+def table(n=900, d=8, seed=2):
+    rng = np.random.default_rng(seed)
+    heads = rng.normal(size=(30, d))
+    v = heads[rng.integers(30, size=n)] + rng.normal(size=(n, d)) * rng.choice([0, 0.01, 0.5], size=(n, 1))
+    return [(i, [float(np.float32(x)) for x in row]) for i, row in enumerate(v)]
+
+
+def answers(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    return {q: [x[1:] for x in sorted(v)] for q, v in out.items()}
+
+
+@pytest.mark.parametrize("shard", [64, 8192])
+def test_nearest_against_brute_force(spark, monkeypatch, shard):
+    monkeypatch.setattr(pruned_graph, "SHARD", shard)
+    rows = table()
+    rows += [(2000 + i, v) for i, v in enumerate(ODD)] + [rows[10], (None, rows[11][1]), (3000, rows[0][1]), (3100, [1.0, 2.0]), (3201, [4.0, 6.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA).withColumn("shard", F.lit(7)).withColumn("a.b", F.lit(1))
+    got = answers(pruned_graph.nearest(df, F.col("vec_id") % 25 == 0, k=10))
+    want = {i: near for (i, _), near in brute(rows, 25, 10).items()}
+    assert set(got) == {i for i, near in want.items() if near}
+    hits = total = 0
+    for i, near in want.items():
+        assert len(got.get(i, [])) == len(near)
+        hits += len({j for _, j in near} & {j for _, j in got.get(i, [])})
+        total += len(near)
+        exact = dict((j, s) for s, j in brute([r for r in rows if r[0] is not None], 1, 10**6)[i, tuple(next(v for k, v in rows if k == i))])
+        for s, j in got.get(i, []):
+            assert math.isclose(s, exact[j], rel_tol=1e-12, abs_tol=1e-12)
+        assert got.get(i, []) == sorted(got.get(i, []))
+    assert hits >= 0.98 * total
+    assert got[3100] == [(5.0, 3201)]
+
+
+def test_many_copies(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(300)] + [(1000, [1.0, 2.5]), (1001, [-1.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA)
+    got = answers(pruned_graph.nearest(df, F.col("vec_id").isin(0, 5, 100, 1000), k=10))
+    assert [j for _, j in got[0]] == list(range(1, 11))
+    assert [j for _, j in got[5]] == [0, 1, 2, 3, 4, 6, 7, 8, 9, 10]
+    assert [j for _, j in got[100]] == list(range(10))
+    assert got[1000] == [(0.5, j) for j in range(10)]
+
+
+def test_recall_and_graph_on_the_given_table(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = answers(queries.op11_pruned_graph(spark, sf))
+    x = np.array([v for _, v in rows], float)
+    ids = np.array([i for i, _ in rows])
+    hits = 0
+    for i, near in got.items():
+        s = np.sqrt(((x - x[ids == i][0]) ** 2).sum(axis=1))
+        order = [j for j in np.lexsort((ids, s)) if ids[j] != i][:10]
+        hits += len(set(ids[order].tolist()) & {j for _, j in near})
+    assert len(got) == (ids % 100 == 0).sum()
+    assert hits >= 0.97 * 10 * len(got)
+
+
+def test_every_node_is_reached_and_pruned():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(300, 5)) * 0.01 + c for c in rng.normal(size=(6, 5)) * 100])
+    g = pruned_graph.Graph(x).build()
+    seen, now = {g.start}, [g.start]
+    while now:
+        now = [int(j) for i in now for j in g.edges[i] if j >= 0 and j not in seen]
+        now = list(dict.fromkeys(now))
+        seen.update(now)
+    assert len(seen) == len(x)
+    for i in range(0, len(x), 37):
+        own = g.edges[i][g.edges[i] >= 0]
+        assert len(set(own.tolist())) == len(own) and i not in own
+    nodes, gap = g.search(g.x[::40], 64)
+    assert (nodes[:, 0] == np.arange(0, len(x), 40)).mean() >= 0.98
+
+
+def test_same_graph_whatever_the_order(spark):
+    df = spark.createDataFrame([(i, v, 1) for i, v in table(200)], SCHEMA)
+    seen = []
+    for d in (df, df.repartition(5, "vec_id")):
+        rows = pruned_graph.index(d, Stage(spark, "test-graph")).collect()
+        seen.append(sorted((r["h0"], r["place"], tuple(r["edges"])) for r in rows))
+    assert seen[0] == seen[1]
+
+
+def test_no_vectors(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert pruned_graph.nearest(empty, F.col("vec_id") % 2 == 0).count() == 0
+    none = spark.createDataFrame([(i, v, 1) for i, v in enumerate(ODD)], SCHEMA)
+    assert pruned_graph.nearest(none, F.col("vec_id") % 2 == 0).count() == 0
+    one = spark.createDataFrame([(0, [1.0, 2.0], 1)], SCHEMA)
+    assert pruned_graph.nearest(one, F.col("vec_id") % 2 == 0).count() == 0
