@@ -10,7 +10,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = os.environ.get("TALLYBAYES_ORACLE_SF", SF_SMALL)
 
 
 @pytest.fixture(scope="session")

@@ -13,12 +13,14 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from conftest import SF_ORACLE  # noqa: E402
 from oracle_check import compare  # noqa: E402
 
 from tallybayes.plans.catalog import QUERIES  # noqa: E402
 from tallybayes.plans.oracle import oracle_sql  # noqa: E402
 
+# not from conftest: tests/llm has one too, and either may be imported under that name
+SF_ORACLE = os.environ.get("TALLYBAYES_ORACLE_SF", "/root/testdata/sf0.001")
+
 
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(E.oracle_sql()) <= set(E.queries())
