@@ -97,11 +97,11 @@ def _spans(w: Words, seed: int):
 
 
 def _span_rows(seed: int):
-    """(id, tie, text) rows to span rows."""
+    """(id, t0, t1, text) rows to span rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, ties = batch["id"].to_numpy(), batch["tie"].to_numpy()
+            ids, t0, t1 = (batch[c].to_numpy() for c in ("id", "t0", "t1"))
             for i, texts in text_chunks(batch["text"]):
                 w = Words(texts)
                 if (got := _spans(w, seed)) is None:
@@ -115,7 +115,8 @@ def _span_rows(seed: int):
                         "h0": h0.of(s, end).view(np.int64),
                         "h1": h1.of(s, end).view(np.int64),
                         "id": ids[i + doc],
-                        "tie": ties[i + doc],
+                        "t0": t0[i + doc],
+                        "t1": t1[i + doc],
                         "loc": (s - w.offset[doc]) * ROOM + (e - s),
                     }
                 )
@@ -124,10 +125,16 @@ def _span_rows(seed: int):
 
 
 def _window_rows(seed: int):
-    """(id, text, spans) rows to one row per window of the spans."""
+    """(id, t0, t1, text, spans) rows to one row per window of the spans; equal texts of an id give theirs once a task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
+            keys = list(zip(batch["id"].tolist(), batch["t0"].tolist(), batch["t1"].tolist(), strict=True))
+            new = [k not in seen and not seen.add(k) for k in keys]
+            if not any(new):
+                continue
+            batch = batch[new]
             ids, spans = batch["id"].to_numpy(), batch["spans"].tolist()
             for i, texts in text_chunks(batch["text"]):
                 w = Words(texts)
@@ -154,8 +161,12 @@ def _window_rows(seed: int):
     return run
 
 
+def _ties(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
 def repeats(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """(id, tie, spans): for documents with repeated words, the spans that cover them.
+    """(id, t0, t1, spans): for documents with repeated words, the spans that cover them.
 
     ``spans`` is an array of (loc, mask): loc packs the first window and the
     number of further ones; ``mask`` lists the windows (offsets) that repeat,
@@ -164,16 +175,16 @@ def repeats(docs: DataFrame, seed: int = SEED) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     stage = Stage(spark, "substring")
-    # ties tell texts apart that have one id; 32 bits are plenty for that
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.hash("text").alias("tie"), "text"
-    )
-    schema = "seed long, h0 long, h1 long, id long, tie int, loc long"
+    # 128 bits tell texts apart that have one id, as all without an id do
+    t0, t1 = _ties(F.col("text"))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), t0.alias("t0"), t1.alias("t1"), "text")
+    own_text = ["id", "t0", "t1"]
+    schema = "seed long, h0 long, h1 long, id long, t0 long, t1 long, loc long"
     spans = stage.table(texts.mapInPandas(_span_rows(seed), schema))
 
     # level 1: distinct spans, and the seeds that occur in two documents
     distinct = spans.groupBy("h0", "h1").agg(
-        F.min("seed").alias("seed"), F.min(F.struct("id", "tie", "loc")).alias("first"), F.max("id").alias("last")
+        F.min("seed").alias("seed"), F.min(F.struct(*own_text, "loc")).alias("first"), F.max("id").alias("last")
     )
     distinct = stage.table(distinct)
     seeds = distinct.groupBy("seed").agg(
@@ -185,16 +196,15 @@ def repeats(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
     # the rows of what is left: repeats as a whole, or with the document that speaks for its span
     own = alive.select("h0", "h1", F.col("first.id").alias("low"), "spans")
-    rows = spans.select("h0", "h1", "id", "tie", "loc").join(own, ["h0", "h1"])
+    rows = spans.select("h0", "h1", *own_text, "loc").join(own, ["h0", "h1"])
     rows = stage.table(rows.filter("id > low or spans > 1"))
     stage.drop(spans)
 
     # level 2: windows of the spans whose seed has another span too
     speak = alive.filter("spans > 1").select("h0", "h1", "first.*")
-    speak = speak.groupBy("id", "tie").agg(F.collect_list(F.struct("h0", "h1", "loc")).alias("spans"))
+    speak = speak.groupBy(*own_text).agg(F.collect_list(F.struct("h0", "h1", "loc")).alias("spans"))
     speak = stage.table(speak)
-    # rows equal in id and text give their windows twice, which changes no minimum
-    windows = texts.join(speak.hint("shuffle_hash"), ["id", "tie"]).select("id", "text", "spans")
+    windows = texts.join(speak.hint("shuffle_hash"), own_text)
     windows = windows.mapInPandas(_window_rows(seed), "w0 long, w1 long, id long, h0 long, h1 long, offset int")
     windows = stage.table(windows)
     again = windows.groupBy("w0", "w1").agg(F.min("id").alias("low"), F.max("id").alias("high"))
@@ -204,10 +214,11 @@ def repeats(docs: DataFrame, seed: int = SEED) -> DataFrame:
     hits = stage.table(hits)
     stage.drop(windows, again, alive)
 
-    whole = rows.filter("id > low").select("id", "tie", "loc", F.lit(None).cast("array<int>").alias("mask"))
-    part = rows.filter("id = low").select("h0", "h1", "id", "tie", "loc").join(hits, ["h0", "h1"])
-    marks = whole.unionByName(part.select("id", "tie", "loc", "mask"))
-    marks = stage.table(marks.groupBy("id", "tie").agg(F.collect_list(F.struct("loc", "mask")).alias("spans")))
+    whole = rows.filter("id > low").select(*own_text, "loc", F.lit(None).cast("array<int>").alias("mask"))
+    part = rows.filter("id = low").select("h0", "h1", *own_text, "loc").join(hits, ["h0", "h1"])
+    marks = whole.unionByName(part.select(*own_text, "loc", "mask"))
+    # a set: rows equal in id and text have the same spans, however many they are
+    marks = stage.table(marks.groupBy(*own_text).agg(F.collect_set(F.struct("loc", "mask")).alias("spans")))
     stage.drop(rows, speak, hits)
     return marks
 
@@ -265,9 +276,11 @@ def dedup(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, str]:
     Rows equal in id and text have equal results. Other columns pass through,
     whatever they are called. Texts of fewer than ``2 * seed`` words are kept.
     """
-    i, t, s, out = fresh(docs, "sub_id", "sub_tie", "sub_spans", "sub_result")
-    marks = repeats(docs, seed).select(F.col("id").alias(i), F.col("tie").alias(t), F.col("spans").alias(s))
-    rows = docs.withColumn(i + "_", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(t + "_", F.hash("text"))
-    rows = rows.join(marks.hint("shuffle_hash"), (F.col(i + "_") == F.col(i)) & (F.col(t + "_") == F.col(t)), "left")
+    i, t, u, s, out = fresh(docs, "sub_id", "sub_tie", "sub_tie2", "sub_spans", "sub_result")
+    marks = repeats(docs, seed).select(*[F.col(c).alias(a) for c, a in (("id", i), ("t0", t), ("t1", u), ("spans", s))])
+    own = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), *_ties(F.col("text"))]
+    rows = docs.withColumns({f"{c}_": x for c, x in zip((i, t, u), own, strict=True)})
+    same = (F.col(i + "_") == F.col(i)) & (F.col(t + "_") == F.col(t)) & (F.col(u + "_") == F.col(u))
+    rows = rows.join(marks.hint("shuffle_hash"), same, "left")
     rows = rows.withColumn(out, _keep(F.col("text"), F.col(s), seed))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns], out), out

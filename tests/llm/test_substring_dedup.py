@@ -59,3 +59,21 @@ def test_clashing_columns_and_empty_table(spark, make_docs):
     assert out.columns == [*docs.columns, r]
     assert sorted((x["doc_id"], x[r]["kept"], x["sub_id"], x["id"]) for x in out.collect()) == [(1, "a b c d", 9, 8), (2, "", 9, 8), (2, "", 9, 8)]
     assert substring_dedup.dedup(docs.limit(0))[0].count() == 0
+
+
+def test_texts_without_an_id_stay_apart_when_short_hashes_collide(spark, make_docs):
+    many = spark.range(400_000).select(F.concat(F.lit("a b c d e f "), F.col("id").cast("string")).alias("text"))
+    pairs = many.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t")).filter(F.size("t") > 1)
+    one, other = pairs.orderBy("h").first()["t"][:2]
+    # the second is longer, with the passage of document 1 elsewhere
+    rows = [(1, "x y z " + one), (None, one), (None, other), (None, "p q r s t u v w x y z a b c d e f"), (2, "a b c d e f")]
+    assert run(make_docs(rows), 2) == brute(rows, 4)
+
+
+def test_many_equal_rows_keep_one_set_of_spans(spark, make_docs):
+    words = [f"w{i}" for i in range(30)]
+    rows = [(1, " ".join(words[:20]))] + [(None, " ".join(words))] * 3000 + [(7, " ".join(words[5:]))] * 3000
+    docs = make_docs(rows)
+    spans = substring_dedup.repeats(docs, 2).collect()
+    assert len(spans) == 2 and all(len({x["loc"] for x in r["spans"]}) == len(r["spans"]) <= 30 for r in spans)
+    assert run(docs, 2) == brute(rows, 4)
