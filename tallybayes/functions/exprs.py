@@ -2,7 +2,7 @@
 
 Everything here is a built-in Spark expression, so it runs in the JVM and
 (except for the higher-order array functions) inside whole-stage codegen.
-No Python UDF appears anywhere in the library.
+The classifier has no Python UDF.
 """
 
 from __future__ import annotations
@@ -105,14 +105,15 @@ def fold_sum(start: Column, parts: Column) -> Column:
     return F.aggregate(parts, start, add_arrays)
 
 
-def argmax(classes: Column, scores: Column) -> tuple[Column, Column]:
+def argmax(classes: Column, scores: Column, digits: int | None = None) -> tuple[Column, Column]:
     """(best class, best score) of class-aligned arrays.
 
     Highest score wins; a tie goes to the lowest label because ``classes`` is
     sorted ascending and the index enters the comparison negated. Empty or
-    null arrays give null for both.
+    null arrays give null for both. ``digits``: scores are compared rounded.
     """
-    best = F.array_max(
-        F.transform(scores, lambda s, j: F.struct(s.alias("s"), (-j).alias("neg_j")))
-    )
+    if digits is None:
+        best = F.array_max(F.transform(scores, lambda s, j: F.struct(s.alias("s"), (-j).alias("neg_j"))))
+    else:
+        best = F.array_max(F.transform(scores, lambda s, j: F.struct(F.round(s, digits).alias("r"), (-j).alias("neg_j"), s.alias("s"))))
     return F.get(classes, -best["neg_j"]), best["s"]

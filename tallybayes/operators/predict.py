@@ -14,18 +14,26 @@ same terms in the same order: prior first, then the features in column order.
     is small the sum is unrolled into scalar expressions (one per class), which
     keeps the projection inside whole-stage codegen; otherwise it uses
     higher-order array functions, which Spark evaluates interpreted (about 6x
-    slower per row, measured). A part whose size from ``NBModel.stats()`` is
-    above its bound is joined without the broadcast hint, by a shuffle that
-    AQE may split at hot values; that needs no state, so it serves streams too.
+    slower per row, measured). Where ``NBModel.stats()`` puts the folded row
+    above its bound, every feature is a hashed lookup, and a part above its own
+    bound is merge-joined instead of broadcast: likelihoods on (model key,
+    value), read without an exchange where the model is a stored one (see
+    ``store.py``), and the class header on the model key and a salt, which
+    spreads the rows of one model and keeps Spark from turning a constant key into a
+    broadcast. That needs no state, so it serves streams too.
 
 ``long`` (models too large to broadcast)
     Test rows get a row number that is made durable first, go to long form,
     left-join the dense likelihood frame on (key, feature, value) and are
     regrouped by the row number: two shuffles however many features there are.
 
+``sparse`` (very many classes, see ``sparse.py``)
+    Scores, for each distinct feature vector, only the classes that can be the
+    best: no array is as long as the number of classes.
+
 ``map_arrays`` forces the array form of the map scorer (no unrolling).
-``auto`` picks ``map`` when the folded model is below ``max_map_bytes``, else
-``long``: a choice of cost alone.
+``auto`` picks ``sparse`` above ``SPARSE_CLASSES`` classes, else ``map`` when the
+folded model is below ``max_map_bytes``, else ``long``: a choice of cost alone.
 """
 
 from __future__ import annotations
@@ -35,6 +43,8 @@ from pyspark.sql import functions as F
 
 from tallybayes.functions.exprs import UNKNOWN_LOG_PROB, argmax, fold_sum
 from tallybayes.operators.prepare import FEAT_IDX, FEATURES, LABEL, VALUE
+from tallybayes.operators.sparse import extra as _extra
+from tallybayes.operators.sparse import predict_sparse, tied
 from tallybayes.operators.train import ModelStats, NBModel, make_durable
 
 MAX_MAP_BYTES = 64 * 1024 * 1024
@@ -50,6 +60,8 @@ MAX_DENSE_BROADCAST_BYTES = 256 * 1024 * 1024
 # when warm and costs ~3.5 s of code generation on first use; at 1,100 terms
 # the array form is faster.
 UNROLL_MAX_TERMS = 256
+# classes from which scoring only those that can win is cheaper than scoring all
+SPARSE_CLASSES = 1000
 
 CLASSES = "classes"
 SCORES = "scores"
@@ -58,7 +70,10 @@ ROW = "_row"
 
 
 def choose_scorer(model: NBModel, max_map_bytes: int = MAX_MAP_BYTES) -> str:
-    return "map" if model.stats().map_bytes <= max_map_bytes else "long"
+    st = model.stats()
+    if st.max_classes > SPARSE_CLASSES:
+        return "sparse"
+    return "map" if st.map_bytes <= max_map_bytes else "long"
 
 
 def _unknown(n_classes):
@@ -73,29 +88,51 @@ def _wide(i: int) -> str:
     return f"_wide_{i}"
 
 
-def _wide_features(st: ModelStats, max_map_values: int) -> list[int]:
-    return [i for i, (n, _) in enumerate(st.features) if n > max_map_values]
+def _wide_features(st: ModelStats, max_map_bytes: int, max_map_values: int) -> list[int]:
+    """Features that are hashed lookups: those of many values, or all if the others don't fold into a bounded row."""
+    wide = [i for i, (n, _) in enumerate(st.features) if n > max_map_values]
+    narrow = sum(b for i, (_, b) in enumerate(st.features) if i not in wide)
+    return wide if st.header_bytes + narrow <= max_map_bytes else list(range(len(st.features)))
+
+
+def _salted(test: DataFrame, header: DataFrame, keys) -> DataFrame:
+    """The test rows with their model's header, merge-joined on the model key and a salt.
+
+    The salt comes from the whole row, so the rows of one model meet in as many
+    tasks as there are shuffle partitions, each with one copy of the header.
+    """
+    salts = int(test.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine = test.withColumn("_salt", F.pmod(F.xxhash64(*test.columns), F.lit(salts)))
+    copies = header.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return mine.join(copies.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
 
 
-def _with_map_model(test: DataFrame, model: NBModel, max_map_bytes: int, max_map_values: int) -> DataFrame:
+def _with_map_model(
+    test: DataFrame, model: NBModel, max_map_bytes: int, max_map_values: int, max_dense_bytes: int | None = None
+) -> DataFrame:
     """The test rows with the folded model and, for each wide feature, the likelihoods of their value."""
     st = model.stats()
-    wide = _wide_features(st, max_map_values)
+    limit = MAX_DENSE_BROADCAST_BYTES if max_dense_bytes is None else max_dense_bytes
+    wide = _wide_features(st, max_map_bytes, max_map_values)
     narrow = [i for i in range(len(st.features)) if i not in wide]
-    folded = model.folded(narrow)
-    small = st.header_bytes + sum(st.features[i][1] for i in narrow) <= max_map_bytes
-    out = test.join(F.broadcast(folded) if small else folded, model.keys, "left")
+    out = test
+    # lookups first: where they shuffle, the rows don't carry the header yet
     for i in wide:
-        dense = model.dense_likelihood.filter(F.col(FEAT_IDX) == i)
-        dense = dense.select(*model.keys, F.col(VALUE).alias(_wide(i) + "_value"), F.col("log_liks").alias(_wide(i)))
-        if st.features[i][1] <= MAX_DENSE_BROADCAST_BYTES:
-            dense = F.broadcast(dense)
+        dense = model.lookup.filter(F.col(FEAT_IDX) == i)
+        right = dense.select(
+            *[F.col(k).alias(f"{_wide(i)}_{k}") for k in model.keys],
+            F.col(VALUE).alias(_wide(i) + "_value"),
+            F.col("log_liks").alias(_wide(i)),
+        )
+        right = F.broadcast(right) if st.features[i][1] <= limit else right.hint("merge")
         at = F.get(F.col(FEATURES), i) == F.col(_wide(i) + "_value")
-        right = dense.select(*[F.col(k).alias(f"{_wide(i)}_{k}") for k in model.keys], _wide(i) + "_value", _wide(i))
         for k in model.keys:
             at = at & (out[k] == F.col(f"{_wide(i)}_{k}"))
         out = out.join(right, at, "left").drop(*[f"{_wide(i)}_{k}" for k in model.keys], _wide(i) + "_value")
-    return out
+    header = model.folded(narrow) if narrow else model.score_header
+    if narrow or st.header_bytes <= max_map_bytes:
+        return out.join(F.broadcast(header), model.keys, "left")
+    return _salted(out, header, model.keys)
 
 
 def _map_lookup(wide):
@@ -145,27 +182,24 @@ def _unrolled_class_scores(st: ModelStats, lookup, size: Column) -> list[Column]
     return out
 
 
-def _unrolled_argmax(scores: list[Column]) -> tuple[Column, Column]:
+def _unrolled_argmax(scores: list[Column], digits: int | None = None) -> tuple[Column, Column]:
     """Highest score, ties to the lowest class slot (classes are sorted)."""
     cands = [F.struct(s.alias("s"), F.lit(-c).alias("neg_j")) for c, s in enumerate(scores)]
+    if digits is not None:
+        cands = [F.struct(tied(s, digits).alias("r"), F.lit(-c).alias("neg_j"), s.alias("s")) for c, s in enumerate(scores)]
     best = cands[0] if len(cands) == 1 else F.greatest(*cands)
     return F.get(F.col(CLASSES), -best["neg_j"]), best["s"]
 
 
-def _extra(size: Column, m: int) -> Column:
-    """What the features beyond the model's count add; the same expression in every form."""
-    return F.when(size > m, (size - m).cast("double") * F.lit(UNKNOWN_LOG_PROB)).otherwise(F.lit(0.0))
-
-
 def _array_scores(st: ModelStats, parts: Column, size: Column) -> Column:
     """prior + parts folded left to right (higher-order functions), then the features beyond the model's count."""
     known = fold_sum(F.col("prior"), F.slice(parts, 1, st.max_features))
     return F.transform(known, lambda s: s + _extra(size, st.max_features))
 
 
-def _map_parts(wide) -> Column:
+def _map_parts(wide, every: bool) -> Column:
     def part(v: Column, i: Column) -> Column:
-        own = F.try_element_at(F.try_element_at(F.col("lik"), i), v)
+        own = F.lit(None).cast("array<double>") if every else F.try_element_at(F.try_element_at(F.col("lik"), i), v)
         for w in wide:
             own = F.when(i == w, F.col(_wide(w))).otherwise(own)
         return F.coalesce(own, F.try_element_at(F.col("fallback"), i), _unknown(F.size(CLASSES)))
@@ -202,9 +236,9 @@ def _long_grouped(test: DataFrame, model: NBModel, ids, max_dense_bytes: int | N
     long = src.select(ROW, *keys, *ids, LABEL, F.posexplode_outer(FEATURES).alias(FEAT_IDX, VALUE))
     joined = long.join(dense, [*keys, FEAT_IDX, VALUE], "left")
     rest = [F.first(c).alias(c) for c in (*keys, *ids, LABEL)]
-    grouped = joined.groupBy(ROW).agg(
-        *rest, F.array_sort(F.collect_list(F.struct(F.col(FEAT_IDX).alias("i"), F.col("log_liks").alias("c")))).alias(PARTS)
-    )
+    part = F.struct(F.col(FEAT_IDX).alias("i"), F.col("log_liks").alias("c"))
+    part = F.when(F.col(FEAT_IDX).isNotNull(), part)  # a row without features has no part
+    grouped = joined.groupBy(ROW).agg(*rest, F.array_sort(F.collect_list(part)).alias(PARTS))
     header = model.score_header
     if st.header_bytes <= limit:
         header = F.broadcast(header)
@@ -214,7 +248,7 @@ def _long_grouped(test: DataFrame, model: NBModel, ids, max_dense_bytes: int | N
 def _resolve(model: NBModel, scorer: str, max_map_bytes: int) -> str:
     if scorer == "auto":
         scorer = choose_scorer(model, max_map_bytes)
-    if scorer not in ("map", "map_arrays", "long"):
+    if scorer not in ("map", "map_arrays", "long", "sparse"):
         raise ValueError(f"unknown scorer {scorer!r}")
     return scorer
 
@@ -230,11 +264,13 @@ def score_arrays(
 ) -> DataFrame:
     """(keys, ids, label, classes, scores): all class scores of each test row."""
     ids = list(ids)
-    if _resolve(model, scorer, max_map_bytes) == "long":
+    # all classes are asked for: sparse scoring has nothing to leave out
+    if _resolve(model, scorer, max_map_bytes) in ("long", "sparse"):
         g = _long_grouped(test, model, ids, max_dense_bytes)
         return g.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(model.stats(), _long_parts(), F.size(PARTS)).alias(SCORES))
-    j = _with_map_model(test, model, max_map_bytes, max_map_values)
-    parts = _map_parts(_wide_features(model.stats(), max_map_values))
+    j = _with_map_model(test, model, max_map_bytes, max_map_values, max_dense_bytes)
+    wide = _wide_features(model.stats(), max_map_bytes, max_map_values)
+    parts = _map_parts(wide, "lik" not in j.columns)
     return j.select(*model.keys, *ids, LABEL, CLASSES, _array_scores(model.stats(), parts, F.size(FEATURES)).alias(SCORES))
 
 
@@ -244,10 +280,9 @@ def _unrolled_source(test, model, ids, kind, max_map_bytes, max_map_values, max_
     if kind == "map_arrays" or not _unrollable(st):
         return None
     if kind == "map":
-        look = _map_lookup(_wide_features(st, max_map_values))
-        return _with_map_model(test, model, max_map_bytes, max_map_values), _unrolled_class_scores(
-            st, look, F.size(FEATURES)
-        )
+        look = _map_lookup(_wide_features(st, max_map_bytes, max_map_values))
+        joined = _with_map_model(test, model, max_map_bytes, max_map_values, max_dense_bytes)
+        return joined, _unrolled_class_scores(st, look, F.size(FEATURES))
     return _long_grouped(test, model, ids, max_dense_bytes), _unrolled_class_scores(st, _long_lookup, F.size(PARTS))
 
 
@@ -259,21 +294,29 @@ def predict(
     max_map_bytes: int = MAX_MAP_BYTES,
     max_map_values: int = MAX_MAP_VALUES,
     max_dense_bytes: int | None = None,
+    tie_digits: int | None = None,
 ) -> DataFrame:
     """(keys, ids, label, prediction, score); rows without a model keep a null prediction.
 
-    ``max_dense_bytes`` overrides the long scorer's broadcast bound for the
-    dense likelihood frame (0 forces the shuffle-join tier).
+    The highest score wins, the lowest label among equals. Classes of the same
+    counts in another order have equal scores that may differ in their last bit;
+    ``tie_digits`` treats scores as equal that agree when rounded to so many decimal places.
+
+    ``max_dense_bytes`` overrides the broadcast bound of dense likelihood frames
+    (0 joins them by shuffles), ``max_map_bytes`` that of the folded row and the
+    header; at 0 for both no part of the model is broadcast.
     """
     ids = list(ids)
     kind = _resolve(model, scorer, max_map_bytes)
+    if kind == "sparse":
+        return predict_sparse(test, model, ids, tie_digits)
     unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes)
     if unrolled is not None:
         joined, scores = unrolled
-        pred, best = _unrolled_argmax(scores)
+        pred, best = _unrolled_argmax(scores, tie_digits)
     else:
         joined = score_arrays(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes)
-        pred, best = argmax(F.col(CLASSES), F.col(SCORES))
+        pred, best = argmax(F.col(CLASSES), F.col(SCORES), tie_digits)
     return joined.select(*model.keys, *ids, LABEL, pred.alias("prediction"), best.alias("score"))
 
 
@@ -289,6 +332,7 @@ def class_scores(
     """(keys, ids, label, class, score): one row per test row and class."""
     ids = list(ids)
     kind = _resolve(model, scorer, max_map_bytes)
+    kind = "long" if kind == "sparse" else kind
     unrolled = _unrolled_source(test, model, ids, kind, max_map_bytes, max_map_values, max_dense_bytes)
     if unrolled is not None:
         joined, scores = unrolled

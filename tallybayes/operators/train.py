@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybayes.functions.exprs import log_fallback, log_likelihood, log_prior
+from tallybayes.operators.owner import delete_checkpoint, delete_folder, note_folder, note_frame, release_result
 from tallybayes.operators.prepare import DATASET, FEAT_IDX, FEATURES, LABEL, VALUE
 
 N = "n"
@@ -61,9 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 def make_durable(df: DataFrame) -> DataFrame:
     """Reliable checkpoint when a checkpoint folder is configured, else persist."""
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df.persist(StorageLevel.MEMORY_AND_DISK)
+    note_frame(out)
+    return out
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -78,7 +79,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-    return f"{base.rstrip('/')}/tallybayes-{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tallybayes-{name}-{uuid.uuid4().hex}"
+    note_folder(path)
+    return path
 
 
 def stage_table(df: DataFrame, name: str = "staged") -> DataFrame:
@@ -90,20 +93,20 @@ def stage_table(df: DataFrame, name: str = "staged") -> DataFrame:
     """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)  # no job to find the schema
     out._tallybayes_folder = path
     return out
 
 
 def release(*frames: DataFrame) -> None:
-    """Give up durable frames: unpersist them, and delete the folder of a staged table."""
+    """Give up durable frames: unpersist them, delete their checkpoint or the folder of a staged table, and all that a query's result owns."""
     for df in frames:
         df.unpersist()
+        delete_checkpoint(df)
         path = getattr(df, "_tallybayes_folder", None)
         if path:
-            sc = df.sparkSession.sparkContext
-            folder = sc._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(df.sparkSession, path)
+        release_result(df)
 
 
 def long_form(prepared: DataFrame, keep=()) -> DataFrame:
@@ -315,6 +318,11 @@ class NBModel:
         """
         return self._dense_with_fallbacks.drop("log_fallbacks")
 
+    @property
+    def lookup(self) -> DataFrame:
+        """The frame that scorers look values up in: ``dense_likelihood``, or the stored table of a loaded model."""
+        return self.dense_likelihood
+
     @cached_property
     def _dense_with_fallbacks(self) -> DataFrame:
         """``dense_likelihood`` plus the feature's ``log_fallbacks`` array."""

@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybayes.operators.evaluate import accuracy, class_distribution, sample_rows
+from tallybayes.operators.count_store import CountStore
+from tallybayes.operators.evaluate import accuracy, accuracy_of_distinct, class_distribution, sample_rows, write_observed
+from tallybayes.operators.owner import note, owning
 from tallybayes.operators.predict import class_scores, predict
 from tallybayes.operators.prepare import (
     DATASET,
@@ -26,7 +28,9 @@ from tallybayes.operators.prepare import (
     prepare,
     random_split,
     replicate,
+    spread,
 )
+from tallybayes.operators.ranks import fit_mdl_bins, fit_quantile_bins, split_stratified
 from tallybayes.operators.report import (
     DF_BASELINE,
     DF_OPTIMISED,
@@ -40,8 +44,9 @@ from tallybayes.operators.report import (
     size_label,
     speedups,
 )
+from tallybayes.operators.store import load_model, save_model
 from tallybayes.operators.train import NBModel, long_form, shared_folder, stage_table, train
-from tallybayes.sources.delimited import read_csv_table, read_text_table
+from tallybayes.sources.delimited import read_csv_table, read_text_table, read_with_rejects
 from tallybayes.sources.spec import DatasetSpec
 from tallybayes.sources.tables import (
     documents_labelled,
@@ -79,9 +84,9 @@ def fit(df: DataFrame, spec: DatasetSpec, stage: bool = False) -> tuple[NBModel,
     return train(tr), te
 
 
-def predictions(df: DataFrame, spec: DatasetSpec, scorer: str = "auto", stage: bool = False) -> DataFrame:
+def predictions(df: DataFrame, spec: DatasetSpec, scorer: str = "auto", stage: bool = False, **scoring) -> DataFrame:
     model, te = fit(df, spec, stage)
-    out = predict(te, model, spec.ids, scorer=scorer)
+    out = predict(te, model, spec.ids, scorer=scorer, **scoring)
     return out.select(*spec.ids, LABEL, "prediction", r9("score"))
 
 
@@ -565,6 +570,175 @@ def report_mean_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_winner(runs).select(r9("avg_rdd"), r9("avg_df"), "winner")
 
 
+# -- models of many classes, many values, many versions -------------------------
+def _customer_set(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DatasetSpec]:
+    """Orders labelled by their customer: a class for each."""
+    df, _ = orders_set(spark, sf_dir, extra=("o_custkey",))
+    spec = DatasetSpec("orders_customer", ("c_mktsegment", "n_name", "o_orderstatus", "o_orderpriority"), "o_custkey", ("o_orderkey",))
+    return df, spec
+
+
+def predict_many_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer of every held-out order: a class per customer, scored by posting lists (M5-M7).
+
+    Many customers have the same counts in another order: their scores are ties.
+    """
+    return predictions(*_customer_set(spark, sf_dir), scorer="sparse", tie_digits=DIGITS)
+
+
+def accuracy_many_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the customer classifier over distinct vectors."""
+    df, spec = _customer_set(spark, sf_dir)
+    model, te = fit(df, spec)
+    acc = accuracy_of_distinct(te, model, scorer="sparse", tie_digits=DIGITS)
+    return acc.select("n_test", "n_correct", r9("accuracy"))
+
+
+def accuracy_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the return-flag classifier, each distinct vector scored once."""
+    df, spec = lineitem_part(spark, sf_dir)
+    model, te = fit(df, spec)
+    return accuracy_of_distinct(te, model).select("n_test", "n_correct", r9("accuracy"))
+
+
+def _stored(spark: SparkSession, model: NBModel) -> NBModel:
+    """The model saved to shared storage and loaded again."""
+    path = shared_folder(spark, "model")
+    save_model(model, path)
+    model.release()
+    loaded = load_model(spark, path)
+    note(loaded)
+    return loaded
+
+
+def predict_size_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events scored from a stored model that is never broadcast: bucketed lookups and a salted header."""
+    df, spec = events_set(spark, sf_dir)
+    model, te = fit(df, spec)
+    out = predict(te, _stored(spark, model), spec.ids, scorer="map", max_map_bytes=0, max_dense_bytes=0)
+    return out.select(*spec.ids, LABEL, "prediction", r9("score"))
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders scored by a model that was saved and loaded (M4)."""
+    df, spec = orders_set(spark, sf_dir)
+    model, te = fit(df, spec)
+    return predict(te, _stored(spark, model), spec.ids).select(*spec.ids, LABEL, "prediction", r9("score"))
+
+
+def counts_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of orders that arrive in four parts: one twice, one withdrawn and delivered again (A2-A4)."""
+    df, spec = orders_set(spark, sf_dir)
+    store = CountStore(spark, shared_folder(spark, "counts"))
+
+    def part(i: int) -> DataFrame:
+        return prepare(df.filter(F.pmod("o_orderkey", F.lit(4)) == i), spec)
+
+    for i in (0, 1, 2, 1):
+        store.add(f"part-{i}", part(i))
+    store.snapshot()
+    store.withdraw("part-2")
+    for i in (3, 2):
+        store.add(f"part-{i}", part(i))
+    return store.counts().select(FEAT_IDX, VALUE, LABEL, "n")
+
+
+def predict_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the event-type classifier, counted by the job that writes the predictions."""
+    df, spec = events_set(spark, sf_dir)
+    model, te = fit(df, spec)
+    out = write_observed(predict(te, model, spec.ids), shared_folder(spark, "predictions"))
+    return out.select("n_test", "n_correct", r9("accuracy"))
+
+
+def spread_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt to seven partitions: partitions, rows, distinct keys, and whether none has much more than its share."""
+    orders = spread(read_table(spark, sf_dir, "orders").select("o_orderkey"), 7)
+    per = orders.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("s"))
+    return per.agg(
+        F.count("*").alias("n_parts"), F.sum("n").alias("n_rows"), F.sum("s").alias("key_sum"), (F.max("n") <= 1.2 * F.avg("n")).alias("even")
+    )
+
+
+def split_stratified_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side of every order in a split that is exact in each priority."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    tr, te = split_stratified(orders, "o_orderpriority", ["o_orderkey"])
+    return tr.withColumn("part", F.lit("train")).unionByName(te.withColumn("part", F.lit("test")))
+
+
+def _binned_counts(df: DataFrame, spec: DatasetSpec, fit_cuts) -> DataFrame:
+    tr, _ = hash_split(df, spec.ids)
+    cuts = fit_cuts(tr)
+    return train(prepare(cuts.apply(tr), spec)).counts.select(FEAT_IDX, VALUE, LABEL, "n")
+
+
+def binned_quantile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over bins between the exact quartiles of price and discount (M9)."""
+    ids = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = read_table(spark, sf_dir, "lineitem").select(*ids, "l_returnflag", "l_extendedprice", "l_discount")
+    spec = DatasetSpec("lineitem_quartiles", ("l_extendedprice", "l_discount"), "l_returnflag", ids)
+    return _binned_counts(li, spec, lambda tr: fit_quantile_bins(tr, spec.features, bins=4))
+
+
+def binned_mdl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over bins cut where unit price and discount tell tens of quantity apart (M9)."""
+    ids = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = read_table(spark, sf_dir, "lineitem").select(
+        *ids, (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"), "l_discount", F.floor(F.col("l_quantity") / 10).alias("tens")
+    )
+    spec = DatasetSpec("lineitem_mdl", ("unit_price", "l_discount"), "tens", ids)
+    return _binned_counts(li, spec, lambda tr: fit_mdl_bins(tr, spec.features, "tens"))
+
+
+def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as lines, half of them spoilt in five ways: the rows that fit, and the others with the reason."""
+    orders = read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    line = F.concat_ws(",", key.cast("string"), "o_orderstatus", "o_orderpriority")
+    spoilt = (
+        F.when(key % 10 == 0, F.concat_ws(",", key.cast("string"), "o_orderstatus"))
+        .when(key % 10 == 1, F.concat(line, F.lit(",more")))
+        .when(key % 10 == 2, F.concat(F.lit("no"), line))
+        .when(key % 10 == 3, F.lit("   "))
+        .when(key % 10 == 4, F.concat(line, F.lit(',"open')))
+        .otherwise(line)
+    )
+    path = _scratch(spark)
+    orders.select(spoilt.alias("value")).write.text(path)
+    found = read_with_rejects(spark, path, {"key": "bigint", "status": "string", "priority": "string"})
+    none = F.lit(None).cast("string")
+    good = found.accepted.select("key", "status", "priority", none.alias("line"), none.alias("reason"))
+    return good.unionByName(found.rejects.select(F.lit(None).cast("bigint").alias("key"), none.alias("status"), none.alias("priority"), "line", "reason"))
+
+
+def stream_sink_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events scored by a stream that is stopped between batches and started again: each row once (K2)."""
+    from tallybayes.streaming.sink import OnceSink, write_predictions_once
+
+    df, spec = events_set(spark, sf_dir)
+    tr, te = hash_split(df, spec.ids)
+    model = train(prepare(tr, spec))
+    base = _scratch(spark)
+    spread(te, 4).write.parquet(f"{base}/in")
+    sink = OnceSink(spark, f"{base}/out")
+
+    def start():
+        stream = spark.readStream.schema(te.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        return write_predictions_once(stream, spec, model, sink.path, f"{base}/chk", lambda p: p.select(*spec.ids, LABEL, "prediction", r9("score")))
+
+    query = start()
+    while query.isActive and not sink.committed():
+        query.awaitTermination(1)
+    query.stop()
+    query = start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return sink.read()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_lang_predict": nb_lang_predict,
     "nb_lang_accuracy": nb_lang_accuracy,
@@ -616,4 +790,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_speedup": report_speedup,
     "report_mean_by": report_mean_by,
     "report_mean_winner": report_mean_winner,
+    "predict_many_classes": predict_many_classes,
+    "accuracy_many_classes": accuracy_many_classes,
+    "predict_size_safe": predict_size_safe,
+    "counts_incremental": counts_incremental,
+    "binned_quantile_counts": binned_quantile_counts,
+    "binned_mdl_counts": binned_mdl_counts,
+    "accuracy_weighted": accuracy_weighted,
+    "split_stratified": split_stratified_q,
+    "model_roundtrip": model_roundtrip,
+    "predict_observed": predict_observed,
+    "stream_sink_restart": stream_sink_restart,
+    "scan_rejects": scan_rejects,
+    "spread_rows": spread_rows,
 }
+# a result owns what was staged for it until it is released
+QUERIES = {name: owning(query) for name, query in QUERIES.items()}

@@ -109,6 +109,7 @@ def nb_ctes(
     train_where: str = "bucket < 80",
     test_where: str = "bucket >= 80",
     scales=None,
+    ties: int | None = None,
 ) -> str:
     """Test rows are numbered, so that repeated ids stay apart. CTE chain ``base, train, test, cnt, cls, tot, voc, pri, lik, fb, sc, best``."""
     g = list(group) + (["scale"] if scales else [])
@@ -162,7 +163,7 @@ fb AS (SELECT {gsel('v')}v.feat_idx, k.label, ln(CAST(1 AS DOUBLE) / (k.n_c + v.
 sc AS (SELECT t.rid, {gsel('t')}{ids_t}t.label, p.label AS class, {terms} AS score
        FROM test t LEFT JOIN pri p ON {gon('p', 't')} {joins}),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid
-                                   ORDER BY score DESC NULLS LAST, class ASC) AS rn FROM sc) x
+                                   ORDER BY {f'round(score, {ties})' if ties else 'score'} DESC NULLS LAST, class ASC) AS rn FROM sc) x
          WHERE rn = 1)
 """
 
@@ -233,6 +234,82 @@ def _of(impl: str, agg: str = "max") -> str:
     return f"{agg}(CASE WHEN impl IN ({names}) THEN total_time END)"
 
 
+CUSTOMER_BASE = (
+    "SELECT o.o_orderkey, CAST(o.o_custkey AS VARCHAR) AS label, "
+    + _features(["c.c_mktsegment", "n.n_name", "o.o_orderstatus", "o.o_orderpriority"])
+    + f", {bucket('o.o_orderkey')} AS bucket FROM {ORDERS_FROM}"
+)
+
+
+# -- bins between cuts ----------------------------------------------------------------
+def cut_ctes(source: str, exprs, label: str, bins: int) -> str:
+    """CTEs ``train, long, cuts, cell``: training rows by column, exact quantile cuts, each row's bin."""
+    key = bucket("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    cols = ", ".join(f"{e} AS x{i}" for i, e in enumerate(exprs))
+    parts = " UNION ALL ".join(f"SELECT {i} AS g, x{i} AS x, label FROM train" for i in range(len(exprs)))
+    return f"""
+train AS (SELECT {label} AS label, {cols} FROM {source} WHERE {key} < 80),
+long AS ({parts}),
+ranked AS (SELECT g, x, row_number() OVER (PARTITION BY g ORDER BY x) AS rn, count(*) OVER (PARTITION BY g) AS n,
+                  max(x) OVER (PARTITION BY g) AS top FROM long),
+cuts AS (SELECT g, x, row_number() OVER (PARTITION BY g ORDER BY x) - 1 AS i FROM (
+           SELECT DISTINCT g, x FROM ranked, range(1, {bins}) j(j) WHERE rn = ceil(n * j / {bins}.0) AND x < top) d),
+cell AS (SELECT l.g, l.x, l.label, coalesce(c.i + 1, 0) AS cell FROM long l ASOF LEFT JOIN cuts c ON l.g = c.g AND l.x > c.x)
+"""
+
+
+def mdl_round(k: int) -> str:
+    """CTEs ``seg{k}, cut{k}``: the cells of the segments of round k, and the accepted cuts."""
+    if k == 0:
+        seg = "SELECT g, 0 AS segment, cell, label, count(*) AS n FROM cell GROUP BY ALL"
+    else:
+        seg = (
+            f"SELECT s.g, s.segment * 2 + 1 + CASE WHEN s.cell > c.cut THEN 1 ELSE 0 END AS segment, s.cell, s.label, s.n "
+            f"FROM seg{k - 1} s JOIN cut{k - 1} c ON s.g = c.g AND s.segment = c.segment"
+        )
+    return f"""
+seg{k} AS ({seg}),
+at{k} AS (SELECT DISTINCT g, segment, cell AS c FROM seg{k}
+          WHERE cell < (SELECT max(cell) FROM seg{k} m WHERE m.g = seg{k}.g AND m.segment = seg{k}.segment)),
+two{k} AS (SELECT a.g, a.segment, a.c, s.label, sum(s.n) AS w, sum(CASE WHEN s.cell <= a.c THEN s.n ELSE 0 END) AS l
+           FROM at{k} a JOIN seg{k} s ON a.g = s.g AND a.segment = s.segment GROUP BY ALL),
+sums{k} AS (SELECT *, sum(w) OVER p AS nw, sum(l) OVER p AS nl FROM two{k} WINDOW p AS (PARTITION BY g, segment, c)),
+ent{k} AS (SELECT g, segment, c, max(nw) AS nw, max(nl) AS nl, max(nw) - max(nl) AS nr,
+    count(*) AS kw, count(CASE WHEN l > 0 THEN 1 END) AS kl, count(CASE WHEN w > l THEN 1 END) AS kr,
+    -sum(w / nw * log2(w / nw)) AS ew,
+    -sum(CASE WHEN l > 0 THEN l / nl * log2(l / nl) ELSE 0 END) AS el,
+    -sum(CASE WHEN w > l THEN (w - l) / (nw - nl) * log2((w - l) / (nw - nl)) ELSE 0 END) AS er
+  FROM sums{k} GROUP BY g, segment, c),
+gain{k} AS (SELECT g, segment, c, round(ew - nl / nw * el - nr / nw * er, 12) AS gain,
+    ew - nl / nw * el - nr / nw * er > (log2(nw - 1) + log2(pow(3, kw) - 2) - (kw * ew - kl * el - kr * er)) / nw AS pays FROM ent{k}),
+cut{k} AS (SELECT g, segment, c AS cut FROM (SELECT *, row_number() OVER (PARTITION BY g, segment ORDER BY gain DESC, c) AS rn FROM gain{k}) r
+           WHERE rn = 1 AND pays)
+"""
+
+
+def mdl_sql(source: str, exprs, label: str, candidates: int, depth: int) -> str:
+    rounds = ",".join(mdl_round(k) for k in range(depth))
+    every = " UNION ".join(f"SELECT g, cut FROM cut{k}" for k in range(depth))
+    return (
+        f"WITH {cut_ctes(source, exprs, label, candidates)}, {rounds}, chosen AS ({every}) "
+        "SELECT g AS feat_idx, CAST(above AS VARCHAR) AS value, CAST(label AS VARCHAR) AS label, count(*) AS n FROM ("
+        "SELECT c.g, c.label, (SELECT count(*) FROM chosen h WHERE h.g = c.g AND c.cell > h.cut) AS above FROM cell c) a GROUP BY ALL"
+    )
+
+
+SCAN_REJECTS = """
+SELECT CAST(NULL AS BIGINT) AS key, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS priority, line, reason FROM (
+  SELECT CASE k WHEN 0 THEN o_orderkey || ',' || o_orderstatus
+                WHEN 1 THEN o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',more'
+                WHEN 2 THEN 'no' || o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority
+                WHEN 3 THEN '   '
+                ELSE o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',"open' END AS line,
+         CASE k WHEN 0 THEN 'fields: expected 3, got 2' WHEN 1 THEN 'fields: expected 3, got 4'
+                WHEN 2 THEN 'type: column key is not bigint' WHEN 3 THEN 'blank line' ELSE 'malformed' END AS reason
+  FROM (SELECT *, o_orderkey % 10 AS k FROM orders) o WHERE k < 5) r
+UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority, NULL, NULL FROM orders WHERE o_orderkey % 10 >= 5
+"""
+
 ORDERS_SET_COLS = "o.o_orderkey, o.o_orderstatus, c.c_mktsegment, n.n_name, o.o_orderpriority"
 
 
@@ -415,6 +492,33 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT round(avg(r), {R}) AS avg_rdd, round(avg(d), {R}) AS avg_df, "
             "CASE WHEN avg(r) < avg(d) THEN 'RDD' ELSE 'DataFrame' END AS winner FROM p"
         ),
+        "predict_many_classes": predictions_sql(CUSTOMER_BASE, ORDERS_IDS, 4, ties=R),
+        "accuracy_many_classes": accuracy_sql(CUSTOMER_BASE, ORDERS_IDS, 4, ties=R),
+        "predict_size_safe": predictions_sql(EVENTS_BASE, EVENTS_IDS, 3),
+        "accuracy_weighted": accuracy_sql(LINEITEM_BASE, LINEITEM_IDS, lik_m),
+        "model_roundtrip": predictions_sql(ORDERS_BASE, ORDERS_IDS, 3),
+        "predict_observed": accuracy_sql(EVENTS_BASE, EVENTS_IDS, 3),
+        "stream_sink_restart": predictions_sql(EVENTS_BASE, EVENTS_IDS, 3),
+        "counts_incremental": (
+            f"WITH {nb_ctes(ORDERS_BASE, ORDERS_IDS, 3, train_where='o_orderkey % 4 <> 2')} "
+            "SELECT CAST(feat_idx AS INTEGER) AS feat_idx, value, label, n FROM cnt"
+        ),
+        "scan_rejects": SCAN_REJECTS,
+        "spread_rows": (
+            "SELECT CAST(7 AS BIGINT) AS n_parts, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, true AS even FROM orders"
+        ),
+        "split_stratified": (
+            "SELECT o_orderkey, o_orderpriority, CASE WHEN rn <= round(n * 0.8) THEN 'train' ELSE 'test' END AS part FROM ("
+            "SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 13) AS BIGINT)) AS rn, "
+            "count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) x"
+        ),
+        "binned_quantile_counts": (
+            f"WITH {cut_ctes('lineitem', ['l_extendedprice', 'l_discount'], 'l_returnflag', 4)} "
+            "SELECT g AS feat_idx, CAST(cell AS VARCHAR) AS value, label, count(*) AS n FROM cell GROUP BY ALL"
+        ),
+        "binned_mdl_counts": mdl_sql(
+            "lineitem", ["l_extendedprice / l_quantity", "l_discount"], "CAST(floor(l_quantity / 10) AS BIGINT)", 64, 3
+        ),
         "report_pivot": (
             f"WITH rec AS ({EXPERIMENT_RECORDS}) SELECT dataset, 'map' AS impl, "
             "max(CASE WHEN size_label = 'Small' THEN accuracy END) AS Small, "

@@ -1,6 +1,6 @@
 """Sources: dataset descriptors, inline tables, delimited scans, driver tables."""
 
-from tallybayes.sources.delimited import read_csv_table, read_text_fields, read_text_table
+from tallybayes.sources.delimited import Scan, read_csv_table, read_text_fields, read_text_table, read_with_rejects
 from tallybayes.sources.fixed import (
     CAR_COLUMNS,
     CAR_ROWS,
@@ -34,6 +34,7 @@ __all__ = [
     "MUSHROOM_COLUMNS",
     "MUSHROOM_ROWS",
     "MUSHROOM_SPEC",
+    "Scan",
     "car_table",
     "documents_lang",
     "events_set",
@@ -49,5 +50,6 @@ __all__ = [
     "read_table",
     "read_text_fields",
     "read_text_table",
+    "read_with_rejects",
     "string_schema",
 ]

@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import compare  # noqa: E402
+from test_owner import left  # noqa: E402
 
 from tallybayes.plans.catalog import QUERIES  # noqa: E402
 from tallybayes.plans.oracle import oracle_sql  # noqa: E402
@@ -28,9 +29,11 @@ def test_every_query_has_oracle_or_is_rows_only():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, name):
+def test_query_matches_oracle_and_leaves_nothing(spark, name):
+    before = left(spark)
     res = compare(spark, SF_ORACLE, [name], verbose=False)[name]
     assert res[0] in ("MATCH", "ROWS_ONLY"), res
+    assert not left(spark) - before  # its result has been released
 
 
 def test_entry_runs(spark):
