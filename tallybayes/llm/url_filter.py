@@ -64,7 +64,7 @@ def verdicts(urls: DataFrame, rules: DataFrame, url: str = "url", default: str =
     spark = urls.sparkSession
     stage = Stage(spark, "url-filter")
     host, path = split_url(F.col(url))
-    h_col, p_col = fresh(urls, "url_host", "url_path")
+    h_col, p_col, r_col, v_col = fresh(urls, "url_host", "url_path", "url_rule", "url_verdict")
     pages = urls.withColumn(h_col, host).withColumn(p_col, path)
 
     # one row per rule: its host, the part of its path up to the last slash, the whole path
@@ -110,12 +110,12 @@ def verdicts(urls: DataFrame, rules: DataFrame, url: str = "url", default: str =
         F.col("r_verdict").alias("verdict"),
     )
     best = hits.groupBy("host", "path").agg(F.max(rank).alias("best"))
-    best = stage.table(best.select(F.col("host").alias(h_col), F.col("path").alias(p_col), F.col("best.rule").alias("__rule"), F.col("best.verdict").alias("__verdict")))
+    best = stage.table(best.select(F.col("host").alias(h_col), F.col("path").alias(p_col), F.col("best.rule").alias(r_col), F.col("best.verdict").alias(v_col)))
     kept = [c for c in urls.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     return pages.join(best, [h_col, p_col], "left").select(
-        *kept,
+        *[F.col(f"`{c}`") for c in kept],
         F.col(h_col).alias("host"),
         F.col(p_col).alias("path"),
-        F.col("__rule").alias("rule"),
-        F.coalesce("__verdict", F.lit(default)).alias("verdict"),
+        F.col(r_col).alias("rule"),
+        F.coalesce(v_col, F.lit(default)).alias("verdict"),
     )

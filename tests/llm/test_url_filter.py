@@ -82,3 +82,12 @@ def test_no_python_in_the_plan(spark):
     df = url_filter.verdicts(spark.sql("select * from pages_for_plan"), url_filter.rule_table(spark, URL_RULES))
     plan = df._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_clashing_and_dotted_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/es/", 5, 6, 7), (2, None, 5, 6, 7)], "page_id int, url string, __rule int, url_rule int, x int")
+    pages = pages.withColumnRenamed("x", "a.b").withColumnRenamed("url_rule", "Url_Rule")
+    out = url_filter.verdicts(pages, url_filter.rule_table(spark, URL_RULES))
+    assert out.columns == [*pages.columns, "host", "path", "rule", "verdict"]
+    got = {r["page_id"]: (r["__rule"], r["Url_Rule"], r["a.b"], r["rule"], r["verdict"]) for r in out.collect()}
+    assert got == {1: (5, 6, 7, "net/es/", "block"), 2: (5, 6, 7, None, "allow")}
