@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from tallybayes.llm._util import NO_ID, Stage, fresh, n_words
 
+FINE = 4096  # parts that an edge bucket is cut into, while
+EDGE = 100_000  # rows of a source are more than this
 PER_OCTAVE = 64
 CYCLE = (3.0, 1.0, 2.0)
 
@@ -55,9 +57,10 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = CYCLE, share: float =
     return per.select("source", "source_size", target.alias("target"))
 
 
-def uniform(doc_id: Column, seed: int) -> Column:
-    """A number in (0, 1) from the id and the seed, the same in every run and engine."""
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+def uniform(doc_id: Column, seed: int, tie: Column) -> Column:
+    """A number in (0, 1) from the id (without one, the tie) and the seed, the same in every run and engine."""
+    own = F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), tie.cast("string")), F.lit("null"))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), own).cast("binary"))
     return (F.conv(F.substring(h, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
@@ -88,8 +91,9 @@ def mix(docs: DataFrame, quality_weights: DataFrame | None = None, seed: int = 1
     else:
         rows = rows.join(quality_weights, "doc_id", "left")
         weight = F.when(F.col("weight") > 0, F.col("weight")).otherwise(1.0)
-    rows = rows.withColumn("key", -F.log(uniform(F.col("doc_id"), seed)) / weight)
-    rows = rows.withColumn("bucket", F.floor(F.log2("key") * PER_OCTAVE)).drop("weight")
+    rows = rows.withColumn("key", -F.log(uniform(F.col("doc_id"), seed, F.col("tie"))) / weight)
+    octaves = F.log2("key") * PER_OCTAVE
+    rows = rows.withColumn("bucket", F.floor(octaves)).withColumn("inside", octaves - F.floor(octaves)).drop("weight")
     place = F.struct("key", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "size", "tie")
     rows = stage.table(rows.withColumn("place", place))
 
@@ -99,23 +103,26 @@ def mix(docs: DataFrame, quality_weights: DataFrame | None = None, seed: int = 1
     goal = stage.table(goal.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")))
 
     # the bucket in which each source's budget ends: a running total over its buckets
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("inside"))
+    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     up_to = Window.partitionBy("source").orderBy("bucket")
-    sums = _with(sums.withColumn("upto", F.sum("inside").over(up_to)), goal)
+    sums = _with(sums.withColumn("upto", F.sum("words").over(up_to)), goal)
     ends = (
         sums.filter("upto >= budget")
         .groupBy("source")
-        .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("inside")).alias("before"))).alias("end"))
+        .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("end"))
         .select("source", F.col("end.bucket").alias("last"), F.col("end.before").alias("before"))
     )
     goal = stage.table(_with(goal, ends))
 
     # in that bucket, the last document that brings the total nearer the budget than leaving it out
-    edge = _with(rows, goal).filter("bucket = last")
+    edge = _with(rows, goal).filter("bucket = last").select("source", "size", "place", "inside", "before", "budget")
+    edge, past = _refined(stage.table(edge), stage)
     by_place = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = edge.withColumn("run", F.col("before") + F.sum("size").over(by_place))
-    cut = edge.filter("run - size / 2.0 <= budget").groupBy("source").agg(F.max("place").alias("cut"))
-    goal = stage.table(_with(goal, cut))
+    cut = edge.filter("run - size / 2.0 <= budget").select("source", "place")
+    for p in past:  # all of those were taken
+        cut = cut.unionByName(p)
+    goal = stage.table(_with(goal, cut.groupBy("source").agg(F.max("place").alias("cut"))))
 
     full = _with(rows, goal)
     # no last bucket: the budget is above the sum of all sizes, by rounding alone
@@ -128,6 +135,31 @@ def mix(docs: DataFrame, quality_weights: DataFrame | None = None, seed: int = 1
     )
 
 
+def _refined(edge: DataFrame, stage: Stage) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of the last buckets cut finer until few are left, and the greatest places below what is left.
+
+    A bucket is cut into ``FINE`` parts by the next bits of its keys, up to three times, by the same
+    running total; so what is ordered in one task stays about ``EDGE`` rows however
+    large a source is (unless keys are equal, as those of repeated ids).
+    """
+    past = []
+    for level in (1, 2, 3):
+        most = edge.groupBy("source").agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+        if most <= EDGE:
+            break
+        edge = edge.withColumn("part", F.floor(F.col("inside") * float(FINE) ** level))
+        sums = edge.groupBy("source", "part", "before", "budget").agg(F.sum("size").alias("words"))
+        upto = F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("part"))
+        sums = sums.withColumn("upto", upto).filter("upto >= budget").groupBy("source")
+        ends = sums.agg(F.min(F.struct("part", (F.col("upto") - F.col("words")).alias("b"))).alias("end"))
+        ends = stage.table(ends.select("source", F.col("end.part").alias("last_part"), F.col("end.b").alias("past")))
+        edge = _with(edge, ends)
+        past.append(stage.table(edge.filter("part < last_part").groupBy("source").agg(F.max("place").alias("place"))))
+        here = edge.filter("part = last_part").withColumn("before", F.col("past"))
+        edge = stage.table(here.select("source", "size", "place", "inside", "before", "budget"))
+    return edge, past
+
+
 def _with(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join on source, null equal to null. One row a source on the right; Spark broadcasts it if its size allows."""
     common = [c for c in right.columns if c in left.columns and c != "source"]

@@ -109,3 +109,16 @@ def test_repeated_rows_are_taken_alike_and_empty_tables(spark, make_docs):
 def test_quality_weights(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (None, 1), (3, None)], "doc_id long, quality int")
     assert {r["doc_id"]: r["weight"] for r in mixing.quality(labels).collect()} == {1: 0.5, 2: 2.0}
+
+
+def test_edge_buckets_are_cut_finer(spark, make_docs, monkeypatch):
+    data = [(i if i % 3 else None, f"t{i} " + " ".join(["w"] * (i % 7)), "hot" if i % 4 else "b") for i in range(600)]
+    docs = make_docs(data)
+    want = sorted(map(str, mixing.mix(docs).collect()))
+    assert len({r["taken"] for r in mixing.mix(docs).filter("doc_id is null").collect()}) > 1  # rows without an id differ in their keys
+    monkeypatch.setattr(mixing, "PER_OCTAVE", 1)  # large buckets
+    coarse = sorted(map(str, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "EDGE", 2)
+    monkeypatch.setattr(mixing, "FINE", 8)
+    fine = mixing.mix(docs)
+    assert sorted(map(str, fine.collect())) == coarse == want
