@@ -137,7 +137,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, held_o
 
     ``labels`` has doc_id and toxic (1 marks toxic; a repeated id counts as
     toxic if any of its rows says so; null labels and ids are left out). At
-    most ``max_train`` rows are read, those with the smallest hash of the id.
+    most ``max_train`` rows are read, those with the smallest hash of the id,
+    then of the text; where ids repeat, rows equal in both count once.
     """
     prepare(docs.sparkSession)
     rows = labels.filter("doc_id is not null and toxic is not null")
@@ -147,7 +148,11 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, held_o
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)  # bounded: broadcast
     bag = F.pandas_udf(_bag, "binary")
     texts = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
-    got = texts.select("doc_id", "y", bag("text").alias("bag")).limit(max_train).toPandas()
+    if docs.select("doc_id").join(F.broadcast(rows), "doc_id").count() > max_train:  # ids repeat
+        texts = texts.withColumn("h", F.xxhash64("text"))
+        first = texts.select("doc_id", "h").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(max_train)
+        texts = texts.join(F.broadcast(first), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
+    got = texts.select("doc_id", "y", bag("text").alias("bag")).toPandas()  # max_train rows at most
     # order by content, so that the fit does not depend on how rows arrive
     got = got.sort_values(["doc_id", "bag"]).reset_index(drop=True)
     return fit(got["bag"].tolist(), got["y"].to_numpy())

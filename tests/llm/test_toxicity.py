@@ -66,3 +66,14 @@ def test_the_sample_is_bounded(spark, make_docs):
     rows, labels, _ = corpus(80)
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
     assert toxicity.train(make_docs(rows), lab, max_train=30).rows <= 30
+
+
+def test_repeated_ids_beyond_the_sample(spark, make_docs):
+    rows, labels, _ = corpus(60)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    more = [(i, t + f" again {k}") for i, t in rows for k in range(4)]
+    docs = make_docs(rows + rows + more)
+    one = toxicity.train(docs, lab, max_train=40)
+    two = toxicity.train(docs.repartition(11), lab, max_train=40)
+    assert one.rows == two.rows == 40
+    assert np.array_equal(one.bucket, two.bucket) and one.bias == two.bias
