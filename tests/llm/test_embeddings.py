@@ -112,7 +112,7 @@ def test_lists_hold_every_direction_above_the_height():
 @pytest.mark.parametrize("small", [False, True])
 def test_top_k_equals_brute_force(spark, monkeypatch, small):
     if small:  # many cells, groups and blocks
-        for name, value in (("CELL", 10), ("GROUP", 7), ("BLOCK", 9)):
+        for name, value in (("_pivot_count", lambda n: n // 10), ("GROUP_BYTES", 7 * 8 * 8), ("BLOCK", 9)):
             monkeypatch.setattr(exact_knn, name, value)
     rows = table(seed=2, n=150)
     rows += [(500 + i, v, 1) for i, v in enumerate(ODD)] + [(None, rows[0][1], 0), (700, rows[0][1], 0), (702, rows[0][1], 0)]
@@ -140,7 +140,7 @@ def neighbours(rows, every, k=5):
 
 
 def test_top_k_of_a_zero_vector_among_small_cells(spark, monkeypatch):
-    monkeypatch.setattr(exact_knn, "CELL", 1)  # a cell for each vector
+    monkeypatch.setattr(exact_knn, "_pivot_count", lambda n: n)  # a cell for each vector
     rows = [(i, [float(i), 1.0, 0.0], 0) for i in range(1, 8)] + [(10, [0.0] * 3, 0), (20, [0.001] * 3, 0)]
     rows += [(30, [0.0] * 2, 0), (31, [1.0, 2.0], 0), (32, [2.0, -1.0], 0)]  # a length with fewer than k others
     got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, k=5).collect()
@@ -149,7 +149,7 @@ def test_top_k_of_a_zero_vector_among_small_cells(spark, monkeypatch):
 
 def test_top_k_of_an_id_repeated_over_many_cells(spark, monkeypatch):
     """A query's own rows, in one cell or in many, don't bound its k-th best score."""
-    monkeypatch.setattr(exact_knn, "CELL", 1)  # a cell for each vector
+    monkeypatch.setattr(exact_knn, "_pivot_count", lambda n: n)  # a cell for each vector
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=6)], 0) for i in range(1, 61) if i % 50]
     rows += [(100, [30.0, 0.0, 0.0, 0.0, 0.0, 0.0], 0)] * 8  # equal rows
@@ -159,7 +159,7 @@ def test_top_k_of_an_id_repeated_over_many_cells(spark, monkeypatch):
 
 
 def test_queries_of_equal_vectors_are_dealt_to_all_pieces(spark, monkeypatch):
-    monkeypatch.setattr(exact_knn, "GROUP", 8)
+    monkeypatch.setattr(exact_knn, "GROUP_BYTES", 8 * 3 * 8)
     real = exact_knn._solve
 
     def counted(k):
@@ -176,3 +176,23 @@ def test_queries_of_equal_vectors_are_dealt_to_all_pieces(spark, monkeypatch):
     rows = [(i, [1.0, 2.0, 3.0], 0) for i in range(1, 65)]
     got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") > 0, k=5).collect()
     assert sorted(tuple(r) for r in got) == neighbours(rows, 1)
+
+
+def test_clustered_vectors_are_pruned_and_others_sent_once_a_group(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    heads = rng.normal(size=(30, 8))
+    heads *= 40 / np.linalg.norm(heads, axis=1, keepdims=True)
+    rows = [(i, [float(np.float32(x)) for x in heads[i % 30] + rng.normal(size=8)], 0) for i in range(1500)]
+    monkeypatch.setattr(exact_knn, "GROUP_BYTES", 8 * 8 * 4)  # few queries a group
+    monkeypatch.setattr(exact_knn, "BLOCK", 200)
+    seen = {}
+    got = exact_knn.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, k=5, seen=seen).collect()
+    assert sorted(tuple(r) for r in got) == neighbours(rows, 50)
+    assert seen["needed"] < 0.5 * seen["pairs"], seen
+    assert seen["sent"] < 0.4 * seen["rows"], seen
+    # without clusters nothing can be left out: one group, and each vector is sent once
+    monkeypatch.undo()
+    flat = [(i, [float(np.float32(x)) for x in rng.normal(size=24)], 0) for i in range(400)]
+    got = exact_knn.top_k(spark.createDataFrame(flat, SCHEMA), F.col("vec_id") % 50 == 0, k=5, seen=seen).collect()
+    assert sorted(tuple(r) for r in got) == neighbours(flat, 50)
+    assert seen["sent"] <= seen["rows"] == 400
