@@ -287,9 +287,15 @@ def index(rows: DataFrame, stage: Stage, k: int = 10, vector: str = "embedding")
     shards = F.coalesce(*[F.when(F.col("dim") == d, F.lit(s)) for d, s in sizes.items()], F.lit(1))
     classes = classes.withColumn("shard", F.pmod("h1", shards).cast("int"))
     schema = "dim int, h0 long, h1 long, vector array<double>, ids array<long>, shard int, place int, edges array<int>"
+    # a graph costs more than its bytes show: not to be coalesced by size
+    classes = classes.repartition(max(_tasks(rows), sum(sizes.values())), "dim", "shard")
     return stage.table(classes.groupBy("dim", "shard").applyInPandas(_graph, schema))
 
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 10, beam: int = BEAM, vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each query row the ``k`` nearest rows found, nearest first.
 
@@ -317,6 +323,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, beam: int = BEAM, ve
     nodes = graphs.select("dim", "shard", "vector", "ids", "place", "edges")
     nodes = nodes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, blocks) - 1))))
     by = ["dim", "shard", "block"]
+    asked, nodes = (x.repartition(_tasks(rows), *by) for x in (asked, nodes))  # searches, too, cost more than their bytes
     found = asked.groupBy(*by).cogroup(nodes.groupBy(*by)).applyInPandas(_found(k, beam), "query_id long, tie long, vec_id long, score double")
     best = Window.partitionBy("query_id", "tie").orderBy("score", "vec_id")
     found = found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
