@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybayes.operators.owner import delete_folder, note_folder
+
 # ASCII white space: the separators of [^\x20\x09-\x0D]+
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -32,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
@@ -78,12 +80,14 @@ class Stage:
     """Tables written to the shared folder: they outlive lost executors and cut lineage.
 
     ``drop`` removes a table that no later plan reads. What a returned lazy
-    DataFrame still reads stays until the folder's owner clears it.
+    DataFrame still reads stays until its owner is released: an open ``Scope``, or
+    the result of a registered query.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        note_folder(self.base)
         self.paths: dict[int, str] = {}
         self.tables: list[DataFrame] = []  # alive, so that their ids stay theirs
 
@@ -97,10 +101,8 @@ class Stage:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm, sc = self.spark.sparkContext._jvm, self.spark.sparkContext
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths[id(t)])
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(self.spark, self.paths[id(t)])
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -101,4 +101,44 @@ SELECT d.doc_id, h.licenses, round(h.best, 9) AS best_dice FROM documents d LEFT
 """
 
 
-ORACLE_SQL = {"op2_source_mix": _MIX, "op3_url_filter": _URL, "op8_license_scan": _license_sql()}
+# every window as a digest of its words, and the smallest document that has it
+_REPEATS = r"""
+WITH w AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i, len(ws) AS n
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents WHERE text IS NOT NULL) t
+),
+h AS (
+  SELECT *, CASE WHEN i + 49 <= n THEN
+    md5(string_agg(w, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) END AS k FROM w
+),
+f AS (SELECT k, min(doc_id) AS low FROM h WHERE k IS NOT NULL GROUP BY k),
+m AS (
+  SELECT h.doc_id, h.i, h.w, max(CASE WHEN f.low < h.doc_id THEN 1 ELSE 0 END)
+    OVER (PARTITION BY h.doc_id ORDER BY h.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM h LEFT JOIN f ON h.k = f.k
+),
+r AS (
+  SELECT doc_id, count(*) AS n_words, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(w, ' ' ORDER BY i) FILTER (gone = 0) AS kept
+  FROM m GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(r.n_words, 0) AS n_words, coalesce(r.n_removed, 0) AS n_removed, sha256(coalesce(r.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN r USING (doc_id)
+"""
+
+_TOP = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s) x WHERE rn <= 5
+"""
+
+
+ORACLE_SQL = {
+    "op1_substring_dedup": _REPEATS, "op2_source_mix": _MIX, "op3_url_filter": _URL, "op7_exact_knn": _TOP, "op8_license_scan": _license_sql(),
+}

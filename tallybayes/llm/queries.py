@@ -10,6 +10,7 @@ from tallybayes.llm import (
     bpe, embedding_dedup, exact_knn, license_scan, mixing, ngram_lm, periodic_runs, pruned_graph, simhash, substring_dedup, toxicity, url_filter, whitening,
 )
 from tallybayes.llm._util import prepare
+from tallybayes.operators.owner import owning
 
 # fixed values of the contract
 URL_RULES = (
@@ -134,4 +135,4 @@ _ALL = (
     op1_substring_dedup, op2_source_mix, op3_url_filter, op4_bpe, op5_ngram_lm, op6_simhash, op7_exact_knn, op8_license_scan,
     op9_embedding_dedup, op10_toxicity, op11_pruned_graph, op12_whitening, op13_periodic_runs,
 )
-QUERIES = {f.__name__: f for f in _ALL}
+QUERIES = {f.__name__: owning(f) for f in _ALL}
