@@ -11,12 +11,18 @@ the counts of all training documents.
 How it runs. Documents are read once, into batches of about ``BATCH`` bytes:
 the distinct words of a batch as 64-bit hashes, its tokens as indexes into
 them. A batch asks for the counts of what it holds: it deals its sorted keys to
-buckets of the hash range, a bucket adds up what all batches report and
-answers each of them in the order of its question. Words make one such round,
-bigrams another. After that a batch knows every count its tokens need and
-works alone. A key is in a bucket once a batch, however frequent it is, so no
-word or pair makes a task hot; nothing is broadcast but the weights, and the
-driver sees totals and a histogram with a bounded number of cells.
+buckets of the hash range, a bucket adds up what is reported and answers each
+asker in the order of its question. Words make one such round, bigrams another.
+After that a batch knows every count its tokens need and works alone.
+
+A bucket hears at most about ``FAN`` askers. Where there are more batches,
+``FAN`` of them are added up bucket by bucket to one asker of the next level,
+which deals its keys to finer buckets, and so on up to one top; answers come
+back down the same way. So a frequent word reaches a bucket at most ``FAN``
+times, a question holds thousands of keys at every level, and no group grows
+with the input: 100 TB are four levels. Tasks are as many as their bytes ask
+for. Nothing is broadcast but the weights, and the driver sees totals and a
+histogram with a bounded number of cells.
 """
 
 from __future__ import annotations
@@ -33,10 +39,15 @@ from pyspark.sql import functions as F
 from tallybayes.llm._util import Stage, Words, mix64, prepare
 
 BATCH = 4 << 20
-PER_BUCKET = 1 << 20  # keys, summed over batches
+PER_BUCKET = 1 << 20  # keys, summed over askers
+FAN = 256  # askers that a bucket hears
+TASK_KEYS = 4 << 20  # keys of a task's buckets: some 40 MB
+TASK_BATCHES = 4
 END, BEGIN = np.uint64(1), np.uint64(2)  # hashes of the end token and of the context before the first
 SCORED, COUNTED, DELETED = 0, 1, 2  # held out; counts; weights
 GRID = 4  # cells of the histogram for each doubling of an estimate
+QUESTION = "batch long, parent long, bucket long, keys binary, main binary, held binary"
+MERGED = "batch long, keys binary, main binary, held binary"
 ANSWER = "batch long, bucket long, kind int, main binary, every binary, n_main long, n_all long, v_main long, v_all long"
 
 
@@ -144,43 +155,93 @@ class Batch:
         return keys, *out, index
 
 
-def _ask(kind: int, buckets: int):
-    """Batches to questions: one row for each bucket that the batch has keys in."""
-    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+def parent_of(asker: int, groups: int) -> int:
+    """The asker of the next level that speaks for this one."""
+    return int(mix64(np.array([asker], np.uint64), 11)[0]) % groups
+
+
+def _deal(asker: int, keys: np.ndarray, main: np.ndarray, held: np.ndarray, bits: int, groups: int) -> pd.DataFrame:
+    """Sorted keys and their counts as questions: a row for each bucket (the first ``bits`` bits) that has some."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    spans = list(zip(first, [*first[1:], len(keys)], strict=True))
+    return pd.DataFrame(
+        {
+            "batch": asker,
+            "parent": parent_of(asker, groups),
+            "bucket": bucket[first],
+            "keys": [keys[a:z].astype("<u8").tobytes() for a, z in spans],
+            "main": [pack(main[a:z]) for a, z in spans],
+            "held": [pack(held[a:z]) for a, z in spans],
+        }
+    )
+
+
+def _ask(kind: int, bits: int, groups: int):
+    """Batches to questions."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             for row in rows.to_dict("records"):
                 b = Batch.of(row)
-                keys, main, held = (b.words() if kind == 1 else b.pairs())[:3]
-                cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                spans = [(i, a, z) for i, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > a]
-                yield pd.DataFrame(
-                    {
-                        "batch": row["batch"],
-                        "bucket": [i for i, _, _ in spans],
-                        "keys": [keys[a:z].astype("<u8").tobytes() for _, a, z in spans],
-                        "main": [pack(main[a:z]) for _, a, z in spans],
-                        "held": [pack(held[a:z]) for _, a, z in spans],
-                    }
-                )
+                yield _deal(row["batch"], *(b.words() if kind == 1 else b.pairs())[:3], bits, groups)
+
+    return run
+
+
+def _ask_on(bits: int, groups: int):
+    """Sums of a level to questions of the next one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for row in rows.to_dict("records"):
+                keys = np.frombuffer(row["keys"], "<u8")
+                yield _deal(row["batch"], keys, unpack(row["main"]), unpack(row["held"]), bits, groups)
+
+    return run
+
+
+def _union(questions) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(distinct keys, each asked key's place among them, where one question ends and the next begins)."""
+    keys = [np.frombuffer(k, "<u8") for k in questions]
+    known, index = np.unique(np.concatenate(keys), return_inverse=True)
+    return known, index, np.cumsum([len(k) for k in keys])[:-1].tolist()
+
+
+def _merge(rows: pd.DataFrame) -> pd.DataFrame:
+    """All questions of a parent in a bucket to their sum."""
+    known, index, _ = _union(rows["keys"])
+    sums = [np.bincount(index, np.concatenate([unpack(x) for x in rows[c]]), len(known)).astype(np.int64) for c in ("main", "held")]
+    return pd.DataFrame(
+        {"batch": [int(rows["parent"].iloc[0])], "keys": [known.astype("<u8").tobytes()], "main": [pack(sums[0])], "held": [pack(sums[1])]}
+    )
+
+
+def _pass_on(kind: int):
+    """The questions of a parent in a bucket, and what the parent was told, to answers in the order of each question."""
+
+    def run(asked: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        _, index, cuts = _union(asked["keys"])
+        told = told.sort_values("fine")
+        out = {"batch": asked["batch"].to_numpy(), "bucket": asked["bucket"].to_numpy(), "kind": kind}
+        for c in ("main", "every"):
+            counts = np.concatenate([unpack(x) for x in told[c]])
+            out[c] = [pack(x) for x in np.split(counts[index], cuts)]
+        return pd.DataFrame({**out, "n_main": 0, "n_all": 0, "v_main": 0, "v_all": 0})
 
     return run
 
 
 def _answer(kind: int):
-    """All questions of a bucket to their answers, and a row of the bucket's totals (batch null)."""
+    """All questions of a bucket at the top to their answers, and a row of the bucket's totals (batch null)."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, "<u8") for k in rows["keys"]]
-        size = [len(k) for k in keys]
-        known, index = np.unique(np.concatenate(keys), return_inverse=True)
+        known, index, cuts = _union(rows["keys"])
         totals = []
         for c in ("main", "held"):
             each = np.concatenate([unpack(x) for x in rows[c]])
             totals.append(np.bincount(index, each, len(known)).astype(np.int64))
         main, held = totals
-        cuts = np.cumsum(size)[:-1]
         out = pd.DataFrame(
             {
                 "batch": rows["batch"].to_numpy(),
@@ -312,6 +373,48 @@ def _scores(t: Totals, weights: np.ndarray):
     return run
 
 
+def _tasks(spark, size: int, each: int) -> int:
+    """Tasks for ``size`` things of which one task takes about ``each``; not fewer than the session's."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
+
+
+def _round(stage: Stage, rows: DataFrame, kind: int) -> tuple[DataFrame, DataFrame]:
+    """Every batch's answers (of words, kind 1, or bigrams, kind 2), and the rows of totals."""
+    spark = rows.sparkSession
+    size = F.octet_length("vocab") / 8 if kind == 1 else F.col("n")
+    askers, keys = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)).cast("long")).first()
+    below, source, bits = [], None, 3  # below: questions of each level that were added up, and their buckets' bits
+    while True:
+        groups = max(1, -(-askers // FAN))
+        bits = max(bits, (keys // groups // PER_BUCKET).bit_length())  # finer from level to level: buckets nest
+        tasks = _tasks(spark, keys, TASK_KEYS)
+        if source is None:
+            asked = rows.mapInPandas(_ask(kind, bits, groups), QUESTION)
+        else:
+            asked = source.mapInPandas(_ask_on(bits, groups), QUESTION)
+        if groups == 1:
+            break
+        asked = stage.table(asked)
+        below.append((asked, bits, tasks))
+        near = asked.repartition(tasks, "parent", "bucket")
+        source = stage.table(near.groupBy("parent", "bucket").applyInPandas(_merge, MERGED))
+        askers, keys = groups, source.agg(F.sum(F.octet_length("keys") / 8).cast("long")).first()[0]
+    top = stage.table(asked.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(_answer(kind), ANSWER))
+    answers, fine = top, bits
+    for asked, bits, tasks in reversed(below):
+        told = answers.filter("batch >= 0").select(
+            F.col("batch").alias("parent"),
+            F.shiftright("bucket", fine - bits).alias("bucket"),
+            F.col("bucket").alias("fine"),
+            "main",
+            "every",
+        )
+        pair = [x.repartition(tasks, "parent", "bucket").groupBy("parent", "bucket") for x in (asked, told)]
+        answers = stage.table(pair[0].cogroup(pair[1]).applyInPandas(_pass_on(kind), ANSWER))
+        fine = bits
+    return answers, top.filter("batch < 0")
+
+
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row for each row of ``docs``.
 
@@ -330,21 +433,16 @@ def score(docs: DataFrame) -> DataFrame:
     rows = texts.mapInPandas(_batches, schema)
     rows = stage.table(rows.withColumn("batch", F.monotonically_increasing_id()))  # fixed once written
 
-    def round_of(kind: int) -> DataFrame:
-        size = F.octet_length("vocab") / 8 if kind == 1 else F.col("n")
-        keys = rows.agg(F.sum(size)).first()[0] or 0
-        buckets = max(8, -(-int(keys) // PER_BUCKET))
-        asked = rows.mapInPandas(_ask(kind, buckets), "batch long, bucket long, keys binary, main binary, held binary")
-        return stage.table(asked.groupBy("bucket").applyInPandas(_answer(kind), ANSWER))
-
-    words = round_of(1)
-    total = words.filter("batch < 0").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_main", "n_all", "v_main", "v_all")])
+    words, totals = _round(stage, rows, 1)
+    total = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_main", "n_all", "v_main", "v_all")])
     t = Totals(**total.first().asDict())
-    pairs = round_of(2)
+    pairs, _ = _round(stage, rows, 2)
     answers = words.unionByName(pairs).filter("batch >= 0")
+    tasks = _tasks(spark, rows.count(), TASK_BATCHES)
 
     def told(counts: str):  # each pass moves the one column that it needs
-        return rows.groupBy("batch").cogroup(answers.select("batch", "bucket", "kind", F.col(counts).alias("counts")).groupBy("batch"))
+        own = answers.select("batch", "bucket", "kind", F.col(counts).alias("counts"))
+        return rows.repartition(tasks, "batch").groupBy("batch").cogroup(own.repartition(tasks, "batch").groupBy("batch"))
 
     both = told("main")
     cells = both.applyInPandas(_histogram(t), "b long, x2 long, x1 long, n long")
