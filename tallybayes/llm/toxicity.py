@@ -7,10 +7,11 @@ text is the average of its words; a softmax over two classes reads that
 average. Embeddings and softmax are fitted together by Adam. A misspelling that
 was never seen shares most n-grams with the word it comes from.
 
-The fit reads a bounded sample of labelled rows (``max_train``, those with the
-smallest hash of their id). Executors turn each sampled text into its bag of
-buckets, which has at most ``BUCKETS`` entries, so what reaches the driver is
-bounded whatever the lengths of the texts. Scoring reads every text whole on
+The fit reads a bounded sample of labelled rows: those with the smallest hash of
+their id, ``max_train`` rows and ``max_bytes`` of bags at most. Executors turn each
+sampled text, whole, into its bag of buckets, which has at most ``BUCKETS``
+entries, and stage the bags; the driver reads their sizes first and then no more
+of them than the bound, whatever the lengths of the texts. Scoring reads every text whole on
 the executors: as the softmax is linear, each bucket has one number, a word the
 average of its buckets' numbers, a text the average of its words'.
 """
@@ -27,12 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tallybayes.llm._util import prepare
+from tallybayes.llm._util import Stage, prepare
 
 BUCKETS = 1 << 15
 DIM = 8
 GRAMS = (3, 4, 5)
 MAX_TRAIN = 8000
+MAX_BYTES = 96 << 20  # of bags that the fit reads; one has 128 KiB and 4 bytes at most
 STEPS = 320  # at least 10 passes
 MAX_WORDS = 400_000  # words whose numbers a worker holds before it starts anew
 EDGES = ".,;:!?\"'()[]{}|#*%&$~<>"
@@ -132,15 +134,29 @@ def fit(bags: list[bytes], labels: np.ndarray, batch: int = 256, rate: float = 0
     return Model(float(scale) * (p[0].astype(np.float64) @ slope), float(p[2][1] - p[2][0]), n)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, held_out: int | None = 0) -> Model:
+def _within(bags: DataFrame, max_bytes: int) -> DataFrame:
+    """The first bags, by hash of the id, then id, then hash of the bag, that have ``max_bytes`` together; equal ones go together."""
+    place = {"k": F.xxhash64("doc_id"), "i": F.col("doc_id"), "h": F.xxhash64("bag")}
+    sizes = bags.select(*[c.alias(n) for n, c in place.items()], F.length("bag").alias("n")).toPandas()  # four numbers a row
+    total = sizes.groupby(["k", "i", "h"])["n"].sum().sort_index().cumsum()
+    fits = total[total <= max_bytes]
+    if not len(fits):
+        return bags.limit(0)
+    last = [F.lit(int(v)).cast(t) for v, t in zip(fits.index[-1], ("long", dict(bags.dtypes)["doc_id"], "long"), strict=True)]
+    return bags.filter(F.struct(*[c.alias(n) for n, c in place.items()]) <= F.struct(*[v.alias(n) for n, v in zip(place, last, strict=True)]))
+
+
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, held_out: int | None = 0, max_bytes: int = MAX_BYTES) -> Model:
     """Fit on labelled documents; ``held_out`` is the remainder of crc32(id) mod 5 that is left out.
 
     ``labels`` has doc_id and toxic (1 marks toxic; a repeated id counts as
     toxic if any of its rows says so; null labels and ids are left out). At
     most ``max_train`` rows are read, those with the smallest hash of the id,
-    then of the text; where ids repeat, rows equal in both count once.
+    then of the text; where ids repeat, rows equal in both count once. Of their
+    bags the first ``max_bytes`` are used, so long texts make the sample smaller.
     """
     prepare(docs.sparkSession)
+    stage = Stage(docs.sparkSession, "toxicity")
     rows = labels.filter("doc_id is not null and toxic is not null")
     if held_out is not None:
         rows = rows.filter(split(F.col("doc_id")) != held_out)
@@ -152,7 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, held_o
         texts = texts.withColumn("h", F.xxhash64("text"))
         first = texts.select("doc_id", "h").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(max_train)
         texts = texts.join(F.broadcast(first), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
-    got = texts.select("doc_id", "y", bag("text").alias("bag")).toPandas()  # max_train rows at most
+    bags = stage.table(texts.select("doc_id", "y", bag("text").alias("bag")))
+    got = _within(bags, max_bytes).toPandas()  # max_train rows and max_bytes at most
+    stage.drop(bags)
     # order by content, so that the fit does not depend on how rows arrive
     got = got.sort_values(["doc_id", "bag"]).reset_index(drop=True)
     return fit(got["bag"].tolist(), got["y"].to_numpy())
@@ -197,6 +215,9 @@ def scored(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Da
     """(doc_id, held_out, score, predicted), a row for each row of ``docs``.
 
     Only the text enters the score. A null id is in no split: held_out false.
+    Null and empty texts score as the bias alone; very long ones are read whole;
+    repeated rows score alike; an empty table gives an empty result. Other columns,
+    whatever their names, are not read.
     """
     prepare(docs.sparkSession)
     model = train(docs, labels, max_train)

@@ -1,8 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
+import zlib
 
 import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from tallybayes.llm import toxicity
 
@@ -77,3 +82,100 @@ def test_repeated_ids_beyond_the_sample(spark, make_docs):
     two = toxicity.train(docs.repartition(11), lab, max_train=40)
     assert one.rows == two.rows == 40
     assert np.array_equal(one.bucket, two.bucket) and one.bias == two.bias
+
+
+def plain_parts(word):
+    """Buckets of a word: the marked word, and each stretch of 3 to 5 of its letters."""
+    marked = "<" + word.strip(".,;:!?\"'()[]{}|#*%&$~<>") + ">"
+    parts = [marked] + [marked[a : a + n] for n in (3, 4, 5) for a in range(len(marked)) if a + n <= len(marked)]
+    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % 32768 for p in parts]
+
+
+def plain_bag(text):
+    """Share of each bucket: every word of the text weighs the same, and so does every part of a word."""
+    bag, got = {}, (text or "").lower().split()
+    for w in got:
+        parts = plain_parts(w)
+        for p in parts:
+            bag[p] = bag.get(p, 0.0) + 1 / len(parts) / len(got)
+    return bag
+
+
+TEXTS = [None, "", " \n", "Kind words, kindly said.", "a", "!!! ...", "ÉTÉ été \U0001f600 x", "vile (vile) VILE!", "long " * 30_000 + "end", "same", "same"]
+
+
+def test_bags_and_scores_equal_a_plain_restatement(spark, make_docs):
+    for text, packed in zip(TEXTS, toxicity._bag(pd.Series(TEXTS, dtype=object)), strict=True):
+        n = (len(packed) - 4) // 4
+        top = np.frombuffer(packed, "<f4", 1)[0]
+        got = dict(zip(np.frombuffer(packed, "<u2", n, 4).tolist(), (np.frombuffer(packed, "<f2", n, 4 + 2 * n) * float(top)).tolist(), strict=True))
+        want = plain_bag(text)
+        assert got.keys() == want.keys() and all(got[b] == pytest.approx(want[b], rel=2e-3, abs=1e-7) for b in want)
+    rng = np.random.default_rng(5)
+    model = toxicity.Model(rng.normal(0, 3, toxicity.BUCKETS), -0.4, 1)
+    docs = make_docs(list(enumerate(TEXTS))).withColumn("y", F.lit(1)).withColumn("toxic_score", F.lit("x"))
+    got = {r["doc_id"]: r["p"] for r in docs.select("doc_id", toxicity.score(F.col("text"), model, spark).alias("p")).collect()}
+    for i, text in enumerate(TEXTS):
+        z = -0.4 + sum(share * model.bucket[b] for b, share in plain_bag(text).items())
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)
+
+
+def test_the_fit_equals_adam_by_its_formula():
+    """Embeddings and softmax fitted once more, text by text and in double precision."""
+    rows, labels, _ = corpus(12, seed=9)
+    texts, y = [" ".join(t.split()[:25]) for _, t in rows], np.array([v for _, v in labels])
+    model = toxicity.fit(list(toxicity._bag(pd.Series(texts))), y, batch=5)
+    bags = [plain_bag(t) for t in texts]
+    used = sorted(set().union(*bags))
+    place = {b: k for k, b in enumerate(used)}
+    rng, epochs, steps = np.random.default_rng(7), 320 // 3, 0
+    e = rng.normal(0, 0.1, (32768, 8))[used]
+    u = rng.normal(0, 0.3, (8, 2))
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    c = np.array([0, math.log(share / (1 - share))])
+    param = [e, u, c]
+    one, two = [np.zeros_like(p) for p in param], [np.zeros_like(p) for p in param]
+    for epoch in range(epochs):
+        order = rng.permutation(len(y))
+        for first in range(0, len(y), 5):
+            pick = order[first : first + 5]
+            grad = [1e-4 * param[0], np.zeros_like(u), np.zeros_like(c)]
+            for i in pick:
+                h = sum(30 * s * param[0][place[b]] for b, s in bags[i].items())
+                z = h @ param[1] + param[2]
+                q = np.exp(z - z.max())
+                q = q / q.sum() - (np.arange(2) == y[i])
+                back = param[1] @ q / len(pick)
+                for b, s in bags[i].items():
+                    grad[0][place[b]] += 30 * s * back
+                grad[1] += np.outer(h, q) / len(pick)
+                grad[2] += q / len(pick)
+            steps += 1
+            for k in range(3):
+                one[k] = 0.9 * one[k] + 0.1 * grad[k]
+                two[k] = 0.999 * two[k] + 0.001 * grad[k] ** 2
+                param[k] = param[k] - 0.05 * (1 - epoch / epochs) * (one[k] / (1 - 0.9**steps)) / (np.sqrt(two[k] / (1 - 0.999**steps)) + 1e-8)
+    assert steps == 3 * epochs
+    for bag, toxic in zip(bags, y, strict=True):
+        h = sum(30 * s * param[0][place[b]] for b, s in bag.items())
+        z = h @ param[1] + param[2]
+        mine = model.bias + sum(s * model.bucket[b] for b, s in bag.items())
+        assert 1 / (1 + math.exp(-mine)) == pytest.approx(1 / (1 + math.exp(z[0] - z[1])), abs=0.02)
+        assert (mine > 0) == bool(toxic)
+
+
+def test_the_sample_is_bounded_by_bytes(spark, make_docs):
+    rows, labels, _ = corpus(60)
+    rows += [(1000 + i, " ".join(f"w{i}x{j}" for j in range(5000))) for i in range(6)]  # long texts: large bags
+    lab = spark.createDataFrame(labels + [(1000 + i, i % 2) for i in range(6)], "doc_id long, toxic int")
+    docs = make_docs(rows)
+    size = {i: len(b) for (i, t), b in zip(rows, toxicity._bag(pd.Series([t for _, t in rows])), strict=True)}
+    learn = [i for i in size if zlib.crc32(str(i).encode()) % 5 != 0]
+    order = [r["id"] for r in spark.createDataFrame([(i,) for i in learn], "id long").orderBy(F.xxhash64("id"), "id").collect()]
+    for share in (0.0, 0.3, 0.7, 1.0):
+        bound = int(share * sum(size[i] for i in learn))
+        want = sum(np.cumsum([size[i] for i in order]) <= bound)
+        one = toxicity.train(docs, lab, max_bytes=bound)
+        two = toxicity.train(docs.repartition(9), lab, max_bytes=bound)
+        assert one.rows == two.rows == want
+        assert np.array_equal(one.bucket, two.bucket)
