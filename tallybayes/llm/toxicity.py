@@ -34,7 +34,7 @@ BUCKETS = 1 << 15
 DIM = 8
 GRAMS = (3, 4, 5)
 MAX_TRAIN = 8000
-MAX_BYTES = 96 << 20  # of bags that the fit reads; one has 128 KiB and 4 bytes at most
+MAX_BYTES = 96 << 20  # of packed bags that the fit reads; one has about 128 KiB at most
 STEPS = 320  # at least 10 passes
 MAX_WORDS = 400_000  # words whose numbers a worker holds before it starts anew
 EDGES = ".,;:!?\"'()[]{}|#*%&$~<>"
@@ -54,7 +54,7 @@ def words(text: str | None) -> list[str]:
 
 
 def _bag(texts: pd.Series) -> pd.Series:
-    """Packed bags: the largest weight, buckets as unsigned 16-bit integers, weights over the largest as 16-bit floats."""
+    """Packed bags (see ``unpacked``)."""
     out, known = [], {}
     for text in texts:
         parts = words(text)
@@ -70,10 +70,24 @@ def _bag(texts: pd.Series) -> pd.Series:
         bag = np.bincount(np.concatenate(ids), np.repeat(each, sizes), BUCKETS) if ids else np.zeros(BUCKETS)
         at = np.flatnonzero(bag)
         top = bag.max()
-        out.append(np.float32(top).tobytes() + at.astype("<u2").tobytes() + (bag[at] / max(top, 1e-30)).astype("<f2").tobytes())
+        step = np.diff(at, prepend=0).astype("<u2")
+        plain = np.float32(top).tobytes() + step.tobytes() + (bag[at] / max(top, 1e-30)).astype("<f2").tobytes()
+        out.append(zlib.compress(plain, 1))
     return pd.Series(out, dtype=object)
 
 
+def unpacked(bag: bytes) -> tuple[np.ndarray, np.ndarray, np.float32]:
+    """(buckets, weights over the largest one, the largest weight).
+
+    A packed bag is compressed: the largest weight, the steps from bucket to
+    bucket as unsigned 16-bit integers, the weights as 16-bit floats.
+    """
+    plain = zlib.decompress(bag)
+    n = (len(plain) - 4) // 4
+    at = np.cumsum(np.frombuffer(plain, "<u2", n, 4), dtype=np.int64)
+    return at, np.frombuffer(plain, "<f2", n, 4 + 2 * n).astype(np.float32), np.frombuffer(plain, "<f4", 1)[0]
+
+
 @dataclass
 class Model:
     """What scoring needs: a number for each bucket, and the bias (difference of the two logits)."""
@@ -94,10 +108,6 @@ def fit(bags: list[bytes], labels: np.ndarray, batch: int = 256, rate: float = 0
     bias = float(np.log(prior / (1 - prior)))
     if n == 0 or len(np.unique(y)) < 2:
         return Model(np.zeros(BUCKETS, np.float64), bias, n)
-    rows = []
-    for b in bags:
-        k = (len(b) - 4) // 4
-        rows.append((np.frombuffer(b, "<u2", k, 4), np.frombuffer(b, "<f2", k, 4 + 2 * k), np.frombuffer(b, "<f4", 1)))
     rng = np.random.default_rng(seed)
     epochs = max(10, STEPS // -(-n // batch))
     # the text average of many words is small: the scale brings it to about 1
@@ -114,8 +124,8 @@ def fit(bags: list[bytes], labels: np.ndarray, batch: int = 256, rate: float = 0
             pick = order[first : first + batch]
             x = np.zeros((len(pick), BUCKETS), np.float32)
             for i, r in enumerate(pick):
-                at, weight, top = rows[r]
-                x[i, at] = weight.astype(np.float32) * (top * scale)
+                at, weight, top = unpacked(bags[r])
+                x[i, at] = weight * (top * scale)
             hidden = x @ p[0]
             z = hidden @ p[1] + p[2]
             z -= z.max(1, keepdims=True)

@@ -106,9 +106,8 @@ TEXTS = [None, "", " \n", "Kind words, kindly said.", "a", "!!! ...", "ÉTÉ ét
 
 def test_bags_and_scores_equal_a_plain_restatement(spark, make_docs):
     for text, packed in zip(TEXTS, toxicity._bag(pd.Series(TEXTS, dtype=object)), strict=True):
-        n = (len(packed) - 4) // 4
-        top = np.frombuffer(packed, "<f4", 1)[0]
-        got = dict(zip(np.frombuffer(packed, "<u2", n, 4).tolist(), (np.frombuffer(packed, "<f2", n, 4 + 2 * n) * float(top)).tolist(), strict=True))
+        at, weight, top = toxicity.unpacked(packed)
+        got = dict(zip(at.tolist(), (weight * float(top)).tolist(), strict=True))
         want = plain_bag(text)
         assert got.keys() == want.keys() and all(got[b] == pytest.approx(want[b], rel=2e-3, abs=1e-7) for b in want)
     rng = np.random.default_rng(5)
