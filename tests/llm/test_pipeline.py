@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import sys
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -35,6 +37,40 @@ def test_every_query_is_registered():
     assert sorted(int(q[2:].split("_")[0]) for q in own if q != "pipeline") == list(range(1, 14)) and "pipeline" in own
 
 
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def cut_by_hand(texts):
+    """Texts by id without the words of 50-word windows that start in a document with a smaller id."""
+    first, out = {}, {}
+    for i in sorted(texts):
+        w = words(texts[i])
+        for a in range(len(w) - 49):
+            first.setdefault(tuple(w[a : a + 50]), i)
+    for i, t in texts.items():
+        w = words(t)
+        gone = {k for a in range(len(w) - 49) if first[tuple(w[a : a + 50])] < i for k in range(a, a + 50)}
+        out[i] = " ".join(x for k, x in enumerate(w) if k not in gone) if gone else t
+    return out
+
+
+def targets_by_hand(sizes):
+    """Each source's share of 150 % of all words by weights 3, 1, 2, at most twice its own; the excess dealt anew."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    target, left = {}, 1.5 * sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in target]
+        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        over = [s for s in free if share[s] > 2 * sizes[s]]
+        if not over:
+            return {**target, **share}
+        for s in over:
+            target[s] = 2 * sizes[s]
+            left -= target[s]
+
+
 def test_each_stage_on_its_input(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {}
@@ -50,11 +86,22 @@ def test_each_stage_on_its_input(spark):
     for a in ids:
         assert all(((prints[a] ^ prints[b]) % 2**64).bit_count() > 2 for b in ids if b < a)
     assert set(after) <= before and len(after) < len(before)
-    # no window of 50 words starts in two documents any more, unless cutting made it
     cut = {k[0]: (k[1], r["n_chars"]) for k, r in kept["substring dedup"].items()}
-    assert set(cut) == set(after)
-    for i, (t, n) in cut.items():
-        assert n == len(t) and len(t.split()) <= len(after[i].split())
+    want = cut_by_hand(after)
+    assert {i: t for i, (t, _) in cut.items()} == want and any(want[i] != after[i] for i in want)
+    assert all(n == len(t) for i, (t, n) in cut.items() if want[i] != after[i])
+    # the mix takes whole documents, twice at most, and each source's words come near its target
+    source = {k[0]: r["source"] for k, r in kept["substring dedup"].items()}
+    size = {i: len(words(t)) for i, t in want.items()}
+    copies = Counter(r["doc_id"] for r in docs.collect())
+    assert copies.keys() <= want.keys() and max(copies.values()) <= 2
+    assert all(r["text"] == want[r["doc_id"]] and r["source"] == source[r["doc_id"]] for r in docs.collect())
+    total, taken = Counter(), Counter()
+    for i, n in size.items():
+        total[source[i]] += n
+        taken[source[i]] += n * copies[i]
+    for s, target in targets_by_hand(total).items():
+        assert abs(taken[s] - target) <= max(n for i, n in size.items() if source[i] == s)
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert len(out) == docs.count()
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
