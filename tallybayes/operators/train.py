@@ -371,6 +371,8 @@ class NBModel:
         Its size is bounded by the scorer, which sums ``stats().features``
         before it builds or broadcasts this.
         """
+        if self._colocated:
+            return self._folded_at_once(narrow)
         # each feature's group carries its fallback array, so likelihood and
         # fallback maps fold in the same two aggregations
         inside = F.col(FEAT_IDX).isin([int(i) for i in narrow])
@@ -386,6 +388,61 @@ class NBModel:
         folded = self._dim(folded, 1, st.map_bytes // max(st.n_models, 1))
         return self.header.select(*self.keys, "classes", "prior").join(folded, self.keys, "left")
 
+    def _folded_at_once(self, narrow) -> DataFrame:
+        """``folded`` of small models, without a join.
+
+        The counts are one partition, so groupings need no exchange; class totals
+        and features meet as rows of one union rather than in a join, which would
+        be a broadcast, and a job of its own, for every frame joined.
+        """
+        k = self.keys
+        cls = self.classes.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct(LABEL, "n_c"))).alias("_cls"))
+        values = (
+            self._by_value.filter(F.col(FEAT_IDX).isNotNull())
+            .groupBy(*k, FEAT_IDX)
+            .agg(F.collect_list(F.struct(VALUE, "_by_class")).alias("_values"))
+            .select(*k, F.struct(FEAT_IDX, "_values").alias("_feature"))
+        )
+        rows = (
+            cls.unionByName(values, allowMissingColumns=True)
+            .coalesce(1)
+            .groupBy(*k)
+            .agg(F.first("_cls", ignorenulls=True).alias("_cls"), F.collect_list("_feature").alias("_features"))
+            .filter(F.col("_cls").isNotNull())
+        )
+        total = F.aggregate("_cls", F.lit(0).cast("bigint"), lambda s, c: s + c["n_c"])
+
+        def fallbacks(f):
+            return F.transform("_cls", lambda c: log_fallback(c["n_c"], F.size(f["_values"])))
+
+        def likelihoods(f):
+            return F.transform(
+                f["_values"],
+                lambda v: F.struct(
+                    v[VALUE],
+                    F.transform(
+                        "_cls",
+                        lambda c: log_likelihood(
+                            F.coalesce(F.try_element_at(v["_by_class"], c[LABEL]), F.lit(0).cast("bigint")),
+                            c["n_c"],
+                            F.size(f["_values"]),
+                        ),
+                    ),
+                ),
+            )
+
+        inside = [int(i) for i in narrow]
+        folded = F.filter("_features", lambda f: f[FEAT_IDX].isin(inside))
+        return rows.select(
+            *k,
+            F.col("_cls")[LABEL].alias("classes"),
+            F.transform("_cls", lambda c: log_prior(c["n_c"], total, F.size("_cls"))).alias("prior"),
+            F.map_from_entries(
+                F.transform(folded, lambda f: F.struct(f[FEAT_IDX], F.map_from_entries(likelihoods(f))))
+            ).alias("lik"),
+            F.map_from_entries(F.transform("_features", lambda f: F.struct(f[FEAT_IDX], fallbacks(f)))).alias("fallback"),
+        )
+
     @cached_property
     def table(self) -> DataFrame:
         """All log-probabilities in one frame with a ``kind`` column."""
@@ -433,7 +490,18 @@ class NBModel:
             totals = _class_counts(counts, k).groupBy(*k).agg(
                 F.count(F.lit(1)).alias("n_classes"), F.sum(F.octet_length(LABEL)).alias("label_bytes")
             )
-            per = vocab.join(F.broadcast(totals) if small else totals, k)
+            if small:
+                # one partition: both meet as rows of a union, without the job that a broadcast is
+                both = totals.unionByName(vocab, allowMissingColumns=True).coalesce(1)
+                positions = F.collect_list(F.when(F.col("n_values").isNotNull(), F.struct(FEAT_IDX, "n_values", "bytes")))
+                per = (
+                    both.groupBy(*k)
+                    .agg(F.max("n_classes").alias("n_classes"), F.max("label_bytes").alias("label_bytes"), positions.alias("p"))
+                    .filter(F.col("n_classes").isNotNull())
+                    .select("n_classes", "label_bytes", F.inline("p"))
+                )
+            else:
+                per = vocab.join(totals, k)
             rows = (
                 per.groupBy(FEAT_IDX)
                 .agg(

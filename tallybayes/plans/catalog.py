@@ -439,10 +439,8 @@ def stream_predict_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- experiment sweep: one model per (dataset, scale) in one job ---------------
-def experiment_predictions(
-    spark: SparkSession, sf_dir: str, scales=EXPERIMENT_SCALES, scorer: str = "auto"
-) -> tuple[NBModel, DataFrame]:
-    """Models for every dataset and replication scale, trained and applied in one job.
+def _experiment(spark: SparkSession, sf_dir: str, scales=EXPERIMENT_SCALES) -> tuple[NBModel, DataFrame]:
+    """Models for every dataset and replication scale, trained in one job, and their test rows.
 
     Training rows replicated ``scale`` times are counted through a
     multiplicity column (``weight = scale``): the counts are exactly those of
@@ -462,14 +460,19 @@ def experiment_predictions(
     scale_col = F.explode(F.array(*[F.lit(int(s)) for s in scales]))
     train_rows = train_rows.withColumn("scale", scale_col)
     test_rows = test_rows.withColumn("scale", scale_col)
-    model = train(train_rows, keys=(DATASET, "scale"), weight="scale")
+    return train(train_rows, keys=(DATASET, "scale"), weight="scale"), test_rows
+
+
+def experiment_predictions(
+    spark: SparkSession, sf_dir: str, scales=EXPERIMENT_SCALES, scorer: str = "auto"
+) -> tuple[NBModel, DataFrame]:
+    """The models of the experiment, and every test row scored by each model of its dataset."""
+    model, test_rows = _experiment(spark, sf_dir, scales)
     return model, predict(test_rows, model, ["row_id"], scorer=scorer)
 
 
-def experiment_records(spark: SparkSession, sf_dir: str, scorer: str = "auto") -> DataFrame:
-    """Accuracy per dataset and scale, one model each, one job (B5, P11). Scales are multiplicities of counts."""
-    model, pred = experiment_predictions(spark, sf_dir, scorer=scorer)
-    acc = accuracy(pred, by=(DATASET, "scale"))
+def _records(model: NBModel, test_rows: DataFrame, scorer: str) -> DataFrame:
+    acc = accuracy(predict(test_rows, model, ["row_id"], scorer=scorer), by=(DATASET, "scale"))
     return acc.join(model.totals, [DATASET, "scale"]).select(
         DATASET,
         "scale",
@@ -481,6 +484,11 @@ def experiment_records(spark: SparkSession, sf_dir: str, scorer: str = "auto") -
     )
 
 
+def experiment_records(spark: SparkSession, sf_dir: str, scorer: str = "auto") -> DataFrame:
+    """Accuracy per dataset and scale, one model each, one job (B5, P11). Scales are multiplicities of counts."""
+    return _records(*_experiment(spark, sf_dir), scorer)
+
+
 def experiment_records_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records with the long scorer: six models joined on (dataset, scale, feature, value)."""
     return experiment_records(spark, sf_dir, scorer="long")
@@ -496,7 +504,10 @@ EXPERIMENT_IMPLS = ("long", "map", "map_arrays")
 
 
 def _experiment_by_impl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [experiment_records(spark, sf_dir, scorer=s).withColumn("impl", F.lit(s)) for s in EXPERIMENT_IMPLS]
+    # one training for all scorers; the joined and exploded test rows are staged once, too
+    model, test_rows = _experiment(spark, sf_dir)
+    test_rows = stage_table(test_rows, "experiment")
+    parts = [_records(model, test_rows, s).withColumn("impl", F.lit(s)) for s in EXPERIMENT_IMPLS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
