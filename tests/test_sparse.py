@@ -107,3 +107,25 @@ def test_null_feature_arrays(spark):
     got = {r["id"]: r["prediction"] for r in predict(test, model, ["id"], scorer="sparse").collect()}
     assert got == {1: None, 2: "y"}
     assert predict(test.filter(F.lit(False)), model, ["id"], scorer="sparse").count() == 0
+
+
+def test_pairs_are_not_kept_and_wide_classes_are_joined(spark, monkeypatch):
+    rng = random.Random(11)
+    schema = "dataset string, id int, label string, features array<string>"
+    model = train(spark.createDataFrame(random_rows(rng, 200, 3000, 4, 3), schema))
+    test = spark.createDataFrame(random_rows(rng, 200, 400, 5, 3), schema)
+    want = rows_of(predict(test, model, ["id"], scorer="long"))
+    staged, own = [], sparse.stage_table
+
+    def counting(df, *name):
+        out = own(df, *name)
+        staged.append(out.count())
+        return out
+
+    monkeypatch.setattr(sparse, "stage_table", counting)
+    assert rows_of(predict(test, model, ["id"], scorer="sparse")) == want
+    # no table of a row per vector and class: a row per class and group of vectors is the longest
+    assert max(staged) <= 200 * 4, staged
+    monkeypatch.setattr(sparse, "MAX_PROFILE", 2)
+    assert not sparse.SparseModel(model).narrow
+    assert rows_of(predict(test, model, ["id"], scorer="sparse")) == want
