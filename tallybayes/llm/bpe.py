@@ -1,17 +1,19 @@
-"""Byte-level BPE: encoding by a lazily determinised transducer, decoding by a UTF-8 state machine.
+"""Byte-level BPE: encoding by a transducer of compatible tokens, decoding by a UTF-8 state machine.
 
 Encoding. A token sequence is the BPE encoding of its bytes exactly when every
 adjacent pair of tokens is: the merges leave both tokens of the pair as they
 are. So the merges compile into a nondeterministic transducer whose states are
 (last token written, trie node of the token being read); for every prefix of a
-text one path alone ends at a token boundary. ``Transducer`` runs all paths at
-once and keeps the sets it meets as states of a deterministic machine, built
-when first needed. Each path carries what it has not yet written; the part that
-all paths share is written at once and taken off, which also lets states recur.
-A path can lag by the longest token, no more, so lookahead is bounded.
+text one path alone ends at a token boundary. ``Transducer`` follows the longest
+token first and goes back where no token may follow; a place found dead is not
+tried again, so each place is read once for each token that ends there. The
+moves (may this token follow that one?) are worked out when first needed.
 
-The table of states is flushed when it is full, as is the table of pieces
-already encoded, so memory is bounded for any text. Neither changes a result.
+A text is split at plain spaces that follow a non-space, where no match of the
+pattern can cross, so a word met before needs neither the pattern nor the
+transducer. The table of moves is flushed when it is full; of the words and
+pieces already encoded the older go, but for those met again. So memory
+is bounded for any text. Neither changes a result.
 
 Decoding. ``Utf8Decoder`` takes the bytes of a token at a time and gives the
 characters that are complete; its state is the bytes still expected and the
@@ -22,6 +24,7 @@ range allowed for the next one. Malformed bytes become U+FFFD as Python's
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,7 +47,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Lazily determinised transducer from bytes to BPE ids."""
+    """Transducer from bytes to BPE ids, its moves made when needed."""
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
@@ -60,21 +63,17 @@ class Transducer:
                 key = (node << 8) | b
                 node = self.child.get(key) or self._node(key)
             self.token[node] = r
+        # of each token: its bytes' number, and the longest token that it starts with (-1: none)
+        self.size = {r: len(t) for t, r in ranks.items()}
+        self.shorter = {r: next((ranks[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in ranks), -1) for t, r in ranks.items()}
         self.edge: dict[int, tuple | None] = {}
         self.pairs: dict[int, bool] = {}
-        self._flush()
 
     def _node(self, key: int) -> int:
         self.child[key] = len(self.token)
         self.token.append(-1)
         return len(self.token) - 1
 
-    def _flush(self) -> None:
-        # state: tuple of (pending ids, last id, trie node), the longest pending token first; 0 is the start
-        start = (((), -1, 0),)
-        self.states, self.ids = [start], {start: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-
     def _edges(self, t: int) -> tuple | None:
         """How the merges make a token: its first and its last part over time, each with the rank that absorbs it.
 
@@ -111,9 +110,6 @@ class Transducer:
             return False
         if a < 0:
             return True
-        key = (a << 32) | b
-        if (ok := self.pairs.get(key)) is not None:
-            return ok
         if len(self.pairs) > 5 * self.max_states:
             self.pairs.clear()
         ends, starts, i, j, ok = self.edge[a][1], after[0], 0, 0, True
@@ -129,55 +125,37 @@ class Transducer:
                 i += 1
             else:
                 j += 1
-        self.pairs[key] = ok
+        self.pairs[(a << 32) | b] = ok
         return ok
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Build the move of a state on a byte: (next state, ids written)."""
-        child, token, paths, ended = self.child, self.token, [], None
-        for pending, last, node in self.states[state]:
-            node = child.get((node << 8) | byte)
-            if node is None:
-                continue
-            paths.append((pending, last, node))
-            t = token[node]
-            if t >= 0 and ended is None and self._pair(last, t):
-                ended = ((*pending, t), t, 0)  # the one path that ends a token here
-        if ended:
-            paths.append(ended)
-        shared = paths[0][0]
-        if shared:
-            for pending, _, _ in paths[1:]:
-                k = 0
-                while k < len(shared) and k < len(pending) and shared[k] == pending[k]:
-                    k += 1
-                shared = shared[:k]
-            if k := len(shared):
-                paths = [(pending[k:], last, node) for pending, last, node in paths]
-        key = tuple(paths)
-        if (to := self.ids.get(key)) is None:
-            to = self.ids[key] = len(self.states)
-            self.states.append(key)
-        move = self.moves[(state << 8) | byte] = (to, shared)
-        return move
-
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is a token as a whole is that token."""
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
+        child, token, known, size, shorter = self.child.get, self.token, self.pairs.get, self.size, self.shorter
         out: list[int] = []
-        state = 0
-        for b in piece:
-            if len(self.states) > self.max_states:  # start the table anew from this state
-                here = self.states[state]
-                self._flush()
-                if (state := self.ids.get(here, -1)) < 0:
-                    state = self.ids[here] = 1
-                    self.states.append(here)
-            state, ids = self.moves.get((state << 8) | b) or self._step(state, b)
-            if ids:
-                out += ids
-        out += next(pending for pending, _, node in self.states[state] if node == 0)
+        dead: set[int] = set()  # places from which no path reaches the end
+        at, last, n = 0, -1, len(piece)
+        while at < n:
+            node, t, i = 0, -1, at
+            while i < n and (node := child((node << 8) | piece[i])):
+                if token[node] >= 0:
+                    t = token[node]
+                i += 1
+            while True:  # the longest token that may follow, else back to a shorter one before it
+                if t < 0:
+                    dead.add(at)
+                    t = out.pop()
+                    at -= size[t]
+                    last = out[-1] if out else -1
+                elif at + size[t] not in dead:
+                    ok = known((last << 32) | t)
+                    if ok or (ok is None and self._pair(last, t)):
+                        break
+                t = shorter[t]
+            out.append(t)
+            at += size[t]
+            last = t
         return out
 
 
@@ -200,28 +178,76 @@ def blocks(text: str, size: int = CUT) -> Iterator[str]:
 
 
 class Encoder:
-    """Texts to ids: pattern pieces, each by the transducer, each distinct piece once while it is held."""
+    """Texts to ids: words, then pattern pieces, then the transducer, each word and piece once while it is held."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES):
         self.machine = Transducer(ranks)
         self.findall = regex.compile(pattern).findall
         self.max_pieces = max_pieces
-        self.known: dict[str, bytes] = {}
+        # words by themselves, as they are after a plain space; pieces
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.old_words, self.old_pieces = self.words, self.pieces
+
+    def _make_room(self) -> None:
+        """Where the room is taken, what is held turns old and what was old is given up."""
+        if len(self.words) + len(self.pieces) > self.max_pieces:
+            self.old_words, self.old_pieces = self.words, self.pieces
+            self.words, self.pieces = {}, {}
+
+    def _piece(self, piece: str, hold: bool) -> bytes:
+        """The ids of a piece that ``pieces`` lacks."""
+        if (ids := self.old_pieces.get(piece)) is None:
+            found = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if hold and len(piece) <= 64:
+            self.pieces[piece] = ids
+        return ids
 
-    def _new(self, piece: str) -> bytes:
-        ids = np.array(self.machine.encode(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-        if len(piece) <= 64:
-            self.known[piece] = ids
+    def _chunk(self, chunk: str, hold: bool = True) -> bytes:
+        """The ids of text that no match crosses the ends of; ``hold`` is false where they are held as a word."""
+        pieces = self.findall(chunk)
+        if len(pieces) == 1:
+            return self.pieces.get(pieces[0]) or self._piece(pieces[0], hold)
+        get = self.pieces.get
+        return b"".join([get(p) or self._piece(p, True) for p in pieces])
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word that ``words`` lacks, with the plain space before it."""
+        short = len(word) <= 64
+        if (ids := self.old_words.get(word)) is None:
+            ids = self._chunk(" " + word, hold=not short)
+        if short:
+            self.words[word] = ids
         return ids
 
+    def _run(self, run: str) -> bytes:
+        """The ids of a run, word by word; what does not end in a non-space goes with the word after it."""
+        words = run.split(" ")
+        ids = list(map(self.words.get, words))
+        ids[0] = None if words[0] else b""  # no space before it
+        i, last = -1, len(words) - 1
+        for _ in range(ids.count(None)):
+            try:
+                i = ids.index(None, i + 1)
+            except ValueError:  # those that went with a word before them
+                break
+            j = i
+            while j < last and (not words[j] or words[j][-1].isspace()):
+                j += 1
+            if 0 < i == j and words[i] and not words[i][-1].isspace():
+                ids[i] = self._word(words[i])
+            else:
+                ids[i] = self._chunk((" " if i else "") + " ".join(words[i : j + 1]))
+                ids[i + 1 : j + 1] = [b""] * (j - i)
+        return b"".join(ids)
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; null is the empty text."""
         out = []
         for run in blocks(text or ""):
-            if len(self.known) > self.max_pieces:
-                self.known.clear()
-            get, new = self.known.get, self._new
-            out.append(b"".join([get(p) or new(p) for p in self.findall(run)]))
+            self._make_room()
+            out.append(self._run(run))
         return b"".join(out)
 
 
