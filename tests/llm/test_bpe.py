@@ -48,6 +48,27 @@ def test_full_tables_change_nothing(ranks, reference):
         assert np.frombuffer(coder.encode(t), "<u4").tolist() == reference(t), t[:60]
 
 
+def test_words_met_before_are_not_matched_again(ranks, reference):
+    coder, read = bpe.Encoder(ranks, PATTERN), []
+    words = ["" if i % 17 == 0 else f"wörd{i % 40}," + "\n" * (i % 13 == 0) for i in range(400)]
+    first, then = " ".join(words), " ".join(words[::-1])
+    assert np.frombuffer(coder.encode(first), "<u4").tolist() == reference(first)
+    own = coder.findall
+    coder.findall = lambda t: read.append(len(t)) or own(t)
+    assert np.frombuffer(coder.encode(then), "<u4").tolist() == reference(then)
+    assert sum(read) < len(then) / 2  # the words that go with white space before them
+
+
+def test_no_way_on_goes_back(ranks, reference):
+    # longest tokens first: most of these pieces need shorter ones after all
+    rng = random.Random(3)
+    machine = bpe.Transducer(ranks)
+    tokens = [t.decode() for t in rng.sample(sorted(ranks), 3000) if t.isalpha() and t.isascii()]
+    for _ in range(500):
+        piece = "".join(rng.choice(tokens)[: rng.randrange(1, 9)] for _ in range(5))
+        assert machine.encode(piece.encode()) == reference(piece), piece
+
+
 def test_streaming_decoder_equals_python_at_every_cut():
     rng = random.Random(9)
     parts = [b"a", "é".encode(), "中".encode(), "😀".encode(), b"\xff", b"\xe4", b"\xf0\x9f", b"\xed\xa0\x80", b"\xc0\x80", b"\xf4\x90"]
